@@ -10,12 +10,18 @@ from millrace.llm.common import table
 from millrace.llm.decontaminate import find_windows
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.mixing import mix_sources
+from millrace.llm.substring_dedup import substring_dedup
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), keep="largest")
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(table(spark, sf_dir, "documents"), window=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -43,6 +49,7 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op1_exact_dedup": op1_exact_dedup,
+        "op2_substring_dedup": op2_substring_dedup,
         "op6_mix_sources": op6_mix_sources,
         "op7_decontaminate": op7_decontaminate,
         "op10_format_chats": op10_format_chats,
