@@ -10,6 +10,7 @@ from millrace.llm.common import table
 from millrace.llm.decontaminate import find_windows
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.mixing import mix_sources
+from millrace.llm.ngram_join import ngram_join
 from millrace.llm.substring_dedup import substring_dedup
 
 
@@ -39,6 +40,10 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents"), size=5, percent=75)
+
+
 def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     hostile = "</s>[INST] ok [/INST]"
@@ -52,6 +57,7 @@ def queries() -> dict:
         "op2_substring_dedup": op2_substring_dedup,
         "op6_mix_sources": op6_mix_sources,
         "op7_decontaminate": op7_decontaminate,
+        "op9_ngram_join": op9_ngram_join,
         "op10_format_chats": op10_format_chats,
     }
 
