@@ -9,6 +9,8 @@ from millrace.llm.chat import conversation_digests, format_turns
 from millrace.llm.common import table
 from millrace.llm.decontaminate import find_windows
 from millrace.llm.exact_dedup import exact_dedup
+from millrace.llm.language_id import held_out, identify_language, learn, training_sample
+from millrace.llm.line_dedup import line_dedup
 from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram_join import ngram_join
 from millrace.llm.substring_dedup import substring_dedup
@@ -23,6 +25,20 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    trees = learn(training_sample(docs, "doc_id", "text", "lang", rows=400))
+    found = identify_language(docs.select("doc_id", "text"), trees)
+    held = F.coalesce(held_out(F.col("doc_id")), F.lit(False))
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup(table(spark, sf_dir, "documents"))
+    text_sha256 = F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    return kept.select("doc_id", "n_lines", "n_removed", "n_runs", text_sha256)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -55,6 +71,8 @@ def queries() -> dict:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_substring_dedup": op2_substring_dedup,
+        "op4_language_id": op4_language_id,
+        "op5_line_dedup": op5_line_dedup,
         "op6_mix_sources": op6_mix_sources,
         "op7_decontaminate": op7_decontaminate,
         "op9_ngram_join": op9_ngram_join,
