@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -21,3 +21,23 @@ def row_key(id_col: str, text_col: str) -> list[Column]:
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def one_per_key(keyed: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    """One of the rows of each key. ``counts`` has the keys and ``_rows``; only rows of repeated keys are shuffled."""
+    repeated = counts.filter("_rows > 1").select(*keys)
+    if not repeated.head(1):
+        return keyed
+    rest = keyed.join(repeated, keys, "left_anti")
+    return rest.unionByName(keyed.join(repeated, keys, "left_semi").dropDuplicates(keys))
+
+
+def merged_spans(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Per key, the union of its spans [a, b) as a sorted list of disjoint ones; spans that touch are one."""
+    rows = rows.groupBy(*keys, "a").agg(F.max("b").alias("b"))
+    along = Window.partitionBy(*keys).orderBy("a")
+    upto = F.max("b").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("_new", (upto.isNull() | (F.col("a") > upto)).cast("int"))
+    whole = rows.withColumn("_span", F.sum("_new").over(along)).groupBy(*keys, "_span")
+    whole = whole.agg(F.min("a").alias("a"), F.max("b").alias("b"))
+    return whole.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("spans"))

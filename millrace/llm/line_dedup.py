@@ -12,10 +12,10 @@ back to its places can be split. Nothing is gathered but the removed spans of on
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import row_key
+from millrace.llm.common import merged_spans, row_key
 from millrace.plans.staging import Scratch, if_small
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -77,14 +77,8 @@ def line_dedup(
     """
     scratch = Scratch(docs.sparkSession, "line-dedup")
     runs = repeated_runs(docs, scratch, id_col, text_col, min_words)
-    # runs of a document that touch or overlap are one span
-    along = Window.partitionBy(*_KEY).orderBy("pos")
-    upto = F.max(F.col("pos") + F.col("lines")).over(along.rowsBetween(Window.unboundedPreceding, -1))
-    runs = runs.groupBy(*_KEY, "pos").agg(F.max("lines").alias("lines"))
-    runs = runs.withColumn("_new", (upto.isNull() | (F.col("pos") > upto)).cast("int"))
-    spans = runs.withColumn("_span", F.sum("_new").over(along)).groupBy(*_KEY, "_span")
-    spans = spans.agg(F.min("pos").alias("a"), F.max(F.col("pos") + F.col("lines")).alias("b"))
-    lists = spans.groupBy(*_KEY).agg(F.sort_array(F.collect_list(F.struct("a", "b"))).alias("_spans"))
+    lists = runs.select(*_KEY, F.col("pos").alias("a"), (F.col("pos") + F.col("lines")).alias("b"))
+    lists = merged_spans(lists, _KEY).withColumnRenamed("spans", "_spans")
     lists = scratch.write(lists, "spans")
     entries = lists.agg(F.coalesce(F.sum(F.size("_spans")), F.lit(0))).first()[0]
 

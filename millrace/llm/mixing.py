@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.common import one_per_key, row_key
 from millrace.plans.staging import Scratch, if_small
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -60,8 +61,9 @@ def mix_sources(
     steps: int = 40,
     tolerance: float = 1e-7,
     bucket_rows: int = 50_000,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per row of ``docs``: id, source, size, source_size, target, rate, copies, taken.
+    """One row per row of ``docs``: id, source, size, source_size, target, rate, copies, taken, and the columns in ``carry``.
 
     Null text has size 0. A null source is a source of its own, last in order. Documents of size 0 take no part in the
     balancing and get the copies their rate rounds to; they take 0 words. Rows that repeat an id are documents of their
@@ -69,7 +71,7 @@ def mix_sources(
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     size = F.when(F.col(text_col).isNull(), 0).otherwise(F.regexp_count(F.col(text_col), F.lit(WORD))).cast("long")
-    sizes = scratch.write(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), size.alias("size")), "sizes")
+    sizes = scratch.write(docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("source"), size.alias("size"), *carry), "sizes")
     cells = scratch.write(sizes.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")), "cells")
 
     sources = cells.groupBy("source").agg(
@@ -126,10 +128,26 @@ def mix_sources(
     copies = (base + F.when(F.col("_rank") + F.col("_before") <= odd, 1).otherwise(0)).cast("long")
     return rows.withColumn("copies", copies).select(
         F.col("_id").alias(id_col), "source", "size", "source_size", "target", "rate", "copies",
-        (F.col("copies") * F.col("size")).alias("taken"),
+        (F.col("copies") * F.col("size")).alias("taken"), *carry,
     )
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The mix itself: all columns of ``docs`` and copy_no, a row per copy that the mix takes.
+
+    Rows that repeat id and text are joined by what they say: together they get the copies of all of them.
+    """
+    scratch = Scratch(docs.sparkSession, "mix")
+    keys = [c.alias(n) for c, n in zip(row_key(id_col, text_col), ("_c1", "_c2"), strict=True)]
+    keyed = docs.drop("copy_no").select("*", *keys)
+    mixed = mix_sources(keyed, id_col, text_col, source_col, carry=("_c1", "_c2"), **how)
+    copies = mixed.groupBy("_c1", "_c2").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    copies = scratch.write(copies, "copies")
+    taken = one_per_key(keyed, copies, ["_c1", "_c2"]).join(if_small(copies), ["_c1", "_c2"]).filter("_copies > 0")
+    number = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("copy_no")
+    return taken.select(*[F.col(c) for c in docs.columns if c != "copy_no"], number)
+
+
 def _with_state(cells: DataFrame, state: DataFrame) -> DataFrame:
     state = state.withColumnRenamed("source", "_s")
     return cells.join(state, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textkernel as tk
-from millrace.llm.common import row_key
+from millrace.llm.common import one_per_key, row_key
 from millrace.llm.components import components
 from millrace.plans.staging import Scratch, if_small
 
@@ -455,8 +455,32 @@ def ngram_join(
     the smallest id that links reach; null ids are reached but name nothing, so it is null only where all are. Repeated
     rows link with each other. An empty table gives no rows; other columns are ignored.
     """
+    found = _components_of(docs, Scratch(docs.sparkSession, "ngram-join"), id_col, text_col, size, percent)
+    least = F.coalesce("least.id", "_id").alias("component_id")
+    return found.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), least)
+
+
+def drop_near_copies(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75
+) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when one document of each component does: the one with the smallest id.
+
+    Null ids come last; documents that share an id are in order of a hash of their texts. Of rows that repeat id and text, one
+    stays. Documents without words are components of their own. An empty table gives no rows.
+    """
+    scratch = Scratch(docs.sparkSession, "ngram-join")
+    found = _components_of(docs, scratch, id_col, text_col, size, percent)
+    own = (F.col("least._k1") == F.col("_k1")) & (F.col("least._k2") == F.col("_k2"))
+    stays = found.filter(F.col("least").isNull() | own).groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_rows"))
+    stays = scratch.write(stays.withColumnsRenamed({"_k1": "_c1", "_k2": "_c2"}), "stays")
+    keys = [c.alias(n) for c, n in zip(row_key(id_col, text_col), ("_c1", "_c2"), strict=True)]
+    kept = docs.select("*", *keys).join(if_small(stays.select("_c1", "_c2")), ["_c1", "_c2"], "left_semi")
+    return one_per_key(kept, stays, ["_c1", "_c2"]).select(*docs.columns)
+
+
+def _components_of(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:
+    """Every row's key, id, set size and the least document of its component, null for sets that nothing else has."""
     spark = docs.sparkSession
-    scratch = Scratch(spark, "ngram-join")
     source = docs.select(*row_key(id_col, text_col), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
     sets = scratch.write(
@@ -472,11 +496,12 @@ def ngram_join(
     shared = counted.groupBy("piece").applyInArrow(_sum_piece, "_k1 long, _k2 long, shared long")
     shared = scratch.write(shared.filter("shared > 0").distinct(), "shared")
     alive = sets.filter("n > 0").join(if_small(shared), ["_k1", "_k2"]).filter(F.col("shared") * 100 >= F.col("n") * percent)
-    classes = alive.groupBy("n", "s1", "s2").agg(F.min("_id").alias("least_id"), F.min(F.struct("_k1", "_k2")).alias("at"))
+    first = F.struct(F.col("_id").isNull().alias("last"), F.col("_id").alias("id"), "_k1", "_k2")
+    classes = alive.groupBy("n", "s1", "s2").agg(F.min(first).alias("first"))
     classes = scratch.write(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
 
-    first = classes.select("at._k1", "at._k2", "node")
-    packed = source.drop("_id").join(if_small(first), ["_k1", "_k2"]).select("node", "_text")
+    read = classes.select("first._k1", "first._k2", "node")
+    packed = source.drop("_id").join(if_small(read), ["_k1", "_k2"]).select("node", "_text")
     packed = scratch.write(packed.mapInArrow(_pack_sets(size), "node long, n long, grams binary"), "packed")
     total = packed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     range_bits = min(20, max(4, math.ceil(math.log2(max(1, total / RANGE_SHINGLES)))))
@@ -511,8 +536,6 @@ def ngram_join(
     group = scratch.write(components(links, scratch), "components")
 
     named = classes.join(if_small(group), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    least = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    named = scratch.write(named.join(least, "component").select("n", "s1", "s2", "component_id"), "named")
-    return sets.join(if_small(named), ["n", "s1", "s2"], "left").select(
-        F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "_id").alias("component_id")
-    )
+    least = named.groupBy("component").agg(F.min("first").alias("least"))
+    named = scratch.write(named.join(least, "component").select("n", "s1", "s2", "least"), "named")
+    return sets.join(if_small(named), ["n", "s1", "s2"], "left").select("_k1", "_k2", "_id", "n", "least")

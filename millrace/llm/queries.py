@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from millrace.llm.chat import conversation_digests, format_turns
 from millrace.llm.common import table
 from millrace.llm.decontaminate import find_windows
@@ -13,7 +14,9 @@ from millrace.llm.language_id import held_out, identify_language, learn, trainin
 from millrace.llm.line_dedup import line_dedup
 from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram_join import ngram_join
+from millrace.llm.quality import score_quality, train_quality
 from millrace.llm.substring_dedup import substring_dedup
+from millrace.llm.url_filter import filter_urls, host_of
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +28,12 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = train_quality(docs, labels.filter(~held_out(F.col("doc_id"))))
+    return score_quality(docs, model)
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     trees = learn(training_sample(docs, "doc_id", "text", "lang", rows=400))
@@ -56,6 +65,35 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _list_events(pages: DataFrame) -> DataFrame:
+    """Dated list entries for the hosts and domains of the pages, set by the hashes of their names."""
+    hosts = pages.select(host_of(F.col("url")).alias("value")).distinct().filter("value <> ''")
+    domains = hosts.select(F.regexp_extract("value", r"([^.]+\.[^.]+)$", 1).alias("value")).distinct().filter("value <> ''")
+
+    def events(named: DataFrame, kind: str, verdict: str, action: str, when: str, day: str) -> DataFrame:
+        number = F.conv(F.substring(F.md5("value"), 1, 6), 16, 10).cast("int")
+        dated = named.withColumn("n", number).filter(when)
+        return dated.select(
+            F.lit(f"{kind}-{verdict}").alias("list"), F.lit(kind).alias("kind"), "value", F.lit(verdict).alias("verdict"),
+            F.lit(action).alias("action"), F.expr(f"date_add(date'2024-01-01', {day})").alias("since"),
+        )
+
+    return (
+        events(hosts, "host", "block", "add", "n % 3 = 0", "n % 200")
+        .unionByName(events(hosts, "host", "block", "remove", "n % 3 = 0", "n % 200 + 60 + n % 50"))
+        .unionByName(events(hosts, "host", "block", "add", "n % 6 = 0", "n % 200 + 200"))
+        .unionByName(events(hosts, "host", "allow", "add", "n % 5 = 0", "n % 250"))
+        .unionByName(events(domains, "domain", "block", "add", "n % 2 = 0", "n % 100"))
+    )
+
+
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    fetched = F.expr("date_add(date'2024-01-01', cast(page_id * 37 % 365 as int))")
+    judged = filter_urls(pages.select("page_id", "url", fetched.alias("fetched")), _list_events(pages))
+    return judged.select("page_id", "url_host", F.col("fetched").cast("string").alias("fetched"), "n_active", "verdict", "rule")
+
+
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents"), size=5, percent=75)
 
@@ -71,12 +109,15 @@ def queries() -> dict:
     return {
         "op1_exact_dedup": op1_exact_dedup,
         "op2_substring_dedup": op2_substring_dedup,
+        "op3_quality": op3_quality,
         "op4_language_id": op4_language_id,
         "op5_line_dedup": op5_line_dedup,
         "op6_mix_sources": op6_mix_sources,
         "op7_decontaminate": op7_decontaminate,
+        "op8_url_filters": op8_url_filters,
         "op9_ngram_join": op9_ngram_join,
         "op10_format_chats": op10_format_chats,
+        "pipeline": corpus_pipeline.run,
     }
 
 
@@ -89,4 +130,74 @@ def oracle_sql() -> dict[str, str]:
                    sha256(d.t) AS text_sha256
             FROM d JOIN g ON d.t = g.t
         """,
-    }
+        "op5_line_dedup": r"""
+            WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS a FROM documents),
+            size AS (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096]) AS k),
+            runs AS (
+                SELECT doc_id, k, unnest(range(1, CAST(len(a) - k + 2 AS BIGINT))) AS p, a
+                FROM d, size WHERE len(a) >= k
+            ),
+            keyed AS (
+                SELECT doc_id, k, p, sha256(array_to_string(a[p:p + k - 1], chr(10))) AS h,
+                       len(regexp_extract_all(array_to_string(a[p:p + k - 1], chr(10)), '[^\x20\x09-\x0D]+')) AS w
+                FROM runs
+            ),
+            later AS (
+                SELECT doc_id, k, p, w, row_number() OVER (PARTITION BY k, h ORDER BY doc_id, p) AS nth FROM keyed
+            ),
+            gone AS (
+                SELECT DISTINCT doc_id, unnest(range(p, p + k)) AS p FROM later WHERE nth > 1 AND w >= 3
+            ),
+            sets AS (
+                SELECT doc_id, list(p) AS ps, count(*) AS n, count(*) FILTER (NOT follows) AS r
+                FROM (SELECT doc_id, p, coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) = p - 1, false) AS follows FROM gone)
+                GROUP BY doc_id
+            ),
+            kept AS (
+                SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS t
+                FROM (SELECT doc_id, unnest(a) AS line, unnest(range(1, CAST(len(a) + 1 AS BIGINT))) AS p FROM d) l
+                WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND g.p = l.p)
+                GROUP BY doc_id
+            )
+            SELECT d.doc_id, CAST(coalesce(len(a), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
+                   CAST(coalesce(r, 0) AS BIGINT) AS n_runs, sha256(coalesce(kept.t, '')) AS text_sha256
+            FROM d LEFT JOIN sets USING (doc_id) LEFT JOIN kept USING (doc_id)
+        """,
+        "op8_url_filters": r"""
+            WITH page AS (
+                SELECT page_id, url, DATE '2024-01-01' + CAST(page_id * 37 % 365 AS INTEGER) AS fetched,
+                       regexp_replace(lower(regexp_extract(coalesce(url, ''),
+                           '^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]*)', 1)), '\.$', '') AS url_host
+                FROM pages
+            ),
+            hosts AS (SELECT DISTINCT url_host AS value FROM page WHERE url_host <> ''),
+            domains AS (
+                SELECT DISTINCT regexp_extract(value, '([^.]+\.[^.]+)$', 1) AS value FROM hosts
+                WHERE regexp_extract(value, '([^.]+\.[^.]+)$', 1) <> ''
+            ),
+            h AS (SELECT value, CAST('0x' || substr(md5(value), 1, 6) AS INTEGER) AS n FROM hosts),
+            m AS (SELECT value, CAST('0x' || substr(md5(value), 1, 6) AS INTEGER) AS n FROM domains),
+            active AS (
+                SELECT 'host' AS kind, value, 'block' AS verdict, DATE '2024-01-01' + n % 200 AS since,
+                       DATE '2024-01-01' + (n % 200 + 60 + n % 50) AS until FROM h WHERE n % 3 = 0
+                UNION ALL
+                SELECT 'host', value, 'block', DATE '2024-01-01' + (n % 200 + 200), NULL FROM h WHERE n % 6 = 0
+                UNION ALL
+                SELECT 'host', value, 'allow', DATE '2024-01-01' + n % 250, NULL FROM h WHERE n % 5 = 0
+                UNION ALL
+                SELECT 'domain', value, 'block', DATE '2024-01-01' + n % 100, NULL FROM m WHERE n % 2 = 0
+            ),
+            hit AS (
+                SELECT page_id, kind, value, verdict,
+                       row_number() OVER (PARTITION BY page_id ORDER BY kind DESC, length(value) DESC, verdict) AS nth,
+                       count(*) OVER (PARTITION BY page_id) AS n_active
+                FROM page JOIN active
+                ON (kind = 'host' AND value = url_host
+                    OR kind = 'domain' AND (url_host = value OR ends_with(url_host, '.' || value)))
+                AND since <= fetched AND (until IS NULL OR fetched < until)
+            )
+            SELECT page_id, url_host, CAST(fetched AS VARCHAR) AS fetched, CAST(coalesce(n_active, 0) AS BIGINT) AS n_active,
+                   coalesce(verdict, 'none') AS verdict, coalesce(kind || ':' || value, '') AS rule
+            FROM page LEFT JOIN (SELECT * FROM hit WHERE nth = 1) USING (page_id)
+        """,
+    } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
