@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textkernel as tk
-from millrace.llm.common import row_key
+from millrace.llm.common import merged_spans, row_key
 from millrace.plans.staging import Scratch, if_small
 
 #: Contents of one anchor up to which they share one automaton: some 50 words each.
@@ -203,13 +203,9 @@ def substring_dedup(
     judged = judged.mapInArrow(_judge(window), "anchor long, content long, spans array<struct<a:int,b:int>>")
     verdicts = scratch.write(whole.unionByName(judged), "verdicts")
 
-    spans = (
-        places.join(verdicts, ["anchor", "content"])
-        .select("_k1", "_k2", "start", F.explode("spans").alias("s"))
-        .groupBy("_k1", "_k2")
-        .agg(F.sort_array(F.collect_set(F.struct((F.col("start") + F.col("s.a")).alias("a"), (F.col("start") + F.col("s.b")).alias("b")))).alias("spans"))
-    )
-    spans = scratch.write(spans, "spans")
+    spans = places.join(verdicts, ["anchor", "content"]).select("_k1", "_k2", "start", F.explode("spans").alias("s"))
+    spans = spans.select("_k1", "_k2", (F.col("start") + F.col("s.a")).alias("a"), (F.col("start") + F.col("s.b")).alias("b"))
+    spans = scratch.write(merged_spans(spans, ["_k1", "_k2"]), "spans")
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"_id {kind}, n_words long, n_removed long, kept_text string"
     kept = _with_lists(source, spans, "spans", "left").select("_id", "_text", "spans").mapInArrow(_remove, schema)
