@@ -62,14 +62,20 @@ def any_of(conditions: Sequence[Column]) -> Column:
 
 
 def codes(rules: Sequence[Rule], get: Get, gate: Column | None = None, strict: bool = False) -> Column:
-    """Array of the codes of broken rules, evaluated where ``gate`` is true."""
+    """Array of the codes of broken rules; empty where ``gate`` is not true.
+
+    The gate stands once before the whole array, not in each rule: layers that build on each other stay small however often
+    the optimizer copies them.
+    """
+    none = F.array().cast("array<string>")
     found = []
     for rule in rules:
         broken = rule.broken(get)
-        if strict:
-            broken = F.coalesce(broken, F.lit(True))
-        found.append(F.when(broken if gate is None else gate & broken, F.lit(rule.code)))
-    return F.array_compact(F.array(*found)).cast("array<string>") if found else F.array().cast("array<string>")
+        found.append(F.when(F.coalesce(broken, F.lit(True)) if strict else broken, F.lit(rule.code)))
+    if not found:
+        return none
+    listed = F.array_compact(F.array(*found)).cast("array<string>")
+    return listed if gate is None else F.when(gate, listed).otherwise(none)
 
 
 def status_of(errors: Column, warnings: Column) -> Column:

@@ -15,13 +15,17 @@ from pyspark.sql import functions as F
 from millrace.functions.rules import Rule, any_of, codes, status_of
 
 BUSINESS = ("VALID", "WARNING")
-#: Variant types that a field of a kind may have.
-KINDS = {
-    "string": r"^STRING$",
-    "integer": r"^BIGINT$",
-    "number": r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*)$",
-    "integers": r"^ARRAY<BIGINT>$",
-}
+#: What a field of a kind may be.
+ACCEPTS = {"string": ["string"], "integer": ["integer"], "number": ["integer", "number"], "integers": ["integers"]}
+
+
+def _kind(variant: Column) -> Column:
+    """The kind of a JSON value by its variant type; null for none, ``null`` for JSON null."""
+    kind = F.schema_of_variant(variant)
+    return (
+        F.when(kind == "STRING", "string").when(kind == "BIGINT", "integer").when(kind.rlike(r"^(DOUBLE|FLOAT|DECIMAL\()"), "number")
+        .when(kind == "ARRAY<BIGINT>", "integers").when(kind == "VOID", "null").when(kind.isNotNull(), "other")
+    )
 
 
 @dataclass(frozen=True)
@@ -63,45 +67,44 @@ def validate_json(
     names = contract.names
     required = F.array(*map(F.lit, names))
     none = F.array().cast("array<string>")
-    parsed = df.withColumn("_variant", F.try_parse_json(raw))
-    # one look at the value: a map from field to variant, from which all field types are read
-    parsed = parsed.withColumns(
+    parsed = df.withColumn("_variant", F.try_parse_json(raw)).withColumns(
         {
-            "_kind": F.schema_of_variant("_variant"),
+            "_object": F.col("_variant").isNotNull() & F.schema_of_variant("_variant").startswith("OBJECT<"),
             "payload": F.from_json(raw, contract.ddl),
             "_keys": F.json_object_keys(raw),
         }
-    ).withColumns(
-        {
-            "_object": F.col("_variant").isNotNull() & F.col("_kind").startswith("OBJECT<"),
-        }
     )
+    # one look at the value gives the kinds of all fields
+    fields = F.when(F.col("_object"), F.try_variant_get("_variant", "$", "map<string,variant>"))
     parsed = parsed.withColumns(
         {
-            "_by_field": F.when(F.col("_object"), F.try_variant_get("_variant", "$", "map<string,variant>")),
+            "_kinds": F.transform_values(fields, lambda _, v: _kind(v)),
             "missing_fields": F.when(F.col("_object"), F.array_except(required, "_keys")).otherwise(required),
             "unexpected_fields": F.when(F.col("_object"), F.array_except("_keys", required)).otherwise(none),
         }
     )
     complete = F.col("_object") & (F.size("missing_fields") == 0)
 
-    def seen(field: Field) -> Column:
-        return F.schema_of_variant(F.col("_by_field")[field.name])
-
     def value(name: str) -> Column:
         return F.col(f"payload.`{name}`")
 
-    wrong = [seen(f).isNotNull() & (seen(f) != "VOID") & ~seen(f).rlike(KINDS[f.kind]) for f in contract.fields]
+    accepted = F.create_map(*[x for f in contract.fields for x in (F.lit(f.name), F.array(*map(F.lit, ACCEPTS[f.kind])))])
+    needed = F.array(*[F.lit(f.name) for f in contract.fields if not f.nullable])
+    entries = F.map_entries("_kinds")
+    wrong = F.exists(
+        entries, lambda e: e["value"].isNotNull() & (e["value"] != "null") & ~F.array_contains(F.try_element_at(accepted, e["key"]), e["value"])
+    )
+    missing = F.exists(entries, lambda e: (e["value"] == "null") & F.array_contains(needed, e["key"]))
     if strict:
-        wrong += [seen(f).isNotNull() & (seen(f) != "VOID") & value(f.name).isNull() for f in contract.fields]
-    missing = [seen(f) == "VOID" for f in contract.fields if not f.nullable]
+        lost = [value(f.name).isNull() & (F.try_element_at("_kinds", F.lit(f.name)) != "null") for f in contract.fields]
+        wrong = wrong | any_of(lost)
     structure = [
         Rule("E001_MALFORMED_JSON", lambda get: F.col("_variant").isNull()),
         Rule("E002_TOP_LEVEL_NOT_OBJECT", lambda get: F.col("_variant").isNotNull() & ~F.col("_object")),
         Rule("E003_MISSING_FIELDS", lambda get: F.col("_object") & (F.size("missing_fields") > 0)),
         Rule("E004_UNEXPECTED_FIELDS", lambda get: F.col("_object") & (F.size("unexpected_fields") > 0)),
-        Rule("E005_TYPE_MISMATCH", lambda get: complete & any_of(wrong)),
-        Rule("E006_REQUIRED_NULL", lambda get: complete & any_of(missing)),
+        Rule("E005_TYPE_MISMATCH", lambda get: complete & wrong),
+        Rule("E006_REQUIRED_NULL", lambda get: complete & missing),
     ]
     parsed = parsed.withColumn("_structure", codes(structure, value))
     eligible = complete & (F.size("unexpected_fields") == 0) & (F.size("_structure") == 0)
@@ -109,7 +112,7 @@ def validate_json(
     out = judged.withColumns({n: value(n) for n in names} | {"contract_version": F.lit(contract.version)})
     if stamp:
         out = out.withColumn("ingested_at", F.current_timestamp())
-    return out.drop("_variant", "_kind", "_keys", "_object", "_by_field", "_structure", "_eligible")
+    return out.drop("_variant", "_keys", "_object", "_kinds", "_structure", "_eligible")
 
 
 def validate_table(df: DataFrame, contract: Contract, strict: bool = False) -> DataFrame:

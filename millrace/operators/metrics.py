@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -104,7 +105,7 @@ def metric_windows(events: DataFrame, minutes: int = 5) -> DataFrame:
         F.max("metric_semantics").alias("_other"),
         F.min("_names").alias("_names"),
         F.max("_names").alias("_other_names"),
-        F.max_by("status", "_order").alias("status"),
+        F.max_by("status", "_order").alias("_status"),
         F.count(F.lit(1)).alias("event_count"),
         F.count(duration).alias("_durations"),
         F.avg(duration).alias("_avg"),
@@ -128,14 +129,16 @@ def metric_windows(events: DataFrame, minutes: int = 5) -> DataFrame:
     status = e.groupBy(*by, "status").agg(F.count(F.lit(1)).alias("_n")).groupBy(*by)
     status = status.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "_n")))).alias("status_counts"))
 
-    def same(other: DataFrame) -> Column:
-        conditions = [heads[c].eqNullSafe(other[c]) for c in by]
-        return conditions[0] & conditions[1] & conditions[2] & conditions[3] & conditions[4]
+    def beside(left: DataFrame, right: DataFrame, mark: str) -> DataFrame:
+        """The columns of both, joined on the group, whose topic may be null."""
+        renamed = right.withColumnsRenamed({c: f"{mark}{c}" for c in by})
+        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{mark}{c}")) for c in by])
+        return left.join(renamed, same, "left").drop(*[f"{mark}{c}" for c in by])
 
-    joined = heads.join(values, same(values), "left").join(status, same(status), "left")
+    joined = beside(beside(heads, values, "_v_"), status, "_s_")
     mixed = (F.col("metric_semantics") != F.col("_other")) | (F.col("_names") != F.col("_other_names"))
     unknown = ~F.col("metric_semantics").isin("delta", "gauge", "cumulative")
-    name = F.concat(heads["component"], F.lit("."), heads["metric_name"])
+    name = F.concat_ws(".", "component", "metric_name")
     checked = F.when(mixed, F.raise_error(F.concat(F.lit("inconsistent semantics/values for "), name))).when(
         unknown, F.raise_error(F.concat(F.lit("unsupported metric_semantics="), F.col("metric_semantics")))
     ).otherwise(F.col("metric_semantics"))
@@ -150,8 +153,8 @@ def metric_windows(events: DataFrame, minutes: int = 5) -> DataFrame:
         ),
     ).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>")))
     return joined.select(
-        *[heads[c] for c in by], checked.alias("metric_semantics"), values["values"], statistics.alias("statistics"),
-        "status", "status_counts", "event_count",
+        *by, checked.alias("metric_semantics"), "values", statistics.alias("statistics"), F.col("_status").alias("status"),
+        "status_counts", "event_count",
     )
 
 
