@@ -49,7 +49,11 @@ def new_files(before: DataFrame, after: DataFrame) -> DataFrame:
 def committed_files(spark: SparkSession, path: str) -> DataFrame:
     """Added files by batch from a file sink's commit log. Version lines and deletions are skipped; ``compact`` marks files
     that a compacted log names, which may be of any earlier batch."""
-    lines = spark.read.text(f"{path.rstrip('/')}/_spark_metadata").select("value", F.col("_metadata.file_name").alias("_file"))
+    # Spark's readers skip this folder on purpose; its few small files come as whole texts
+    logs = spark.sparkContext.wholeTextFiles(f"{path.rstrip('/')}/_spark_metadata/*")
+    lines = spark.createDataFrame(logs, "file string, content string").select(
+        F.explode(F.split("content", "\n")).alias("value"), F.element_at(F.split("file", "/"), -1).alias("_file")
+    )
     entry = F.from_json("value", "path string, size long, action string, modificationTime long")
     named = lines.filter(F.col("_file").rlike(r"^\d+(\.compact)?$") & F.col("value").startswith("{"))
     parsed = named.select(entry.alias("e"), "_file").filter("e.action = 'add'")
