@@ -37,6 +37,8 @@ def source_targets(sources: DataFrame, weights=(5, 2, 1), total: float = 1.5, mo
     before = capped.rowsBetween(Window.unboundedPreceding, -1)
     after = capped.rowsBetween(Window.currentRow, Window.unboundedFollowing)
     everything = Window.partitionBy(F.lit(1))
+    # the level is that of the first source in the order above whose cap it does not reach
+    first = F.struct("_per", F.col("source").isNull().alias("last"), "source", "_level")
     return (
         sources.withColumn("_place", place)
         .withColumn("_weight", weight)
@@ -44,7 +46,7 @@ def source_targets(sources: DataFrame, weights=(5, 2, 1), total: float = 1.5, mo
         .withColumn("_per", F.col("_cap") / F.col("_weight"))
         .withColumn("_all", F.sum("source_size").over(everything) * F.lit(total))
         .withColumn("_level", (F.col("_all") - F.coalesce(F.sum("_cap").over(before), F.lit(0.0))) / F.sum("_weight").over(after))
-        .withColumn("_found", F.min(F.when(F.col("_level") <= F.col("_per"), F.struct("_per", "_level"))).over(everything))
+        .withColumn("_found", F.min(F.when(F.col("_level") <= F.col("_per"), first)).over(everything))
         .withColumn("target", F.least("_cap", F.coalesce(F.col("_found._level") * F.col("_weight"), F.col("_cap"))))
         .select("source", "source_size", "target")
     )
