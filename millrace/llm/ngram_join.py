@@ -9,8 +9,9 @@ short lists to merge, the others the long ones to probe.
    documents; documents with fewer than T of those are out of the search. Truncation can only keep too many.
 3. The sets of the remaining classes are read once, their list lengths counted exactly, and the short lists written as
    (shingle, node).
-4. Neighbours in the short lists, ordered by size, are searched first: they link a large group of near copies in a chain.
-   Then, of each list, only documents of different components still have to be searched, in tiles if a list is long.
+4. Neighbours in the short lists, by size and then by chance, are searched first: they link a large group of near copies
+   with a few searches each. Then, of each list, only documents of different components still have to be searched, in tiles
+   if a list is long. Ranks in the lists bound what a pair can still share.
 5. A search takes one document and the lists of its candidates: DivideSkip pops the short lists off a heap, skips ahead
    where too few can follow, and probes the long lists by bisection for those that reach the rest. What reaches T is held
    against the exact threshold.
@@ -29,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm import textkernel as tk
@@ -41,6 +42,10 @@ from millrace.plans.staging import Scratch, if_small
 RANGE_SHINGLES = 1 << 20
 #: Documents of a short list that make one tile, and candidates that one search takes at a time.
 TILE = 256
+#: Searches of random partners before the whole one, and partners of a document in each. Neither loses a pair: the last
+#: search covers all pairs of different components.
+ROUNDS = 2
+PARTNERS = 6
 _SHARED = 0xFFFF
 _PIECE_ROWS = 30_000
 
@@ -294,8 +299,12 @@ def _short_lists(percent: int):
         take = (rank < first[owners]) & (have[owners] >= need[owners])
         at = owners[take]
         return pa.table(
-            [pa.array(grams[take].view(np.int64)), pa.array(nodes[at]), pa.array(counts[at])], ["gram", "node", "n"]
-        )
+            [
+                pa.array(grams[take].view(np.int64)), pa.array(nodes[at]), pa.array(counts[at]),
+                pa.array((counts - have)[at] + rank[take]),
+            ],
+            ["gram", "node", "n", "rank"],
+        )
 
     return lists
 
@@ -303,22 +312,27 @@ def _short_lists(percent: int):
 # ---- steps 4 and 5: candidates and their search
 
 
-def _fits(n, m, percent: int):
-    return 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+def _may_reach(n, m, rank_n, rank_m, percent: int):
+    """Whether two sets can reach the threshold, if a shingle at these ranks is the first one that they share."""
+    need = -(-percent * (n + m) // (100 + percent))
+    return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (np.minimum(n - rank_n, m - rank_m) >= need)
 
 
 def _neighbours(percent: int):
+    """Neighbours in sorted lists (gram, node, n, rank, component) that different components hold."""
+
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
-            g, x, n = (batch.column(c).to_numpy() for c in ("gram", "node", "n"))
+            columns = [batch.column(c).to_numpy() for c in ("gram", "node", "n", "rank", "component")]
             if last is not None:
-                g, x, n = (np.append(a, b) for a, b in zip(last, (g, x, n), strict=True))
-            near = (g[1:] == g[:-1]) & (x[1:] != x[:-1]) & _fits(n[1:], n[:-1], percent)
+                columns = [np.append(a, b) for a, b in zip(last, columns, strict=True)]
+            g, x, n, r, c = columns
+            near = (g[1:] == g[:-1]) & (c[1:] != c[:-1]) & _may_reach(n[1:], n[:-1], r[1:], r[:-1], percent)
             a, b = x[:-1][near], x[1:][near]
             found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["x", "y"])
-            last = (g[-1:], x[-1:], n[-1:]) if len(g) else last
+            last = [v[-1:] for v in columns] if len(g) else last
 
     return pairs
 
@@ -327,26 +341,31 @@ def _across(percent: int):
     """Pairs of one tile's documents that different components hold."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[int] = set()
         now, rows = None, []
 
         def close() -> list[tuple[int, int]]:
-            x, n, c, s = (np.array(v) for v in zip(*rows, strict=True))
+            x, n, r, c, s = (np.array(v) for v in zip(*rows, strict=True))
             # a tile is one chunk of its list with itself, or two chunks
-            differ = (c[:, None] != c[None, :]) & _fits(n[:, None], n[None, :], percent) & (x[:, None] < x[None, :])
-            if now[1] != now[2]:
-                differ |= differ.T
-                differ &= (s[:, None] == now[1]) & (s[None, :] == now[2])
-            a, b = np.nonzero(differ)
-            fresh = {(min(p), max(p)) for p in zip(x[a].tolist(), x[b].tolist(), strict=True)} - seen
-            if len(seen) > 500_000:
+            may = (c[:, None] != c[None, :]) & _may_reach(n[:, None], n[None, :], r[:, None], r[None, :], percent)
+            if now[1] == now[2]:
+                may &= x[:, None] < x[None, :]
+            else:
+                may &= (s[:, None] == now[1]) & (s[None, :] == now[2])
+            a, b = np.nonzero(may)
+            out = []
+            for p, q in zip(np.minimum(x[a], x[b]).tolist(), np.maximum(x[a], x[b]).tolist(), strict=True):
+                pair = p << 64 | q
+                if pair not in seen:
+                    seen.add(pair)
+                    out.append((p, q))
+            if len(seen) > 250_000:  # what is forgotten is only sent twice
                 seen.clear()
-            seen.update(fresh)
-            return list(fresh)
+            return out
 
         for batch in batches:
             found: list[tuple[int, int]] = []
-            names = ("gram", "i", "j", "node", "n", "component", "chunk")
+            names = ("gram", "i", "j", "node", "n", "rank", "component", "chunk")
             for g, i, j, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
                 if now != (g, i, j):
                     found += close() if rows else []
@@ -360,6 +379,36 @@ def _across(percent: int):
     return pairs
 
 
+def _open_lists(entries: DataFrame, group: DataFrame) -> DataFrame:
+    """Entries with their components, of the lists that several components share; chunks of TILE documents."""
+    member = entries.join(if_small(group), "node", "left").withColumn("component", F.coalesce("component", "node"))
+    lists = member.groupBy("gram").agg(
+        F.count(F.lit(1)).alias("_count"), F.min("component").alias("_low"), F.max("component").alias("_high")
+    )
+    lists = lists.filter("_low <> _high").select("gram", F.ceil(F.col("_count") / F.lit(TILE)).cast("int").alias("chunks"))
+    return member.join(lists, "gram")
+
+
+def _tiles(lists: DataFrame) -> DataFrame:
+    """Every list as tiles of two of its chunks, or of one with itself."""
+    tiled = (
+        lists.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+        .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+        .withColumn("i", F.least("chunk", "_with"))
+        .withColumn("j", F.greatest("chunk", "_with"))
+        .select("gram", "i", "j", "node", "n", "rank", "component", "chunk")
+    )
+    return tiled.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "node")
+
+
+def _partners(pairs: DataFrame, luck: int) -> DataFrame:
+    """Of the pairs, PARTNERS for each document, by a hash of the pair."""
+    both = pairs.unionByName(pairs.select(F.col("y").alias("x"), F.col("x").alias("y"))).distinct()
+    nth = F.row_number().over(Window.partitionBy("x").orderBy(F.xxhash64("x", "y", F.lit(luck))))
+    some = both.withColumn("_nth", nth).filter(F.col("_nth") <= PARTNERS)
+    return some.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
 def divide_skip(lists: list[list[int]], least: int) -> dict[int, int]:
     """Ids that are in at least ``least`` of the sorted lists, with the number of lists that have them."""
     lists = sorted((x for x in lists if x), key=len)
@@ -507,31 +556,22 @@ def _components_of(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
     range_bits = min(20, max(4, math.ceil(math.log2(max(1, total / RANGE_SHINGLES)))))
     lengths = packed.mapInArrow(_deal_sets(range_bits), _DEALT).groupBy("range")
     lengths = lengths.applyInArrow(_lengths_of_range, "piece long, grams binary, owners binary, lengths binary, nodes binary")
-    entries = lengths.groupBy("piece").applyInArrow(_short_lists(percent), "gram long, node long, n long")
+    entries = lengths.groupBy("piece").applyInArrow(_short_lists(percent), "gram long, node long, n long, rank long")
     entries = scratch.write(entries.distinct(), "short-lists")
 
-    order = ["gram", "n", "node"]
-    near = entries.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_neighbours(percent), "x long, y long")
-    near = scratch.write(near.distinct(), "neighbours")
-    links = scratch.write(_links(near, packed, percent), "links")
-    group = scratch.write(components(links, scratch), "components")
-
-    member = entries.join(if_small(group), "node", "left").withColumn("component", F.coalesce("component", "node"))
-    lists = member.groupBy("gram").agg(
-        F.count(F.lit(1)).alias("_count"), F.min("component").alias("_low"), F.max("component").alias("_high")
-    )
-    open_lists = lists.filter("_low <> _high").select("gram", F.ceil(F.col("_count") / F.lit(TILE)).cast("int").alias("_chunks"))
-    tiled = (
-        member.join(open_lists, "gram")
-        .withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("_chunks")).cast("int"))
-        .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("_chunks") - 1)))
-        .withColumn("i", F.least("chunk", "_with"))
-        .withColumn("j", F.greatest("chunk", "_with"))
-        .select("gram", "i", "j", "node", "n", "component", "chunk")
-    )
-    tiled = tiled.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "node")
-    across = tiled.mapInArrow(_across(percent), "x long, y long").distinct()
-    across = scratch.write(across.join(near, ["x", "y"], "left_anti"), "across")
+    # near copies link up in a chain by size, then through some random partners; what is left apart is searched whole
+    order = [["gram", "n", "node"]] + [["gram", "_luck"]] * ROUNDS
+    group = scratch.write(entries.select("node", F.col("node").alias("component")).limit(0), "components")
+    pairs, links = "x long, y long", None
+    for luck, by in enumerate(order):
+        lists = _open_lists(entries, group).withColumn("_luck", F.xxhash64("gram", "node", F.lit(luck)))
+        near = lists.repartitionByRange(*by).sortWithinPartitions(*by).select("gram", "node", "n", "rank", "component")
+        near = near.mapInArrow(_neighbours(percent), pairs).distinct()
+        near = scratch.write(near if luck == 0 else _partners(near, luck), "neighbours")
+        found = _links(near, packed, percent)
+        links = scratch.write(found if links is None else links.unionByName(found), "links")
+        group = scratch.write(components(links, scratch), "components")
+    across = scratch.write(_tiles(_open_lists(entries, group)).mapInArrow(_across(percent), pairs).distinct(), "across")
     links = scratch.write(links.unionByName(_links(across, packed, percent)), "links")
     group = scratch.write(components(links, scratch), "components")
 

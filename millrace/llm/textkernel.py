@@ -16,7 +16,8 @@ import pyarrow.compute as pc
 
 #: Bytes of text that are worked on at a time; a longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
-SPAN_BYTES = 4 << 20
+#: Bytes that are hashed at a time, at some 40 bytes of memory each; a longer word is a span of its own.
+SPAN_BYTES = 1 << 20
 
 _U = np.uint64
 _VALUES = np.random.default_rng(20_011).integers(0, 2**63, 256, dtype=_U) * _U(2) + _U(1)
