@@ -45,7 +45,7 @@ TILE = 256
 #: Searches of random partners before the whole one, and partners of a document in each. Neither loses a pair: the last
 #: search covers all pairs of different components.
 ROUNDS = 2
-PARTNERS = 6
+PARTNERS = 16
 _SHARED = 0xFFFF
 _PIECE_ROWS = 30_000
 
