@@ -11,7 +11,8 @@ short lists to merge, the others the long ones to probe.
    (shingle, node).
 4. Neighbours in the short lists, by size and then by chance, are searched first: they link a large group of near copies
    with a few searches each. Then, of each list, only documents of different components still have to be searched, in tiles
-   if a list is long. Ranks in the lists bound what a pair can still share.
+   if a list is long. Ranks in the lists bound what a pair can still share, and so do parity sketches: every shingle flips one
+   bit of its set's, so the bits in which two sketches differ are at most as many as the shingles that only one set has.
 5. A search takes one document and the lists of its candidates: DivideSkip pops the short lists off a heap, skips ahead
    where too few can follow, and probes the long lists by bisection for those that reach the rest. What reaches T is held
    against the exact threshold.
@@ -46,6 +47,10 @@ TILE = 256
 #: search covers all pairs of different components.
 ROUNDS = 2
 PARTNERS = 16
+#: 64-bit words of a parity sketch.
+SKETCH_WORDS = 16
+#: Sketches that may be sent to every executor, some 30 MB.
+SKETCH_ROWS = 150_000
 _SHARED = 0xFFFF
 _PIECE_ROWS = 30_000
 
@@ -186,6 +191,13 @@ def _sum_piece(table: pa.Table) -> pa.Table:
 # ---- step 3: exact list lengths of the remaining sets, and the short lists
 
 
+def parity_sketch(grams: np.ndarray) -> np.ndarray:
+    """For each bit, whether an odd number of the shingles falls on it."""
+    bits = (tk.mix(grams ^ np.uint64(0xA0761D6478BD642F)) >> np.uint64(32)) % np.uint64(64 * SKETCH_WORDS)
+    odd = np.bincount(bits.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
 def _pack_sets(size: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in _row_pieces(batches):
@@ -194,8 +206,9 @@ def _pack_sets(size: int):
                 [
                     piece.column("node"), pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([s.tobytes() for s in sets], pa.binary()),
+                    pa.array([parity_sketch(s).tobytes() for s in sets], pa.binary()),
                 ],
-                names=["node", "n", "grams"],
+                names=["node", "n", "grams", "sketch"],
             )
 
     return pack
@@ -318,18 +331,32 @@ def _may_reach(n, m, rank_n, rank_m, percent: int):
     return (100 * np.minimum(n, m) >= percent * np.maximum(n, m)) & (np.minimum(n - rank_n, m - rank_m) >= need)
 
 
+def _near_enough(n, m, sketch_n: np.ndarray, sketch_m: np.ndarray, percent: int):
+    """Whether two sets' sketches leave it open that they reach the threshold."""
+    need = -(-percent * (n + m) // (100 + percent))
+    return np.bitwise_count(sketch_n ^ sketch_m).sum(axis=-1, dtype=np.int64) <= n + m - 2 * need
+
+
+def _sketches(column) -> np.ndarray:
+    """A row of words per sketch."""
+    return np.array([np.frombuffer(s.as_buffer(), np.uint64) for s in column], np.uint64).reshape(-1, SKETCH_WORDS)
+
+
 def _neighbours(percent: int):
-    """Neighbours in sorted lists (gram, node, n, rank, component) that different components hold."""
+    """Neighbours in sorted lists (gram, node, n, rank, component, sketch) that different components hold."""
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for batch in batches:
             columns = [batch.column(c).to_numpy() for c in ("gram", "node", "n", "rank", "component")]
+            columns.append(_sketches(batch.column("sketch")))
             if last is not None:
-                columns = [np.append(a, b) for a, b in zip(last, columns, strict=True)]
-            g, x, n, r, c = columns
+                columns = [np.append(a, b, axis=0) for a, b in zip(last, columns, strict=True)]
+            g, x, n, r, c, k = columns
             near = (g[1:] == g[:-1]) & (c[1:] != c[:-1]) & _may_reach(n[1:], n[:-1], r[1:], r[:-1], percent)
-            a, b = x[:-1][near], x[1:][near]
+            at = np.flatnonzero(near)
+            at = at[_near_enough(n[at], n[at + 1], k[at], k[at + 1], percent)]
+            a, b = x[at], x[at + 1]
             found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["x", "y"])
             last = [v[-1:] for v in columns] if len(g) else last
@@ -345,7 +372,8 @@ def _across(percent: int):
         now, rows = None, []
 
         def close() -> list[tuple[int, int]]:
-            x, n, r, c, s = (np.array(v) for v in zip(*rows, strict=True))
+            x, n, r, c, s = (np.array(v) for v in zip(*[row[:-1] for row in rows], strict=True))
+            k = _sketches([row[-1] for row in rows])
             # a tile is one chunk of its list with itself, or two chunks
             may = (c[:, None] != c[None, :]) & _may_reach(n[:, None], n[None, :], r[:, None], r[None, :], percent)
             if now[1] == now[2]:
@@ -353,6 +381,11 @@ def _across(percent: int):
             else:
                 may &= (s[:, None] == now[1]) & (s[None, :] == now[2])
             a, b = np.nonzero(may)
+            fits = np.zeros(len(a), bool)
+            for lo in range(0, len(a), 1 << 14):
+                p, q = a[lo : lo + (1 << 14)], b[lo : lo + (1 << 14)]
+                fits[lo : lo + (1 << 14)] = _near_enough(n[p], n[q], k[p], k[q], percent)
+            a, b = a[fits], b[fits]
             out = []
             for p, q in zip(np.minimum(x[a], x[b]).tolist(), np.maximum(x[a], x[b]).tolist(), strict=True):
                 pair = p << 64 | q
@@ -366,7 +399,8 @@ def _across(percent: int):
         for batch in batches:
             found: list[tuple[int, int]] = []
             names = ("gram", "i", "j", "node", "n", "rank", "component", "chunk")
-            for g, i, j, *row in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            columns = [batch.column(c).to_pylist() for c in names] + [batch.column("sketch")]
+            for g, i, j, *row in zip(*columns, strict=True):
                 if now != (g, i, j):
                     found += close() if rows else []
                     now, rows = (g, i, j), []
@@ -379,14 +413,14 @@ def _across(percent: int):
     return pairs
 
 
-def _open_lists(entries: DataFrame, group: DataFrame) -> DataFrame:
-    """Entries with their components, of the lists that several components share; chunks of TILE documents."""
+def _open_lists(entries: DataFrame, group: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Entries with their components and sketches, of the lists that several components share; chunks of TILE documents."""
     member = entries.join(if_small(group), "node", "left").withColumn("component", F.coalesce("component", "node"))
     lists = member.groupBy("gram").agg(
         F.count(F.lit(1)).alias("_count"), F.min("component").alias("_low"), F.max("component").alias("_high")
     )
     lists = lists.filter("_low <> _high").select("gram", F.ceil(F.col("_count") / F.lit(TILE)).cast("int").alias("chunks"))
-    return member.join(lists, "gram")
+    return member.join(lists, "gram").join(if_small(sketches, SKETCH_ROWS), "node")
 
 
 def _tiles(lists: DataFrame) -> DataFrame:
@@ -396,7 +430,7 @@ def _tiles(lists: DataFrame) -> DataFrame:
         .withColumn("_with", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
         .withColumn("i", F.least("chunk", "_with"))
         .withColumn("j", F.greatest("chunk", "_with"))
-        .select("gram", "i", "j", "node", "n", "rank", "component", "chunk")
+        .select("gram", "i", "j", "node", "n", "rank", "component", "chunk", "sketch")
     )
     return tiled.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j", "node")
 
@@ -551,9 +585,10 @@ def _components_of(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
 
     read = classes.select("first._k1", "first._k2", "node")
     packed = source.drop("_id").join(if_small(read), ["_k1", "_k2"]).select("node", "_text")
-    packed = scratch.write(packed.mapInArrow(_pack_sets(size), "node long, n long, grams binary"), "packed")
+    packed = scratch.write(packed.mapInArrow(_pack_sets(size), "node long, n long, grams binary, sketch binary"), "packed")
     total = packed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     range_bits = min(20, max(4, math.ceil(math.log2(max(1, total / RANGE_SHINGLES)))))
+    sketches, packed = packed.select("node", "sketch"), packed.drop("sketch")
     lengths = packed.mapInArrow(_deal_sets(range_bits), _DEALT).groupBy("range")
     lengths = lengths.applyInArrow(_lengths_of_range, "piece long, grams binary, owners binary, lengths binary, nodes binary")
     entries = lengths.groupBy("piece").applyInArrow(_short_lists(percent), "gram long, node long, n long, rank long")
@@ -564,14 +599,14 @@ def _components_of(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
     group = scratch.write(entries.select("node", F.col("node").alias("component")).limit(0), "components")
     pairs, links = "x long, y long", None
     for luck, by in enumerate(order):
-        lists = _open_lists(entries, group).withColumn("_luck", F.xxhash64("gram", "node", F.lit(luck)))
-        near = lists.repartitionByRange(*by).sortWithinPartitions(*by).select("gram", "node", "n", "rank", "component")
+        lists = _open_lists(entries, group, sketches).withColumn("_luck", F.xxhash64("gram", "node", F.lit(luck)))
+        near = lists.repartitionByRange(*by).sortWithinPartitions(*by).select("gram", "node", "n", "rank", "component", "sketch")
         near = near.mapInArrow(_neighbours(percent), pairs).distinct()
         near = scratch.write(near if luck == 0 else _partners(near, luck), "neighbours")
         found = _links(near, packed, percent)
         links = scratch.write(found if links is None else links.unionByName(found), "links")
         group = scratch.write(components(links, scratch), "components")
-    across = scratch.write(_tiles(_open_lists(entries, group)).mapInArrow(_across(percent), pairs).distinct(), "across")
+    across = scratch.write(_tiles(_open_lists(entries, group, sketches)).mapInArrow(_across(percent), pairs).distinct(), "across")
     links = scratch.write(links.unionByName(_links(across, packed, percent)), "links")
     group = scratch.write(components(links, scratch), "components")
 

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import brute
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +180,19 @@ def test_ngram_join(docs):
     assert ngram_join.ngram_join(docs.limit(0)).count() == 0
 
 
+def test_parity_sketches_lose_no_link():
+    luck = np.random.default_rng(7)
+    for _ in range(300):
+        n, gone, new = int(luck.integers(1, 400)), int(luck.integers(0, 60)), int(luck.integers(0, 60))
+        x = np.unique(luck.integers(0, 2**63, n, dtype=np.uint64))
+        y = np.unique(np.append(x[min(gone, len(x) - 1) :], luck.integers(0, 2**63, new, dtype=np.uint64)))
+        a, b = ngram_join.parity_sketch(x), ngram_join.parity_sketch(y)
+        assert np.bitwise_count(a ^ b).sum() <= len(np.setxor1d(x, y))
+        both = len(np.intersect1d(x, y))
+        if 100 * both >= 75 * (len(x) + len(y) - both):
+            assert ngram_join._near_enough(len(x), len(y), a, b, 75)
+
+
 def test_ngram_join_in_small_tiles(docs, monkeypatch):
     monkeypatch.setattr(ngram_join, "TILE", 3)
     monkeypatch.setattr(ngram_join, "ROUNDS", 0)
