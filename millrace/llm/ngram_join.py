@@ -45,7 +45,7 @@ RANGE_SHINGLES = 1 << 20
 TILE = 256
 #: Searches of random partners before the whole one, and partners of a document in each. Neither loses a pair: the last
 #: search covers all pairs of different components.
-ROUNDS = 2
+ROUNDS = 1
 PARTNERS = 16
 #: 64-bit words of a parity sketch.
 SKETCH_WORDS = 16
@@ -527,6 +527,11 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(_search(percent), "x long, y long")
 
 
+def _with_links(group: DataFrame, links: DataFrame) -> DataFrame:
+    """The components so far as links to their names, and more links."""
+    return group.select(F.col("node").alias("x"), F.col("component").alias("y")).unionByName(links)
+
+
 def ngram_join(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75
 ) -> DataFrame:
@@ -597,18 +602,15 @@ def _components_of(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str
     # near copies link up in a chain by size, then through some random partners; what is left apart is searched whole
     order = [["gram", "n", "node"]] + [["gram", "_luck"]] * ROUNDS
     group = scratch.write(entries.select("node", F.col("node").alias("component")).limit(0), "components")
-    pairs, links = "x long, y long", None
+    pairs = "x long, y long"
     for luck, by in enumerate(order):
         lists = _open_lists(entries, group, sketches).withColumn("_luck", F.xxhash64("gram", "node", F.lit(luck)))
         near = lists.repartitionByRange(*by).sortWithinPartitions(*by).select("gram", "node", "n", "rank", "component", "sketch")
         near = near.mapInArrow(_neighbours(percent), pairs).distinct()
         near = scratch.write(near if luck == 0 else _partners(near, luck), "neighbours")
-        found = _links(near, packed, percent)
-        links = scratch.write(found if links is None else links.unionByName(found), "links")
-        group = scratch.write(components(links, scratch), "components")
+        group = scratch.write(components(_with_links(group, _links(near, packed, percent)), scratch), "components")
     across = scratch.write(_tiles(_open_lists(entries, group, sketches)).mapInArrow(_across(percent), pairs).distinct(), "across")
-    links = scratch.write(links.unionByName(_links(across, packed, percent)), "links")
-    group = scratch.write(components(links, scratch), "components")
+    group = scratch.write(components(_with_links(group, _links(across, packed, percent)), scratch), "components")
 
     named = classes.join(if_small(group), "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = named.groupBy("component").agg(F.min("first").alias("least"))
