@@ -9,16 +9,17 @@ document are joined up afterwards.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import textkernel as tk
-from millrace.llm.common import row_key
-from millrace.plans.staging import Scratch
+from millrace.llm.common import merged_spans, row_key
+from millrace.plans.staging import Scratch, if_small
 
 #: Windows of one broadcast block. With the words for verification, about 150 bytes each.
 BLOCK_WINDOWS = 200_000
@@ -186,15 +187,105 @@ def remove_windows(
     """The rows of ``docs``, all columns, with hit spans cut out of their texts.
 
     A span, from its first to its last word, becomes one line break; the rest of the text is untouched, and so are texts
-    without a hit, null and empty ones included. Texts are scanned again until no window of the block is left, in case
-    a cut joins words up.
+    without a hit, null and empty ones included. Texts are scanned again until no window of the benchmark is left, in case
+    a cut joins words up. The result does not depend on ``block_windows``.
     """
     spark = docs.sparkSession
-    out = docs
-    for block in _blocks(benchmark, item_col, item_text_col, size, block_windows):
-        sent = spark.sparkContext.broadcast(WindowSet(block, size))
-        out = out.mapInArrow(_cut(sent, text_col), docs.schema)
-    return out
+    blocks = _blocks(benchmark, item_col, item_text_col, size, block_windows)
+    first = list(itertools.islice(blocks, 2))
+    if not first:
+        return docs
+    if len(first) == 1:
+        return docs.mapInArrow(_cut(spark.sparkContext.broadcast(WindowSet(first[0], size)), text_col), docs.schema)
+    return _cut_by_all(docs, benchmark, text_col, item_col, item_text_col, size, block_windows)
+
+
+def _cut_by_all(docs, benchmark, text_col, item_col, item_text_col, size, block_windows) -> DataFrame:
+    """As ``remove_windows``, for several blocks: each round takes the spans of all blocks on one state of the texts.
+
+    Only texts that a round has cut go into the next one; they keep the key of the text that they came from, and meet its
+    rows at the end.
+    """
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "decontaminate-cut")
+    texts = docs.select(*_text_key(docs[text_col]), docs[text_col].alias("_text"))
+    hit, done = None, []
+    while True:
+        found = None
+        for block in _blocks(benchmark, item_col, item_text_col, size, block_windows):
+            sent = spark.sparkContext.broadcast(WindowSet(block, size))
+            spans = scratch.write(texts.mapInArrow(_list_spans(sent), "_k1 long, _k2 long, a int, b int"), "block")
+            sent.destroy()
+            found = spans if found is None else found.unionByName(spans)
+        spans = scratch.write(merged_spans(found, ["_k1", "_k2"]), "spans")
+        keys = spans.select("_k1", "_k2")
+        if hit is None:
+            hit = keys
+        else:
+            done.append(texts.join(keys, ["_k1", "_k2"], "left_anti"))
+        if not spans.head(1):
+            break
+        cut = texts.join(if_small(keys), ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).join(spans, ["_k1", "_k2"])
+        texts = scratch.write(cut.mapInArrow(_cut_spans, "_k1 long, _k2 long, _text string"), "cut")
+    if not done:
+        return docs
+    whole = done[0]
+    for d in done[1:]:
+        whole = whole.unionByName(d)
+    whole, hit = whole.withColumnRenamed("_text", "_cut"), if_small(hit)
+
+    def same(right: DataFrame) -> Column:
+        k1, k2 = _text_key(docs[text_col])
+        return (k1 == right["_k1"]) & (k2 == right["_k2"])
+
+    touched = docs.join(hit, same(hit), "left_semi").join(whole, same(whole))
+    columns = [whole["_cut"].cast(docs.schema[c].dataType).alias(c) if c == text_col else docs[c] for c in docs.columns]
+    return docs.join(hit, same(hit), "left_anti").unionByName(touched.select(*columns))
+
+
+def _text_key(text: Column) -> list[Column]:
+    """Two 64-bit columns that tell texts apart."""
+    return [F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit("text"), text).alias("_k2")]
+
+
+def _list_spans(sent):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in tk.pieces(batches, "_text"):
+            w = tk.words_of_column(piece.column("_text"), tk.ALNUM, lower=True)
+            by = _per_text(w, sent.value.hits(w))
+            rows = [(i, a, b) for i in sorted(by) for a, b in _merged(by[i])]
+            at, first, last = zip(*rows, strict=True) if rows else ((), (), ())
+            at = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    piece.column("_k1").take(at), piece.column("_k2").take(at),
+                    pa.array(first, pa.int32()), pa.array(last, pa.int32()),
+                ],
+                names=["_k1", "_k2", "a", "b"],
+            )
+
+    return scan
+
+
+def _cut_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for piece in tk.pieces(batches, "_text"):
+        w = tk.words_of_column(piece.column("_text"), tk.ALNUM, lower=True)
+        data, offsets = tk.buffers(tk.text_array(piece.column("_text")))
+        spans = piece.column("spans").to_pylist()
+        texts = [_without(data, offsets, w, i, [(s["a"], s["b"]) for s in own]) for i, own in enumerate(spans)]
+        yield pa.RecordBatch.from_arrays(
+            [piece.column("_k1"), piece.column("_k2"), pa.array(texts, pa.string())], names=["_k1", "_k2", "_text"]
+        )
+
+
+def _without(data: np.ndarray, offsets: np.ndarray, w: tk.Words, i: int, spans) -> str:
+    """The i-th text with a line break for each of its disjoint spans of words."""
+    first, kept, last = int(w.first[i]), [], int(offsets[i])
+    for a, b in spans:
+        kept.append(data[last : w.start[first + a]].tobytes())
+        last = int(w.end[first + b - 1])
+    kept.append(data[last : int(offsets[i + 1])].tobytes())
+    return b"\n".join(kept).decode()
 
 
 def _cut(sent, text_col: str):
@@ -210,12 +301,7 @@ def _cut(sent, text_col: str):
                 again = []
                 for i in sorted(by):
                     texts = piece.column(at).to_pylist() if texts is None else texts
-                    base, first, kept, last = int(offsets[i]), int(w.first[i]), [], int(offsets[i])
-                    for a, b in _merged(by[i]):
-                        kept.append(data[last : w.start[first + a]].tobytes())
-                        last = int(w.end[first + b - 1])
-                    kept.append(data[last : base + int(offsets[i + 1] - offsets[i])].tobytes())
-                    texts[todo[i]] = b"\n".join(kept).decode()
+                    texts[todo[i]] = _without(data, offsets, w, i, _merged(by[i]))
                     again.append(todo[i])
                 todo = again
                 column = pa.array([texts[i] for i in todo], pa.string()) if todo else column

@@ -168,6 +168,21 @@ def test_decontamination(spark, docs):
     assert all(clean[k] == t for k, t in pairs() if k in clean and k is not None)
 
 
+def test_cuts_do_not_depend_on_blocks(spark, docs):
+    long = [f"l{i}" for i in range(15)]
+    items = [(1, " ".join(long[6:9])), (2, " ".join(long)), (3, "m1 m2 m3 m4 m5 m6 m7 m8 m9 m10"), (4, "m5 m6 m7 m8 m9 m10 m11 m12 m13 m14"), (5, "in side")]
+    texts = ["before " + " ".join(long) + " after", "x " + " ".join(f"m{i}" for i in range(1, 15)) + " y", "in in side side, in side.", "clean", None, ""]
+    texts += [texts[0], "m1 m2 m3 m4 m5 in side m6 m7 m8 m9 m10"]  # the second is joined up by a cut
+    rows = [(i % 6, t, "k", None, "clash", "clash") for i, t in enumerate(texts)]
+    both = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    benchmark = spark.createDataFrame([*items, *[(9 + i, " ".join(pairs()[j][1].split()[3:15])) for i, j in enumerate((1, 2, 6))]], "item_id long, text string")
+    cut = remove_windows(both, benchmark, block_windows=1)
+    assert cut.columns == both.columns and got(cut) == got(remove_windows(both, benchmark))
+    left = {r.text for r in cut.filter("lang = 'k'").collect()}
+    assert left == {"before \n after", "x \n y", "\n, \n.", "clean", None, "", "\n"}
+    assert got(remove_windows(both.filter("text = 'clean'"), benchmark, block_windows=1)) == got(both.filter("text = 'clean'"))
+
+
 def test_ngram_join(docs):
     want = sorted(map(repr, brute.jaccard_components(pairs(), 5, 75)))
     assert got(ngram_join.ngram_join(docs)) == want
