@@ -13,8 +13,8 @@ consecutive and make one snippet of text, in which no window is twice.
 3. The repeated spans go back to all places of their content, and each document loses the union of its spans.
 
 A shard goes to the tasks that hold its documents, not to all: its size grows with the corpus, so nothing proves a
-bound for a broadcast. An anchor with very many contents is dealt on by the hash of each window, so that no
-shard is large.
+bound for a broadcast. The windows of an anchor with very many contents are counted natively instead, with partial sums
+before the exchange: a boilerplate passage is then one row per task, whatever the number of documents that hold it.
 """
 
 from __future__ import annotations
@@ -34,6 +34,8 @@ from millrace.plans.staging import Scratch, if_small
 SHARD_CONTENTS = 1_000
 #: Entries of a per-document list table that may be broadcast, at some 30 bytes each.
 LIST_ENTRIES = 1_500_000
+#: Repeated windows of hot anchors that may be broadcast, at some 350 bytes each.
+WINDOW_ROWS = 50_000
 
 
 class SuffixAutomaton:
@@ -191,17 +193,33 @@ def substring_dedup(
     whole = contents.filter("kinds = 1").select(
         "anchor", "content", F.array(F.struct(F.lit(0).alias("a"), (F.col("at.n") + (window - 1)).alias("b"))).alias("spans")
     )
-    wanted = contents.filter("kinds > 1").groupBy("at._k1", "at._k2").agg(
-        F.collect_list(
-            F.struct("anchor", "content", "at.start", "at.n", "copies", (F.col("kinds") > SHARD_CONTENTS).alias("split"))
-        ).alias("wanted")
-    )
-    wanted = scratch.write(wanted, "wanted")
-    entry = "anchor long, part long, content long, first int, copies long, words binary"
-    shards = _with_lists(source.drop("_id"), wanted, "wanted", "inner").mapInArrow(_cut_snippets(window), entry)
-    judged = shards.repartition("anchor", "part").sortWithinPartitions("anchor", "part", "content", "first")
+
+    def cut_out(some: DataFrame, label: str, split: bool, entry: str) -> DataFrame:
+        """The words of the contents, from one text each."""
+        wanted = some.groupBy("at._k1", "at._k2").agg(
+            F.collect_list(F.struct("anchor", "content", "at.start", "at.n", "copies")).alias("wanted")
+        )
+        wanted = scratch.write(wanted, label)
+        return _with_lists(source.drop("_id"), wanted, "wanted", "inner").mapInArrow(_cut_snippets(window, split), entry)
+
+    some = contents.filter((F.col("kinds") > 1) & (F.col("kinds") <= SHARD_CONTENTS))
+    shards = cut_out(some, "wanted", False, "anchor long, content long, copies long, words binary")
+    judged = shards.repartition("anchor").sortWithinPartitions("anchor", "content")
     judged = judged.mapInArrow(_judge(window), "anchor long, content long, spans array<struct<a:int,b:int>>")
-    verdicts = scratch.write(whole.unionByName(judged), "verdicts")
+    verdicts = whole.unionByName(judged)
+    many = contents.filter(F.col("kinds") > SHARD_CONTENTS)
+    if many.head(1):
+        entry = "anchor long, content long, first int, copies long, part long, words binary"
+        windows = scratch.write(cut_out(many, "wanted-windows", True, entry), "windows")
+        same = ["anchor", "part", "words"]
+        # a repeated row has its windows again; their copies are two or more anyway
+        repeated = windows.groupBy(*same).agg(F.sum("copies").alias("_copies")).filter("_copies > 1").select(*same)
+        # written first: the join then reads both sides anew, and a hot window's rows can be dealt to several tasks
+        repeated = if_small(scratch.write(repeated, "repeated"), WINDOW_ROWS)
+        span = F.struct(F.col("first").alias("a"), (F.col("first") + window).alias("b"))
+        hot = windows.join(repeated, same, "left_semi").select("anchor", "content", F.array(span).alias("spans"))
+        verdicts = verdicts.unionByName(hot)
+    verdicts = scratch.write(verdicts, "verdicts")
 
     spans = places.join(verdicts, ["anchor", "content"]).select("_k1", "_k2", "start", F.explode("spans").alias("s"))
     spans = spans.select("_k1", "_k2", (F.col("start") + F.col("s.a")).alias("a"), (F.col("start") + F.col("s.b")).alias("b"))
@@ -218,8 +236,10 @@ def _with_lists(source: DataFrame, lists: DataFrame, column: str, how: str) -> D
     return source.join(F.broadcast(lists) if entries <= LIST_ENTRIES else lists, ["_k1", "_k2"], how)
 
 
-def _cut_snippets(window: int):
-    """The words of wanted snippets; those of a split anchor one window at a time, dealt by the window's hash."""
+def _cut_snippets(window: int, split: bool):
+    """The words of wanted snippets: whole, or one window at a time with its place in the snippet and its hash."""
+    names = ["anchor", "content", "first", "copies", "part", "words"] if split else ["anchor", "content", "copies", "words"]
+    types = {"first": pa.int32(), "words": pa.binary()}
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in tk.pieces(batches, "_text"):
@@ -229,30 +249,29 @@ def _cut_snippets(window: int):
                 for s in wanted:
                     lo = int(w.first[i]) + s["start"]
                     words = w.hashes[lo : lo + s["n"] + window - 1]
-                    if s["split"]:
+                    if split:
                         parts = tk.windows_of(words, window).view(np.int64).tolist()
                         rows += [
-                            (s["anchor"], part, s["content"], j, s["copies"], words[j : j + window].tobytes())
+                            (s["anchor"], s["content"], j, s["copies"], part, words[j : j + window].tobytes())
                             for j, part in enumerate(parts)
                         ]
                     else:
-                        rows.append((s["anchor"], 0, s["content"], 0, s["copies"], words.tobytes()))
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
-            names = ["anchor", "part", "content", "first", "copies", "words"]
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+                        rows.append((s["anchor"], s["content"], s["copies"], words.tobytes()))
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+            arrays = [pa.array(c, types.get(n, pa.int64())) for c, n in zip(columns, names, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return cut
 
 
 def _judge(window: int):
-    """One automaton per (anchor, part): the repeated spans of each of its contents."""
+    """One automaton per anchor: the repeated spans of each of its contents, SHARD_CONTENTS at most."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "content", "spans"]
         types = [pa.int64(), pa.int64(), pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))]
         out: list[tuple] = []
-        shard: dict[tuple[int, int], tuple[int, list[int]]] = {}
+        shard: dict[int, tuple[int, list[int]]] = {}
         now = None
 
         def close() -> None:
@@ -260,23 +279,23 @@ def _judge(window: int):
             for copies, words in shard.values():
                 automaton.add(words, copies)
             automaton.settle()
-            for (content, first), (_, words) in shard.items():
+            for content, (_, words) in shard.items():
                 spans = spans_of(automaton.repeated(words, window), window)
                 if spans:
-                    out.append((now[0], content, [{"a": first + a, "b": first + b} for a, b in spans]))
+                    out.append((now, content, [{"a": a, "b": b} for a, b in spans]))
 
         def rows() -> pa.RecordBatch:
             columns = list(zip(*out, strict=True)) if out else [[]] * 3
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
         for batch in batches:
-            for anchor, part, content, first, copies, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if now != (anchor, part):
+            for anchor, content, copies, words in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if now != anchor:
                     if now is not None:
                         close()
-                    now, shard = (anchor, part), {}
+                    now, shard = anchor, {}
                 # a repeated row has the same snippet again; its copies are counted already
-                shard[content, first] = (copies, np.frombuffer(words, np.uint64).tolist())
+                shard[content] = (copies, np.frombuffer(words, np.uint64).tolist())
             if out:
                 yield rows()
                 out = []

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm import chat, ngram_join
 from millrace.llm import quality as q
+from millrace.llm import substring_dedup as substring_module
 from millrace.llm import textkernel as tk
 from millrace.llm.decontaminate import find_windows, remove_windows
 from millrace.llm.exact_dedup import exact_dedup
@@ -95,6 +96,35 @@ def test_substring_dedup_splits_hot_anchors(docs, monkeypatch):
     assert got(substring_dedup(docs, window=8, gram=3)) == sorted(map(repr, brute.substring(pairs(), 8)))
 
 
+def test_substring_dedup_keeps_no_hot_window_in_one_group(spark, monkeypatch):
+    limit, passage, real = 10, " ".join(f"p{i}" for i in range(12)), substring_module._judge
+
+    def watched(window):
+        judge = real(window)
+
+        def run(batches):
+            held = collections.Counter()
+
+            def seen():
+                for b in batches:
+                    held.update(zip(*(b.column(c).to_pylist() for c in ("anchor", "part") if c in b.schema.names), strict=True))
+                    yield b
+
+            yield from judge(seen())
+            assert max(held.values(), default=0) <= limit, held
+
+        return run
+
+    monkeypatch.setattr(substring_module, "SHARD_CONTENTS", limit)
+    monkeypatch.setattr(substring_module, "_judge", watched)
+    texts = [(i, f"a{i} b{i} c{i} {passage} d{i} e{i}") for i in range(60)] + [(60, "p0 p1 p2 p3 p4 p5 p6 p7 p8 p9 p10"), (61, passage)]
+    texts += [texts[0], (62, f"{passage} once only here")]
+    for most in (0, 50_000):
+        monkeypatch.setattr(substring_module, "WINDOW_ROWS", most)
+        rows = substring_dedup(spark.createDataFrame(texts, "doc_id long, text string"), window=8, gram=3)
+        assert got(rows) == sorted(map(repr, brute.substring(texts, 8)))
+
+
 def test_suffix_automaton_counts_all_substrings():
     r = random.Random(1)
     texts = [[r.randrange(3) for _ in range(r.randint(0, 30))] for _ in range(6)]
