@@ -11,17 +11,20 @@ import contextlib
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Rows up to which a side may be sent to every executor. At some 100 bytes a row this is a few tens of MB.
-BROADCAST_ROWS = 400_000
+#: Bytes, as Spark holds rows in memory, up to which a side may be sent to every executor.
+BROADCAST_BYTES = 24 << 20
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a temporary one only where the setting is missing (tests on one machine)."""
+    """The folder in spark.checkpoint.dir; a temporary one only where the setting is missing on one machine, as in tests."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -48,6 +51,13 @@ class Scratch:
         back._millrace_path = path
         return back
 
+    def append(self, df: DataFrame, label: str) -> None:
+        """Adds the rows to the table of that label, for loops that would else union ever more tables."""
+        df.write.mode("append").parquet(f"{self.folder}/{label}")
+
+    def read(self, label: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.folder}/{label}")
+
     def release(self, *tables: DataFrame) -> None:
         for table in tables:
             _delete(self.spark, table._millrace_path)
@@ -57,9 +67,32 @@ class Scratch:
             _delete(self.spark, self.folder)
 
 
-def if_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """The table with a broadcast hint if it has at most ``limit`` narrow rows; beyond that the join shuffles.
+def _held(kind: T.DataType, value: Column) -> tuple[int, list[Column]]:
+    """Bytes that a value takes in a row at any rate, and what it takes besides."""
+    if isinstance(kind, T.StringType | T.BinaryType):
+        return 16, [F.octet_length(value)]
+    if isinstance(kind, T.ArrayType):
+        return 24, [F.size(value) * F.lit(_held(kind.elementType, value)[0])]
+    if isinstance(kind, T.StructType):
+        parts = [_held(f.dataType, value[f.name]) for f in kind.fields]
+        return 16 + sum(p[0] for p in parts), [x for p in parts for x in p[1]]
+    return (16 if isinstance(kind, T.DecimalType) else 8), []
+
+
+def bytes_of(table: DataFrame) -> int:
+    """Bytes of all rows as Spark holds them in memory; texts inside arrays are not counted."""
+    fixed, more = _held(table.schema, F.struct(*table.columns))
+    if not more:
+        return table.count() * fixed  # from the Parquet footers
+    added = F.lit(0).cast("long")
+    for x in more:
+        added = added + F.coalesce(x.cast("long"), F.lit(0))
+    return table.agg(F.coalesce(F.sum(added + fixed), F.lit(0))).first()[0]
+
+
+def if_small(table: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The table with a broadcast hint if it takes at most ``limit`` bytes; beyond that the join shuffles.
 
-    Meant for tables that :class:`Scratch` has written: their count comes from the Parquet footers.
+    Meant for tables that :class:`Scratch` has written, as the bytes are counted first.
     """
-    return F.broadcast(table) if table.count() <= limit else table
+    return F.broadcast(table) if bytes_of(table) <= limit else table
