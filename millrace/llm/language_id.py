@@ -1,151 +1,193 @@
 """Language identification by prediction by partial matching.
 
 Each language has a tree of byte contexts, up to ``order`` bytes long and only as deep as its counts carry. A byte is coded
-in the longest context that the language has, at probability ``count / (total + kinds)``; a byte never seen there pays the
-escape ``kinds / (total + kinds)`` and is coded one byte of context shorter, down to a uniform code over all bytes. Counts are
-frozen before scoring. The language with the shortest code for the whole text wins; code lengths are whole numbers of
-1/512 bits, so that sums do not depend on their order.
-
-The counts come from a bounded sample of whole labelled texts and are summed on Spark. All trees share one set of
-contexts, kept as arrays: for each position the longest shared context is found by stepping backwards, and each language's
-code length there is one lookup.
+in the longest context that the trees have, at probability ``count / (total + kinds)``; a byte never seen there pays the
+escape ``kinds / (total + kinds)`` and is coded one byte of context shorter, down to a uniform code over all bytes; a
+context that a language itself has not seen costs it no escape. Counts are frozen before scoring. The language with the
+shortest code for the whole text wins; code lengths are whole numbers of 1/256 bits, so that sums do not depend on their
+order.
+
+The counts come from a bounded sample of whole labelled texts; Spark sums and prunes them. What is broadcast are the counts,
+a few megabytes; each worker makes its tables of them once. All trees share one set of contexts: for each position the
+longest shared context is found by stepping backwards, and each language's code length there is one lookup.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import textkernel as tk
 
-UNIT = 512
-_LONGEST = 60_000
+#: Code lengths are in 1/UNIT bits. With five contexts of at most 2**40 bytes each, a code is under 256 bits.
+UNIT = 256
+#: Bytes that are coded at a time, at some 30 bytes of memory each; a longer text is coded in several steps.
+SPAN_BYTES = 1 << 20
+#: Bytes of sample text whose contexts are counted at a time, at some 100 bytes of memory each.
+COUNT_BYTES = 1 << 19
 
 
 @dataclass
 class ContextTrees:
-    """Shared contexts as arrays. Context 0 is none, 1 the empty one; ``child[c, s]`` is c with symbol s before it."""
+    """Counts of bytes in shared contexts.
+
+    ``names``: the contexts, each its length and its bytes, in order; number 0 is the empty one. ``counts``: by language, the
+    numbers of the contexts, the bytes seen there and how often.
+    """
 
     languages: list[str]
-    symbol: np.ndarray  # of each byte; the last two numbers are: any byte never learned, start of text
-    child: np.ndarray
-    codes: list[np.ndarray]  # by language: code length of symbol s in context c, at c * symbols + s
     order: int
+    names: np.ndarray
+    counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    _made: tuple | None = field(default=None, repr=False)
+
+    def __getstate__(self):
+        return self.__dict__ | {"_made": None}
+
+    def tables(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """symbol: of each byte, the last two numbers are any byte never learned and the start of a text. child: of context
+        c and symbol s, the context with s before c, or -1. codes: by language, code lengths by context and symbol."""
+        if self._made is None:
+            learned = np.unique(np.concatenate([byte[at == 0] for at, byte, _ in self.counts]))
+            symbol = np.full(256, len(learned), np.int16)
+            symbol[learned] = np.arange(len(learned))
+            symbols = len(learned) + 2
+            depth, body = self.names >> 40, self.names & ((1 << 40) - 1)
+            farthest = body >> np.maximum(8 * (depth - 1), 0)
+            shorter = np.maximum(depth - 1, 0) << 40 | body & (1 << np.maximum(8 * (depth - 1), 0)) - 1
+            above = np.searchsorted(self.names, shorter)
+            child = np.full((len(self.names), symbols), -1, np.int32)
+            deep = np.flatnonzero(depth > 0)
+            child[above[deep], symbol[farthest[deep]]] = deep
+            levels = np.searchsorted(depth, np.arange(self.order + 2))
+            codes = [self._codes(levels, above, symbol, symbols, *own) for own in self.counts]
+            self._made = symbol, child, codes
+        return self._made
+
+    def _codes(self, levels, above, symbol, symbols, at, byte, n) -> np.ndarray:
+        """Code lengths of one language, from short contexts to long ones."""
+        bits = np.full((len(self.names), symbols), np.log2(256.0))
+        for lo, hi in zip(levels[:-1].tolist(), levels[1:].tolist(), strict=True):
+            mine = (at >= lo) & (at < hi)
+            counts = np.zeros((hi - lo, symbols))
+            counts[at[mine] - lo, symbol[byte[mine]]] = n[mine]
+            kinds, seen = np.count_nonzero(counts, axis=1)[:, None], counts.sum(1)[:, None]
+            shorter = bits[above[lo:hi]] if lo else bits[lo:hi]
+            escaped = np.log2((seen + kinds) / np.maximum(kinds, 1), where=kinds > 0, out=np.zeros_like(seen)) + shorter
+            bits[lo:hi] = np.where(counts > 0, np.log2((seen + kinds) / np.maximum(counts, 1), where=kinds > 0, out=np.zeros_like(counts)), escaped)
+        assert bits.max() < 65_535 / UNIT
+        return np.round(bits * UNIT).astype(np.uint16).reshape(-1)
 
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code lengths of texts, one row a text and one column a language, in 1/UNIT bits."""
-        symbols = self.child.shape[1]
-        s = self.symbol[data]
-        at = np.ones(len(s), np.int32)
-        best = at
-        flat = self.child.reshape(-1)
-        for back in range(1, self.order + 1):
-            before = np.full(len(s), symbols - 1, s.dtype)
-            before[back:] = s[:-back] if back < len(s) else s[:0]
-            for j in range(back):  # positions with less text before them than this
-                early = offsets[:-1] + j
-                before[early[early < offsets[1:]]] = symbols - 1
-            at = flat[at * np.int32(symbols) + before]
-            best = np.where(at > 0, at, best)
-        index = best * np.int32(symbols) + s
-        out = np.empty((len(offsets) - 1, len(self.languages)), np.int64)
-        for k, codes in enumerate(self.codes):
-            sums = np.zeros(len(s) + 1, np.int64)
-            np.cumsum(codes[index], out=sums[1:])
-            out[:, k] = sums[offsets[1:]] - sums[offsets[:-1]]
+        out = np.zeros((len(offsets) - 1, len(self.languages)), np.int64)
+        if not self.languages:
+            return out
+        symbol, child, codes = self.tables()
+        symbols, flat = child.shape[1], child.reshape(-1)
+        starts, ends = offsets[:-1], offsets[1:]
+        for lo in range(0, len(data), SPAN_BYTES):
+            hi = min(lo + SPAN_BYTES, len(data))
+            base = max(0, lo - self.order)
+            s = symbol[data[base:hi]]
+            best = np.zeros(hi - lo, np.int32)
+            at = best
+            for back in range(1, self.order + 1):
+                before = np.full(hi - lo, symbols - 1, s.dtype)
+                known = s[max(0, lo - base - back) : max(0, len(s) - back)]
+                before[len(before) - len(known) :] = known
+                for j in range(back):  # positions with less text before them than this
+                    early = starts + j
+                    early = early[(early < ends) & (early >= lo) & (early < hi)]
+                    before[early - lo] = symbols - 1
+                at = np.where(at >= 0, flat[at * np.int32(symbols) + before], at)
+                best = np.where(at >= 0, at, best)
+            index = best * np.int32(symbols) + s[lo - base :]
+            edges = np.clip(offsets, lo, hi) - lo
+            sums = np.zeros(hi - lo + 1, np.int64)
+            for k, code in enumerate(codes):
+                np.cumsum(code[index], out=sums[1:])
+                out[:, k] += sums[edges[1:]] - sums[edges[:-1]]
         return out
 
 
 def _count(order: int):
     """Counts of (context, byte) by language: the context length and its bytes packed in one number."""
 
+    def keys_of(text: np.ndarray) -> list[np.ndarray]:
+        text = text.astype(np.uint64)
+        packed, keys = text, [text]
+        for back in range(1, min(order, len(text) - 1) + 1):
+            packed = packed[1:] | (text[:-back] << np.uint64(8 * back))
+            keys.append(packed | np.uint64(back << 56))
+        return keys
+
+    def counted(lang: str, keys: list[np.ndarray]) -> pa.RecordBatch:
+        key, n = np.unique(np.concatenate(keys), return_counts=True)
+        columns = [pa.array([lang] * len(key)), pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64))]
+        return pa.RecordBatch.from_arrays(columns, names=["_lang", "key", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in tk.pieces(batches, "_text"):
             data, offsets = tk.buffers(tk.text_array(piece.column("_text")))
             languages = piece.column("_lang").to_pylist()
             for lang in sorted(set(languages)):
-                keys = []
+                keys, held = [], 0
                 for i in (i for i, x in enumerate(languages) if x == lang):
-                    text = data[offsets[i] : offsets[i + 1]].astype(np.uint64)
-                    packed = text.copy()
-                    for back in range(order + 1):
-                        if back:
-                            packed = packed[1:] | (text[: len(text) - back] << np.uint64(8 * back))
-                        keys.append(packed | np.uint64(back << 56))
-                if keys:
-                    key, n = np.unique(np.concatenate(keys), return_counts=True)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * len(key)), pa.array(key.astype(np.int64)), pa.array(n.astype(np.int64))],
-                        names=["_lang", "key", "n"],
-                    )
+                    keys += keys_of(data[offsets[i] : offsets[i + 1]])
+                    held += int(offsets[i + 1] - offsets[i])
+                    if held >= COUNT_BYTES:
+                        yield counted(lang, keys)
+                        keys, held = [], 0
+                if held:
+                    yield counted(lang, keys)
 
     return count
 
 
-def learn(
-    sample: DataFrame, order: int = 4, least: int = 8, contexts: int = 40_000
-) -> ContextTrees:
-    """Context trees from a bounded sample (_lang, _text). Kept are the contexts seen ``least`` times, ``contexts`` at most."""
-    counted = sample.mapInArrow(_count(order), "_lang string, key long, n long").groupBy("_lang", "key").agg(F.sum("n").alias("n"))
-    table = counted.toArrow()  # bounded by the sample: at most order + 1 entries per byte
-    languages = sorted(set(table.column("_lang").to_pylist()))
-    number = {x: i for i, x in enumerate(languages)}
-    lang = np.array([number[x] for x in table.column("_lang").to_pylist()], np.int64)
+def learn(sample: DataFrame, order: int = 4, least: int = 8, table_bytes: int = 256 << 20) -> ContextTrees:
+    """Context trees from a bounded sample (_lang, _text), with contexts of up to ``order`` bytes, 5 at most.
+
+    A context is kept, for all languages, if some language has seen it ``least`` times; the empty one always is. So a
+    language with few texts has the contexts that its own counts carry, whatever the others have. ``table_bytes`` bounds what
+    a worker makes of the trees: where it would take more, ``least`` is doubled until it does not. Null and empty texts,
+    texts of any length and repeated ones count as they are; null languages are left out; no texts give no languages.
+    """
+    if not 0 <= order <= 5:
+        raise ValueError("order is 0 to 5")
+    counted = sample.filter(F.col("_lang").isNotNull()).mapInArrow(_count(order), "_lang string, key long, n long")
+    counted = counted.groupBy("_lang", "key").agg(F.sum("n").alias("n"))
+    counted = counted.withColumn("name", F.shiftright("key", 8)).cache()
+    try:
+        seen = counted.groupBy("_lang", "name").agg(F.sum("n").alias("n")).groupBy("name").agg(F.max("n").alias("most"))
+        shape = counted.agg(F.count_distinct("_lang"), F.count_distinct(F.when(F.col("key") < 256, F.col("key")))).first()
+        row_bytes = (shape[0] * 2 + 4 + 24) * (shape[1] + 2)  # codes, children, and what making codes takes
+        doublings = F.floor(F.log2(F.greatest(F.col("most") / F.lit(least), F.lit(0.5))))
+        found = dict(seen.groupBy(doublings.alias("d")).count().collect())  # a row per power of two
+        times = 0
+        while sum(n for d, n in found.items() if d >= times) * row_bytes > table_bytes:
+            times += 1
+        kept = seen.filter((F.col("most") >= least * 2**times) | (F.col("name") == 0)).select("name")
+        table = counted.join(kept, "name", "left_semi").select("_lang", "key", "n").toArrow()  # bounded by table_bytes
+    finally:
+        counted.unpersist()
+    languages = sorted(pc.unique(table.column("_lang")).to_pylist())
+    lang = pc.index_in(table.column("_lang"), value_set=pa.array(languages, pa.string())).to_numpy()
     key, n = (table.column(c).to_numpy().astype(np.int64) for c in ("key", "n"))
+    # a name is the context's length, then its bytes: the one furthest back is the highest
     depth, body = key >> 56, key & ((1 << 56) - 1)
-    byte, context = body & 255, body >> 8
-
-    learned = np.unique(byte[depth == 0])
-    symbol = np.full(256, len(learned), np.int16)
-    symbol[learned] = np.arange(len(learned))
-    symbols = len(learned) + 2
-
-    # shared contexts, by length and bytes; a context is never seen more often than its own suffix
-    name = (depth << 40) | context
-    names, inverse = np.unique(name, return_inverse=True)
-    total = np.bincount(inverse, weights=n)
-    keep = (total >= least) | (names == 0)
-    if keep.sum() > contexts:
-        # a context is kept with all its suffixes: they are seen as often, and come first among equals
-        order_of = np.lexsort((names, -total))
-        keep &= np.isin(np.arange(len(names)), order_of[:contexts]) | (names == 0)
-    kept = names[keep]
-    number_of = {int(x): i + 1 for i, x in enumerate(kept)}  # kept[0] is the empty context
-    child = np.zeros((len(kept) + 1, symbols), np.int32)
-    for x, i in number_of.items():
-        d, c = x >> 40, x & ((1 << 40) - 1)
-        if d:
-            # the byte furthest back is the highest one
-            parent = ((d - 1) << 40) | (c & ((1 << (8 * (d - 1))) - 1))
-            child[number_of[parent], symbol[c >> (8 * (d - 1))]] = i
-
-    codes = []
-    ids = np.array([number_of.get(int(x), 0) for x in names])[inverse]
-    parents = np.zeros(len(kept) + 1, np.int64)
-    for x, i in number_of.items():
-        d, c = x >> 40, x & ((1 << 40) - 1)
-        parents[i] = number_of[((d - 1) << 40) | (c & ((1 << (8 * (d - 1))) - 1))] if d else 0
-    for k in range(len(languages)):
-        mine = (lang == k) & (ids > 0)
-        counts = np.zeros((len(kept) + 1, symbols), np.float64)
-        np.add.at(counts, (ids[mine], symbol[byte[mine]]), n[mine])
-        bits = np.full(counts.shape, np.log2(256.0))
-        for i in range(1, len(kept) + 1):  # by length, so that the suffix is done before
-            row, above = counts[i], bits[parents[i]]
-            kinds, seen = np.count_nonzero(row), row.sum()
-            if not kinds:
-                bits[i] = above  # a context that this language does not have costs no escape
-            else:
-                escape = np.log2((seen + kinds) / kinds)
-                bits[i] = np.where(row > 0, np.log2((seen + kinds) / np.maximum(row, 1)), escape + above)
-        codes.append(np.minimum(np.round(bits * UNIT), _LONGEST).astype(np.uint16).reshape(-1))
-    return ContextTrees(languages, symbol, child, codes, order)
+    name, byte = depth << 40 | body >> 8, (body & 255).astype(np.uint8)
+    names = np.unique(name)
+    at = np.searchsorted(names, name).astype(np.int32)
+    counts = [(at[lang == k], byte[lang == k], n[lang == k]) for k in range(len(languages))]
+    return ContextTrees(languages, order, names, counts)
 
 
 def held_out(id_col: Column) -> Column:
@@ -153,9 +195,13 @@ def held_out(id_col: Column) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % 3 == 1
 
 
-def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int) -> DataFrame:
-    """Up to ``rows`` whole labelled texts a language, by the hash of their ids, none of the held-out fold."""
-    usable = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & ~held_out(F.col(id_col)))
+def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int, longest: int = 1 << 20) -> DataFrame:
+    """(_lang, _text): up to ``rows`` whole labelled texts a language, by the hash of their ids, none of the held-out fold.
+
+    These two bound what is learned from: texts of over ``longest`` bytes and null texts teach nothing, and neither do
+    rows with a null language or id. Repeated ids tie in any order. An empty table gives no rows.
+    """
+    usable = docs.filter(F.col(lang_col).isNotNull() & (F.octet_length(text_col) <= longest) & ~held_out(F.col(id_col)))
     usable = usable.select(F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     sizes = usable.groupBy("_lang").agg(F.count(F.lit(1)).alias("_all"))
     luck = F.xxhash64("_id", F.lit("ppm"))
@@ -172,10 +218,10 @@ def identify_language(
 
     Null texts and texts without any letter are ``und`` with score 0; so is everything if no language was learned. The
     score is the share of the best language if languages weigh 2 to the power of minus their code lengths. Ties go to the
-    language first in order of name. Columns of these three names are replaced.
+    language first in order of name. Columns of these three names are replaced. Texts of any length are coded whole, in
+    steps of bounded memory. Repeated rows get a row each; an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    sent = spark.sparkContext.broadcast(trees)
+    sent = docs.sparkSession.sparkContext.broadcast(trees)  # counts only, bounded by the training sample
     added = ["lang_pred", "lang_score", "lang_bits"]
     rest = docs.drop(*added)
     schema = T.StructType(list(rest.schema.fields))
@@ -187,7 +233,7 @@ def identify_language(
             column = tk.text_array(piece.column(piece.schema.get_field_index(text_col)))
             pred, score, rate = [], [], []
             data, offsets = tk.buffers(column)
-            lengths = trees.lengths(data, offsets) if trees.languages else np.zeros((len(column), 0), np.int64)
+            lengths = trees.lengths(data, offsets)
             for text, row, size in zip(column.to_pylist(), lengths, np.diff(offsets).tolist(), strict=True):
                 if not len(row) or not has_letter(text):
                     pred.append("und")
