@@ -130,33 +130,41 @@ def oracle_sql() -> dict[str, str]:
                    sha256(d.t) AS text_sha256
             FROM d JOIN g ON d.t = g.t
         """,
+        # runs of every length, one line longer in each step, as long as any is repeated
         "op5_line_dedup": r"""
-            WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS a FROM documents),
-            size AS (SELECT unnest([1, 2, 4, 8, 16, 32, 64, 128, 256, 512, 1024, 2048, 4096]) AS k),
-            runs AS (
-                SELECT doc_id, k, unnest(range(1, CAST(len(a) - k + 2 AS BIGINT))) AS p, a
-                FROM d, size WHERE len(a) >= k
-            ),
-            keyed AS (
-                SELECT doc_id, k, p, sha256(array_to_string(a[p:p + k - 1], chr(10))) AS h,
-                       len(regexp_extract_all(array_to_string(a[p:p + k - 1], chr(10)), '[^\x20\x09-\x0D]+')) AS w
-                FROM runs
+            WITH RECURSIVE d AS (SELECT doc_id, string_split(text, chr(10)) AS a FROM documents),
+            unnested AS (SELECT doc_id, unnest(a) AS line, unnest(range(len(a))) AS p FROM d),
+            placed AS (
+                SELECT doc_id, p, line, row_number() OVER (ORDER BY doc_id, p) AS place,
+                       len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words
+                FROM unnested
             ),
-            later AS (
-                SELECT doc_id, k, p, w, row_number() OVER (PARTITION BY k, h ORDER BY doc_id, p) AS nth FROM keyed
+            l AS (
+                SELECT doc_id, p, line, place, words, min(place) OVER same AS first, count(*) OVER same AS times
+                FROM placed WINDOW same AS (PARTITION BY line)
             ),
-            gone AS (
-                SELECT DISTINCT doc_id, unnest(range(p, p + k)) AS p FROM later WHERE nth > 1 AND w >= 3
+            runs AS (
+                SELECT 1 AS n, doc_id, p, place, first, words FROM l WHERE times > 1
+                UNION ALL
+                SELECT n, doc_id, p, place, first, words
+                FROM (
+                    SELECT r.n + 1 AS n, r.doc_id, r.p, r.place, min(r.place) OVER same AS first, r.words + l.words AS words,
+                           count(*) OVER same AS times
+                    FROM runs r JOIN l ON l.doc_id = r.doc_id AND l.p = r.p + r.n
+                    WINDOW same AS (PARTITION BY r.first, l.first)
+                ) longer
+                WHERE times > 1
             ),
+            later AS (SELECT doc_id, p, max(n) AS n FROM runs WHERE first <> place AND words >= 3 GROUP BY doc_id, p),
+            gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + n)) AS p FROM later),
             sets AS (
-                SELECT doc_id, list(p) AS ps, count(*) AS n, count(*) FILTER (NOT follows) AS r
+                SELECT doc_id, count(*) AS n, count(*) FILTER (NOT follows) AS r
                 FROM (SELECT doc_id, p, coalesce(lag(p) OVER (PARTITION BY doc_id ORDER BY p) = p - 1, false) AS follows FROM gone)
                 GROUP BY doc_id
             ),
             kept AS (
                 SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS t
-                FROM (SELECT doc_id, unnest(a) AS line, unnest(range(1, CAST(len(a) + 1 AS BIGINT))) AS p FROM d) l
-                WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND g.p = l.p)
+                FROM unnested l WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.doc_id = l.doc_id AND g.p = l.p)
                 GROUP BY doc_id
             )
             SELECT d.doc_id, CAST(coalesce(len(a), 0) AS BIGINT) AS n_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
