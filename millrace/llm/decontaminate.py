@@ -188,7 +188,9 @@ def remove_windows(
 
     A span, from its first to its last word, becomes one line break; the rest of the text is untouched, and so are texts
     without a hit, null and empty ones included. Texts are scanned again until no window of the benchmark is left, in case
-    a cut joins words up. The result does not depend on ``block_windows``.
+    a cut joins words up. The result does not depend on ``block_windows``. Ids are not looked at, so null and repeated ones make
+    no difference; repeated rows are cut alike, and items that repeat or tie are one window. An empty benchmark cuts nothing, an
+    empty table gives no rows. Columns may have any name.
     """
     spark = docs.sparkSession
     blocks = _blocks(benchmark, item_col, item_text_col, size, block_windows)

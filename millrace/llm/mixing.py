@@ -14,6 +14,8 @@ buckets of bounded size.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,7 +62,6 @@ def mix_sources(
     weights=(5, 2, 1),
     total: float = 1.5,
     most: float = 2.0,
-    steps: int = 40,
     tolerance: float = 1e-7,
     bucket_rows: int = 50_000,
     carry: tuple[str, ...] = (),
@@ -69,7 +70,8 @@ def mix_sources(
 
     Null text has size 0. A null source is a source of its own, last in order. Documents of size 0 take no part in the
     balancing and get the copies their rate rounds to; they take 0 words. Rows that repeat an id are documents of their
-    own. An empty table gives no rows. Other columns are ignored.
+    own. An empty table gives no rows. Other columns are ignored. The steps go on until the words of every source are within
+    ``tolerance`` of its target, or its lambda is known to the last digits.
     """
     scratch = Scratch(docs.sparkSession, "mixing")
     size = F.when(F.col(text_col).isNull(), 0).otherwise(F.regexp_count(F.col(text_col), F.lit(WORD))).cast("long")
@@ -86,15 +88,17 @@ def mix_sources(
     state = scratch.write(
         state.drop("_s")
         .withColumn("_lambda", F.lit(0.0))
-        .withColumn("_low", F.lit(-1e4))
-        .withColumn("_high", F.lit(1e4))
+        .withColumn("_low", F.lit(-1e12))
+        .withColumn("_high", F.lit(1e12))
         .withColumn("_off", F.lit(1.0)),
         "state",
     )
-    for _ in range(steps):
-        state, last = scratch.write(_newton(cells, state, total, most), "state"), state
+    known = F.col("_high") - F.col("_low") <= F.greatest(F.lit(1.0), F.abs("_lambda")) * F.lit(1e-13)
+    for step in itertools.count():
+        # every eighth step halves the bracket, so that the steps end
+        state, last = scratch.write(_newton(cells, state, total, most, halve=step % 8 == 7), "state"), state
         scratch.release(last)
-        if (state.agg(F.max("_off")).first()[0] or 0.0) <= tolerance:
+        if not state.filter((F.col("_off") > tolerance) & ~known).head(1):
             break
 
     cells = _with_state(cells, state).withColumn("rate", _rate(total, most))
@@ -137,17 +141,20 @@ def mix_sources(
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
     """The mix itself: all columns of ``docs`` and copy_no, a row per copy that the mix takes.
 
-    Rows that repeat id and text are joined by what they say: together they get the copies of all of them.
+    Rows that repeat id and text are joined by what they say: together they get the copies of all of them. Null and empty texts
+    have size 0 and the copies that their rate rounds to; null ids and sources are values like others, as in
+    :func:`mix_sources`. An empty table gives no rows. A column copy_no is replaced; others may have any name.
     """
     scratch = Scratch(docs.sparkSession, "mix")
-    keys = [c.alias(n) for c, n in zip(row_key(id_col, text_col), ("_c1", "_c2"), strict=True)]
-    keyed = docs.drop("copy_no").select("*", *keys)
-    mixed = mix_sources(keyed, id_col, text_col, source_col, carry=("_c1", "_c2"), **how)
-    copies = mixed.groupBy("_c1", "_c2").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    keys, kept = ["_k1", "_k2"], [c for c in docs.columns if c != "copy_no"]
+    keyed = docs.select(F.struct(*kept).alias("_row"), *row_key(id_col, text_col))
+    asked = keyed.select(*keys, *[F.col("_row")[c].alias(f"_{i}") for i, c in enumerate((id_col, text_col, source_col))])
+    mixed = mix_sources(asked, "_0", "_1", "_2", carry=tuple(keys), **how)
+    copies = mixed.groupBy(*keys).agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
     copies = scratch.write(copies, "copies")
-    taken = one_per_key(keyed, copies, ["_c1", "_c2"]).join(if_small(copies), ["_c1", "_c2"]).filter("_copies > 0")
+    taken = one_per_key(keyed, copies, keys).join(if_small(copies), keys).filter("_copies > 0")
     number = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))).alias("copy_no")
-    return taken.select(*[F.col(c) for c in docs.columns if c != "copy_no"], number)
+    return taken.select(*[F.col("_row")[c].alias(c) for c in kept], number)
 
 
 def _with_state(cells: DataFrame, state: DataFrame) -> DataFrame:
@@ -163,7 +170,7 @@ def _rate(total: float, most: float):
     return F.when(full, F.lit(float(most))).otherwise(tilted)
 
 
-def _newton(cells: DataFrame, state: DataFrame, total: float, most: float) -> DataFrame:
+def _newton(cells: DataFrame, state: DataFrame, total: float, most: float, halve: bool) -> DataFrame:
     """One step for every source: the words at its lambda, their slope, the bracket, and the next lambda."""
     exact = "decimal(38,9)"
     x = F.when(F.col("_mean") > 0, F.col("size") / F.col("_mean")).otherwise(F.lit(0.0))
@@ -177,7 +184,7 @@ def _newton(cells: DataFrame, state: DataFrame, total: float, most: float) -> Da
     gap = F.col("_words") - F.col("target")
     # a slope of almost nothing sends the step far away; it then counts as outside the bracket
     step = F.col("_lambda") - gap / F.greatest(F.col("_slope"), F.lit(1e-9))
-    inside = (step > F.col("_low")) & (step < F.col("_high"))
+    inside = (step > F.col("_low")) & (step < F.col("_high")) & F.lit(not halve)
     return (
         _with_state(sums, state)
         .withColumn("_low", F.when(gap < 0, F.col("_lambda")).otherwise(F.col("_low")))

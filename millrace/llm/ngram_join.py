@@ -49,8 +49,6 @@ ROUNDS = 1
 PARTNERS = 16
 #: 64-bit words of a parity sketch.
 SKETCH_WORDS = 16
-#: Sketches that may be sent to every executor, some 30 MB.
-SKETCH_ROWS = 150_000
 _SHARED = 0xFFFF
 _PIECE_ROWS = 30_000
 
@@ -107,6 +105,11 @@ def _runs(values: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return values, owners, np.append(np.flatnonzero(new), len(values))
 
 
+def _control(number: int) -> int:
+    """The group of a piece's own row: below the ranges, and another one for pieces of one number in other partitions."""
+    return -1 - (TaskContext.get().partitionId() * 31 + number) % 4096
+
+
 def _deal(size: int, range_bits: int):
     """Per piece: a row per range of truncated shingles, and a row with its documents and what they share among themselves."""
     shift = np.uint64(64 - range_bits - 24)
@@ -131,7 +134,7 @@ def _deal(size: int, range_bits: int):
                 if b > a
             ]
             k1, k2 = (piece.column(c).to_numpy() for c in ("_k1", "_k2"))
-            rows.append((-1 - (base + number) % 4096, base + number, own.tobytes(), b"", np.stack([k1, k2]).tobytes()))
+            rows.append((_control(number), base + number, own.tobytes(), b"", np.stack([k1, k2]).tobytes()))
             yield _batch(
                 list(zip(*rows, strict=True)),
                 [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()],
@@ -247,7 +250,7 @@ def _deal_sets(range_bits: int):
                 shared = np.repeat(lengths > 1, lengths)
                 about = np.stack([nodes, counts]).astype(np.int64).tobytes()
                 key = base + number
-                rows.append((-1 - key % 4096, key, values[shared].tobytes(), owners[shared].tobytes(), b"", about))
+                rows.append((_control(number), key, values[shared].tobytes(), owners[shared].tobytes(), b"", about))
                 yield _batch(list(zip(*rows, strict=True)), types, names)
 
     return deal
@@ -420,7 +423,7 @@ def _open_lists(entries: DataFrame, group: DataFrame, sketches: DataFrame) -> Da
         F.count(F.lit(1)).alias("_count"), F.min("component").alias("_low"), F.max("component").alias("_high")
     )
     lists = lists.filter("_low <> _high").select("gram", F.ceil(F.col("_count") / F.lit(TILE)).cast("int").alias("chunks"))
-    return member.join(lists, "gram").join(if_small(sketches, SKETCH_ROWS), "node")
+    return member.join(lists, "gram").join(if_small(sketches), "node")
 
 
 def _tiles(lists: DataFrame) -> DataFrame:
@@ -554,16 +557,17 @@ def drop_near_copies(
     """The rows of ``docs``, all columns, that stay when one document of each component does: the one with the smallest id.
 
     Null ids come last; documents that share an id are in order of a hash of their texts. Of rows that repeat id and text, one
-    stays. Documents without words are components of their own. An empty table gives no rows.
+    stays. Documents without words are components of their own. An empty table gives no rows; columns may have any name.
     """
     scratch = Scratch(docs.sparkSession, "ngram-join")
     found = _components_of(docs, scratch, id_col, text_col, size, percent)
     own = (F.col("least._k1") == F.col("_k1")) & (F.col("least._k2") == F.col("_k2"))
     stays = found.filter(F.col("least").isNull() | own).groupBy("_k1", "_k2").agg(F.count(F.lit(1)).alias("_rows"))
-    stays = scratch.write(stays.withColumnsRenamed({"_k1": "_c1", "_k2": "_c2"}), "stays")
-    keys = [c.alias(n) for c, n in zip(row_key(id_col, text_col), ("_c1", "_c2"), strict=True)]
-    kept = docs.select("*", *keys).join(if_small(stays.select("_c1", "_c2")), ["_c1", "_c2"], "left_semi")
-    return one_per_key(kept, stays, ["_c1", "_c2"]).select(*docs.columns)
+    stays = scratch.write(stays, "stays")
+    keys = ["_k1", "_k2"]
+    keyed = docs.select(F.struct(*docs.columns).alias("_row"), *row_key(id_col, text_col))
+    kept = keyed.join(if_small(stays.select(*keys)), keys, "left_semi")
+    return one_per_key(kept, stays, keys).select(*[F.col("_row")[c].alias(c) for c in docs.columns])
 
 
 def _components_of(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, size: int, percent: int) -> DataFrame:

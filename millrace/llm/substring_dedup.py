@@ -28,14 +28,14 @@ from pyspark.sql import functions as F
 
 from millrace.llm import textkernel as tk
 from millrace.llm.common import merged_spans, row_key
-from millrace.plans.staging import Scratch, if_small
+from millrace.plans.staging import BROADCAST_BYTES, Scratch, if_small
 
 #: Contents of one anchor up to which they share one automaton: some 50 words each.
 SHARD_CONTENTS = 1_000
-#: Entries of a per-document list table that may be broadcast, at some 30 bytes each.
-LIST_ENTRIES = 1_500_000
-#: Repeated windows of hot anchors that may be broadcast, at some 350 bytes each.
-WINDOW_ROWS = 50_000
+#: Bytes of per-document lists that may be broadcast.
+LIST_BYTES = BROADCAST_BYTES
+#: Bytes of repeated windows of hot anchors that may be broadcast.
+WINDOW_BYTES = BROADCAST_BYTES
 
 
 class SuffixAutomaton:
@@ -181,7 +181,7 @@ def substring_dedup(
     )
     twice = snippets.groupBy("anchor").agg(F.count(F.lit(1)).alias("_times")).filter("_times > 1").select("anchor")
     twice = scratch.write(twice, "anchors")
-    places = scratch.write(snippets.join(if_small(twice, 2_000_000), "anchor", "left_semi"), "places")
+    places = scratch.write(snippets.join(if_small(twice), "anchor", "left_semi"), "places")
     scratch.release(snippets, twice)
 
     contents = places.groupBy("anchor", "content").agg(
@@ -200,7 +200,7 @@ def substring_dedup(
             F.collect_list(F.struct("anchor", "content", "at.start", "at.n", "copies")).alias("wanted")
         )
         wanted = scratch.write(wanted, label)
-        return _with_lists(source.drop("_id"), wanted, "wanted", "inner").mapInArrow(_cut_snippets(window, split), entry)
+        return _with_lists(source.drop("_id"), wanted, "inner").mapInArrow(_cut_snippets(window, split), entry)
 
     some = contents.filter((F.col("kinds") > 1) & (F.col("kinds") <= SHARD_CONTENTS))
     shards = cut_out(some, "wanted", False, "anchor long, content long, copies long, words binary")
@@ -215,7 +215,7 @@ def substring_dedup(
         # a repeated row has its windows again; their copies are two or more anyway
         repeated = windows.groupBy(*same).agg(F.sum("copies").alias("_copies")).filter("_copies > 1").select(*same)
         # written first: the join then reads both sides anew, and a hot window's rows can be dealt to several tasks
-        repeated = if_small(scratch.write(repeated, "repeated"), WINDOW_ROWS)
+        repeated = if_small(scratch.write(repeated, "repeated"), WINDOW_BYTES)
         span = F.struct(F.col("first").alias("a"), (F.col("first") + window).alias("b"))
         hot = windows.join(repeated, same, "left_semi").select("anchor", "content", F.array(span).alias("spans"))
         verdicts = verdicts.unionByName(hot)
@@ -226,14 +226,13 @@ def substring_dedup(
     spans = scratch.write(merged_spans(spans, ["_k1", "_k2"]), "spans")
     kind = docs.schema[id_col].dataType.simpleString()
     schema = f"_id {kind}, n_words long, n_removed long, kept_text string"
-    kept = _with_lists(source, spans, "spans", "left").select("_id", "_text", "spans").mapInArrow(_remove, schema)
+    kept = _with_lists(source, spans, "left").select("_id", "_text", "spans").mapInArrow(_remove, schema)
     return kept.withColumnRenamed("_id", id_col)
 
 
-def _with_lists(source: DataFrame, lists: DataFrame, column: str, how: str) -> DataFrame:
-    """Rows with the list of their key. Lists of few entries in all go to the texts; else both are shuffled."""
-    entries = lists.agg(F.coalesce(F.sum(F.size(column)), F.lit(0))).first()[0]
-    return source.join(F.broadcast(lists) if entries <= LIST_ENTRIES else lists, ["_k1", "_k2"], how)
+def _with_lists(source: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """Rows with the list of their key. Short lists go to the texts; else both are shuffled."""
+    return source.join(if_small(lists, LIST_BYTES), ["_k1", "_k2"], how)
 
 
 def _cut_snippets(window: int, split: bool):

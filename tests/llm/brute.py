@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import math
 import re
 
 SPACED = re.compile(r"[^\x20\x09-\x0D]+")
@@ -29,21 +30,23 @@ def substring(docs, window):
 
 
 def lines(docs, min_words):
-    """``docs`` in order; rows that repeat id and text are given once."""
+    """``docs`` in order; rows that repeat id and text are given once. Runs of all lengths, as long as any is repeated."""
     split = [(k, None if t is None else t.split("\n")) for k, t in docs]
+    words = [[len(SPACED.findall(x)) for x in own or ()] for _, own in split]
     gone = {i: set() for i in range(len(docs))}
-    size, repeated = 1, True
-    while repeated:
-        repeated, seen = False, set()
-        for i, (_, own) in enumerate(split):
-            for p in range(len(own or ()) - size + 1):
-                run = tuple(own[p : p + size])
-                if run in seen:
-                    repeated = True
-                    if sum(len(SPACED.findall(x)) for x in run) >= min_words:
-                        gone[i].update(range(p, p + size))
-                seen.add(run)
-        size *= 2
+    alive = [(i, p) for i, (_, own) in enumerate(split) for p in range(len(own or ()))]
+    size = 1
+    while alive:
+        at = collections.defaultdict(list)
+        for i, p in alive:
+            if p + size <= len(split[i][1]):
+                at[tuple(split[i][1][p : p + size])].append((i, p))
+        alive = sorted(x for places in at.values() if len(places) > 1 for x in places)
+        for places in at.values():
+            for i, p in places[1:]:
+                if sum(words[i][p : p + size]) >= min_words:
+                    gone[i].update(range(p, p + size))
+        size += 1
     out = {}
     for i, (k, own) in enumerate(split):
         runs = sum(p - 1 not in gone[i] for p in gone[i])
@@ -73,6 +76,40 @@ def windows(docs, items, size):
     return out
 
 
+def ppm(sample, order, least, unit):
+    """A function of texts: code lengths by language, from counts of bytes after contexts in dictionaries."""
+    counts = collections.defaultdict(lambda: collections.defaultdict(collections.Counter))
+    for lang, text in sample:
+        data = text.encode()
+        for i in range(len(data)):
+            for d in range(min(order, i) + 1):
+                counts[lang][data[i - d : i]][data[i]] += 1
+    kept = {b""} | {c for by in counts.values() for c, seen in by.items() if seen.total() >= least}
+
+    def bits(by, context, byte):
+        seen = by.get(context, {})
+        n = sum(seen.values())
+        if byte in seen:
+            return math.log2((n + len(seen)) / seen[byte])
+        shorter = bits(by, context[1:], byte) if context else 8.0
+        return shorter + (math.log2((n + len(seen)) / len(seen)) if seen else 0.0)
+
+    def lengths(text):
+        data, out, known = text.encode(), {}, {}
+        for lang in sorted(counts):
+            total = 0
+            for i in range(len(data)):
+                context = next(data[i - d : i] for d in range(min(order, i), -1, -1) if data[i - d : i] in kept)
+                key = (lang, context, data[i])
+                if key not in known:
+                    known[key] = round(bits(counts[lang], context, data[i]) * unit)
+                total += known[key]
+            out[lang] = total
+        return out
+
+    return lengths
+
+
 def shingles(text, size):
     w = SPACED.findall((text or "").translate(LOWER))
     if len(w) < size:

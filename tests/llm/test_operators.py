@@ -5,10 +5,11 @@ import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import chat, ngram_join
+from millrace.llm import chat, language_id, ngram_join
 from millrace.llm import quality as q
 from millrace.llm import substring_dedup as substring_module
 from millrace.llm import textkernel as tk
@@ -92,7 +93,7 @@ def test_substring_dedup(docs):
 
 def test_substring_dedup_splits_hot_anchors(docs, monkeypatch):
     monkeypatch.setattr("millrace.llm.substring_dedup.SHARD_CONTENTS", 1)
-    monkeypatch.setattr("millrace.llm.substring_dedup.LIST_ENTRIES", 0)
+    monkeypatch.setattr("millrace.llm.substring_dedup.LIST_BYTES", 0)
     assert got(substring_dedup(docs, window=8, gram=3)) == sorted(map(repr, brute.substring(pairs(), 8)))
 
 
@@ -119,8 +120,8 @@ def test_substring_dedup_keeps_no_hot_window_in_one_group(spark, monkeypatch):
     monkeypatch.setattr(substring_module, "_judge", watched)
     texts = [(i, f"a{i} b{i} c{i} {passage} d{i} e{i}") for i in range(60)] + [(60, "p0 p1 p2 p3 p4 p5 p6 p7 p8 p9 p10"), (61, passage)]
     texts += [texts[0], (62, f"{passage} once only here")]
-    for most in (0, 50_000):
-        monkeypatch.setattr(substring_module, "WINDOW_ROWS", most)
+    for most in (0, 1 << 24):
+        monkeypatch.setattr(substring_module, "WINDOW_BYTES", most)
         rows = substring_dedup(spark.createDataFrame(texts, "doc_id long, text string"), window=8, gram=3)
         assert got(rows) == sorted(map(repr, brute.substring(texts, 8)))
 
@@ -139,17 +140,37 @@ def test_suffix_automaton_counts_all_substrings():
             assert automaton.repeated(t, size) == want
 
 
-def test_line_dedup(docs):
+def line_samples():
+    """Few kinds of lines, many of them blank or of one word, in an order that makes runs of all lengths repeat."""
+    r = random.Random(11)
+    kinds = ["", "", " ", "a", "b", "c d", "e f g", "\t"]
+    texts = ["\n".join(r.choice(kinds) for _ in range(r.randint(0, 14))) for _ in range(60)]
+    texts += ["Home\n\nAbout\n\nBlog\n\nContact", "x\nHome\n\nAbout\n\nBlog\n\nContact\ny", "A long sentence\n\nEnd", "q\nA long sentence\n\nEnd\nz"]
+    texts += ["\n" * 40 + "one\n" + "\n" * 25 + "two three", "u\n" + "\n" * 40 + "one\n" + "\n" * 25 + "two three\nv", "a\nb\nc", "k\na\nb\nc", None, ""]
+    return [(i, t) for i, t in enumerate(texts)]
+
+
+def test_line_dedup(spark, docs):
     # one order for all: by id, null last; rows that repeat id and text are one document
     unique = sorted(set(pairs()), key=lambda d: (d[0] is None, d[0] or 0, d[1] is not None))
     want = brute.lines([((k, t), t) for k, t in unique], 3)
-    rows = line_dedup(docs.withColumn("before", F.col("text"))).collect()
-    assert len(rows) == len(pairs()) and rows[0]["_k1"] == "clash"
+    clashing = docs.withColumns({c: F.lit(c) for c in ("_c1", "_c2", "spans", "_spans", "_lines", "_row", "_k2", "rank", "place", "pos", "a", "b")})
+    rows = line_dedup(clashing.withColumn("before", F.col("text")).withColumn("n_runs", F.lit("old"))).collect()
+    assert len(rows) == len(pairs()) and rows[0]["_k1"] == "clash" and {rows[0][c] for c in ("_c1", "_lines", "_row")} == {"_c1", "_lines", "_row"}
     for r in rows:
         assert (r.text, r.n_lines, r.n_removed, r.n_runs) == want[r.doc_id, r.before]
     assert line_dedup(docs.limit(0)).count() == 0
 
 
+def test_lines_of_maximal_runs_go(spark):
+    some = line_samples()
+    df = spark.createDataFrame(some, "doc_id long, text string")
+    for words in (0, 1, 3, 4, 9):
+        want = {k: v for k, v in brute.lines(some, words).items()}
+        got = {r.doc_id: (r.text, r.n_lines, r.n_removed, r.n_runs) for r in line_dedup(df, min_words=words).collect()}
+        assert got == want, words
+
+
 def test_targets_match_repeated_sharing(spark):
     r = random.Random(3)
     for trial in range(3):
@@ -276,15 +297,31 @@ def test_language_id(spark, docs):
     assert identify_language(docs.limit(0), trees).count() == 0
 
 
-def test_code_lengths_do_not_depend_on_neighbours(spark):
-    real = spark.read.parquet(f"{SMALL}/documents.parquet").limit(20)
-    trees = learn(training_sample(real, "doc_id", "text", "lang", 400), least=2)
-    import numpy as np
-    import pyarrow as pa
+def test_code_lengths_match_brute_force(spark, monkeypatch):
+    real = [(r.lang, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").limit(24).collect()]
+    short = [("en", "abcdefg"[:n]) for n in range(7)] + [("xx", "abc"), ("xx", None), (None, "abc"), ("yy", "")]
+    for order, least in ((4, 3), (2, 1), (0, 8)):
+        sample = [(x, t[:3000] if t else t) for x, t in real] + short
+        trees = learn(spark.createDataFrame(sample, "_lang string, _text string"), order=order, least=least)
+        lengths = brute.ppm([(x, t) for x, t in sample if x and t], order, least, language_id.UNIT)
+        texts = ["", "a", "ab", "abc", "né\nx", "日本 text", real[0][1][:2000], "", real[5][1][-2500:], "z" * 3000]
+        want = [[v for _, v in sorted(lengths(t).items())] for t in texts]
+        for span in (1 << 20, 7, 1):
+            monkeypatch.setattr(language_id, "SPAN_BYTES", span)
+            some = texts if span > 1 else texts[:6]
+            assert trees.languages == ["de", "en", "es", "fr", "xx"] and trees.lengths(*tk.buffers(pa.array(some))).tolist() == want[: len(some)]
+
+
+def test_language_samples_of_very_short_texts(spark):
+    for text in ("abcdefg"[:n] for n in range(7)):
+        trees = learn(spark.createDataFrame([("en", text), ("en", "hello there")], "_lang string, _text string"), least=1)
+        assert trees.languages == ["en"]
+
 
-    texts = [r.text for r in real.collect()] + ["", "a", "ab"]
-    together = trees.lengths(*tk.buffers(pa.array(texts)))
-    assert (together == np.concatenate([trees.lengths(*tk.buffers(pa.array([t]))) for t in texts])).all()
+def test_contexts_are_bounded_by_memory(spark):
+    sample = spark.createDataFrame([("en", "the cat and the dog and the bird " * 20), ("de", "der hund")], "_lang string, _text string")
+    few, all_ = learn(sample, least=1, table_bytes=20_000), learn(sample, least=1)
+    assert 1 < len(few.names) < len(all_.names) and few.languages == all_.languages == ["de", "en"]
 
 
 def test_quality(spark, docs):

@@ -1,5 +1,10 @@
+import collections
+
 import brute
+import pytest
 from conftest import SMALL, rows
+from pyspark.sql import functions as F
+from test_operators import SCHEMA, sample
 
 import corpus_pipeline as pipeline
 from millrace.llm import queries
@@ -32,6 +37,35 @@ def test_stages_hold_against_brute_force(spark):
         docs = out
 
 
+NAMES = ("row", "_row", "had_words", "lang_pred", "lang_score", "n_removed", "n_lines", "_k2", "spans", "_copies", "size", "taken", "least", "id")
+
+
+@pytest.mark.parametrize("name", [n for n, _ in pipeline.STAGES])
+def test_stages_with_nulls_ties_repeats_and_clashing_names(spark, name):
+    stage = dict(pipeline.STAGES)[name]
+    some = [*sample(), (3, "another text of the same id", None, None, "clash", "clash")]
+    docs = spark.createDataFrame(some, SCHEMA).withColumn("n_chars", F.length("text")).withColumns({c: F.lit(c) for c in NAMES})
+    if name == "language_id":  # it learns from what it is given
+        real = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang", "source").filter("doc_id < 100")
+        docs = docs.unionByName(real, allowMissingColumns=True).fillna({c: c for c in NAMES})
+    out = stage(spark, docs, SMALL)
+    columns = [*docs.columns, "copy_no"] if name == "mix_sources" else docs.columns
+    assert out.columns == columns
+    got = out.collect()
+    assert all(r[c] == c for r in got for c in NAMES) and all(r.n_chars == len(r.text) for r in got if name == "decontaminate" and r.text is not None)
+    before = collections.Counter((r.doc_id, r.text) for r in docs.collect())
+    after = collections.Counter((r.doc_id, r.text) for r in got)
+    if name == "language_id":
+        assert all(after[k] in (0, n) for k, n in before.items()) and not any(t in (None, "", " \n\t ") for _, t in after)
+    elif name == "ngram_join":
+        assert set(after.values()) == {1} and after[53, None] == after[54, ""] == 1 and after[3, sample()[3][1]] == 1
+    elif name == "mix_sources":
+        assert sum(after.values()) == len({(r.doc_id, r.text, r.copy_no) for r in got})
+    else:
+        assert after[53, None] == 1 and after[54, ""] == 1 and len(got) <= len(some)
+    assert stage(spark, docs.limit(0), SMALL).collect() == []
+
+
 def test_same_rows_as_sql(spark, duck):
     for name, sql in queries.oracle_sql().items():
         assert rows(queries.queries()[name](spark, SMALL).toPandas()) == rows(duck.sql(sql).df()), name
