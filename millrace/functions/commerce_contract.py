@@ -12,11 +12,6 @@ from millrace.operators.contract import Contract, Field
 
 # The contract's versions, field types, patterns, ranges and enumerations.
 CONTRACT_VERSION = "ecommerce-event-v1"
-TEXT = [
-    "reviewerID", "asin", "reviewerName", "reviewText", "summary", "reviewTime", "productName", "category", "sub_category",
-    "brand", "orderID", "storeID", "storeName", "city", "region", "storeType", "paymentID", "paymentMethod",
-    "paymentStatus", "shippingID", "shippingMethod", "carrierName", "shippingStatus",
-]
 INTEGER = {"day_diff": "int", "helpful_yes": "int", "total_vote": "int", "quantity": "int", "unixReviewTime": "long"}
 NUMBER = ["overall", "unitPrice", "totalAmount"]
 SUBCATEGORIES = {
@@ -59,6 +54,7 @@ def _other_day(get) -> Column:
     return F.coalesce(written != F.timestamp_seconds(get("unixReviewTime")).cast("date"), get("reviewTime").isNotNull())
 
 
+# The rules' codes, patterns, ranges and the order of the fields.
 FIELD_RULES = [
     pattern("E101_REVIEWER_ID_PATTERN", "reviewerID", r"^[A-Z0-9]{14}$"),
     pattern("E102_ASIN_PATTERN", "asin", r"^B0[A-Z0-9]{8}$"),

@@ -44,10 +44,10 @@ def array_size_not(code: str, field: str, size: int) -> Rule:
 
 
 def child_not_of_parent(code: str, parent: str, child: str, children: Mapping[str, Sequence[str]]) -> Rule:
-    """The child is not among those of its parent; a parent without an entry breaks nothing here."""
+    """No parent has the child among its own; so a parent without an entry breaks the rule too."""
 
     def broken(get: Get) -> Column:
-        return any_of([(get(parent) == p) & ~get(child).isin(list(c)) for p, c in children.items()])
+        return ~any_of([(get(parent) == p) & get(child).isin(list(c)) for p, c in children.items()])
 
     return Rule(code, broken)
 

@@ -149,8 +149,9 @@ def status_counts(validated: DataFrame) -> DataFrame:
 
 
 def rule_counts(validated: DataFrame, codes_column: str = "validation_errors") -> DataFrame:
-    """Rows per code; an exploded row is one code, never a whole record."""
-    return validated.select(F.explode(codes_column).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("rows"))
+    """Rows per code, the most frequent first; an exploded row is one code, never a whole record."""
+    counts = validated.select(F.explode(codes_column).alias("code")).groupBy("code").agg(F.count(F.lit(1)).alias("rows"))
+    return counts.orderBy(F.desc("rows"), "code")
 
 
 def inconsistent(validated: DataFrame) -> DataFrame:
