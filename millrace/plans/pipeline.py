@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators import alerts, checks, current, metrics, normalize, reconcile
 from millrace.plans.publish import VersionedTables, content_id
+from millrace.plans.staging import Scratch
 
 
 @dataclass(frozen=True)
@@ -43,11 +44,24 @@ class Pipeline:
         return results
 
 
+def current_rows(staged: DataFrame) -> DataFrame:
+    """The last stored row of each lineage whose rows all have one hash: one shuffle, merge and conflicts in one aggregate."""
+    rest = [c for c in staged.columns if c not in normalize.LINEAGE]
+    merged = staged.groupBy(*normalize.LINEAGE).agg(
+        F.min("silver_row_hash").alias("_low"), F.max("silver_row_hash").alias("_high"),
+        F.max_by(F.struct(*rest), F.struct("loaded_at", "load_batch_id")).alias("_row"),
+    )
+    return merged.filter("_low = _high").select(*normalize.LINEAGE, *[f"_row.{c}" for c in rest])
+
+
 def star_schema(staged: DataFrame) -> dict[str, DataFrame]:
-    """Dimensions and fact from staged rows: one stored row per lineage and hash, keys in conflict left out."""
-    merged = current.replace_merge(staged, [*normalize.LINEAGE, "silver_row_hash"], ["loaded_at", "load_batch_id"])
-    rows = current.unconflicted(merged, normalize.LINEAGE, "silver_row_hash")
+    """Dimensions and fact from staged rows: one stored row per lineage, keys in conflict left out.
+
+    The rows that all five tables are made of are written once.
+    """
+    rows = Scratch(staged.sparkSession, "star").write(current_rows(staged), "rows")
     order = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
+    # The fact's columns.
     fact = [
         *normalize.LINEAGE, "asin", "store_id", "reviewer_id", "review_date", "review_timestamp", "order_id", "payment_id",
         "shipping_id", "unit_price", "quantity", "total_amount", "overall_rating", "helpful_yes", "total_vote", "payment_method",
@@ -63,25 +77,25 @@ def star_schema(staged: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def star_checks(staged: DataFrame, star: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Violations between staging and a star: not empty, no conflicts, unique keys, no orphans, equal totals."""
+    fact = star["fact_ecommerce_event"]
+    keys = {"dim_product": "asin", "dim_store": "store_id", "dim_reviewer": "reviewer_id"}
+    totals = {"n": F.count(F.lit(1)), "quantity": F.sum("quantity"), "amount": F.sum("total_amount"), "rating": F.avg("overall_rating")}
+    merged = current.replace_merge(staged, [*normalize.LINEAGE, "silver_row_hash"], ["loaded_at", "load_batch_id"])
+    return {
+        "not_empty": fact.agg(F.count(F.lit(1)).alias("n")).filter("n = 0"),
+        "no_conflicts": current.conflicts(staged, normalize.LINEAGE, "silver_row_hash"),
+        "unique_lineage": checks.duplicate_keys(fact, normalize.LINEAGE),
+        "no_orphans": reconcile.orphans(fact, {k: (star[d], k) for d, k in keys.items()}),
+        "dates_known": checks.unrelated(fact, "review_date", star["dim_date"], "date"),
+        "equal_totals": reconcile.kpi_parity(merged, fact, totals).filter("not agree"),
+    } | {f"unique_{d}": checks.duplicate_keys(star[d], [k]) for d, k in keys.items()}
+
+
 def publish_gates(staged: DataFrame) -> Callable[[Mapping[str, DataFrame]], object]:
-    """The checks between staging and a published star: not empty, no conflicts, unique keys, no orphans, equal totals."""
-
-    def check(star: Mapping[str, DataFrame]) -> list[checks.CheckResult]:
-        fact = star["fact_ecommerce_event"]
-        keys = {"dim_product": "asin", "dim_store": "store_id", "dim_reviewer": "reviewer_id"}
-        totals = {"n": F.count(F.lit(1)), "quantity": F.sum("quantity"), "amount": F.sum("total_amount"), "rating": F.avg("overall_rating")}
-        merged = current.replace_merge(staged, [*normalize.LINEAGE, "silver_row_hash"], ["loaded_at", "load_batch_id"])
-        found = {
-            "not_empty": fact.agg(F.count(F.lit(1)).alias("n")).filter("n = 0"),
-            "no_conflicts": current.conflicts(staged, normalize.LINEAGE, "silver_row_hash"),
-            "unique_lineage": checks.duplicate_keys(fact, normalize.LINEAGE),
-            "no_orphans": reconcile.orphans(fact, {k: (star[d], k) for d, k in keys.items()}),
-            "dates_known": checks.unrelated(fact, "review_date", star["dim_date"], "date"),
-            "equal_totals": reconcile.kpi_parity(merged, fact, totals).filter("not agree"),
-        } | {f"unique_{d}": checks.duplicate_keys(star[d], [k]) for d, k in keys.items()}
-        return checks.require(found)
-
-    return check
+    """Fails if a star that was written breaks one of :func:`star_checks`."""
+    return lambda star: checks.require(star_checks(staged, star))
 
 
 def monitoring_pass(
@@ -93,6 +107,7 @@ def monitoring_pass(
     changed, and the version, which is named by what it holds: a pass that adds nothing publishes nothing.
     """
     last = store.current()
+    scratch = Scratch(spark, "monitoring")
     journal = metrics.dedup_events(accepted)
     if last:
         old = store.read("journal", last)
@@ -100,6 +115,8 @@ def monitoring_pass(
         journal = metrics.dedup_events(old.unionByName(accepted.select(*old.columns)))
         lost = store.read("rejected", last)
         rejected = lost.unionByName(rejected.select(*lost.columns)).dropDuplicates(["source", "line_sha256"])
+    # written once: the name of the version and all of its tables are made of them
+    journal, rejected = scratch.write(journal, "journal"), scratch.write(rejected, "rejected")
     active = alerts.evaluate(journal, now)
     before_signals = store.read("active", last) if last else active.limit(0)
     moved = alerts.transitions(before_signals, active, now)

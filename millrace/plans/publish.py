@@ -58,9 +58,14 @@ class VersionedTables:
         out = fs.create(draft, True)
         out.write(bytearray(version.encode()))
         out.close()
-        if fs.exists(path):
-            fs.delete(path, False)
-        fs.rename(draft, path)
+        if before:
+            before("rename")
+        # one step that replaces the pointer: at any time there is an old one or a new one
+        jvm = self.spark._jvm
+        overwrite = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+        overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(path.toUri(), self.spark._jsc.hadoopConfiguration())
+        context.rename(fs.makeQualified(draft), fs.makeQualified(path), overwrite)
         return version
 
 

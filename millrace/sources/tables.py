@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# The log's own names and the names here.
 LOG_COLUMNS = {
     "topic": "kafka_topic", "partition": "kafka_partition", "offset": "kafka_offset", "timestamp": "kafka_timestamp",
 }
@@ -63,6 +64,19 @@ def committed_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def committed_status_counts(spark: SparkSession, path: str, batch_id: int | None = None, status: str = "validation_status") -> DataFrame:
+    """Rows by status in the files that a sink has committed, of one batch or of all: what is written, not what was reported.
+
+    Only the paths come to the driver, a batch or a table's files at a time. A file that is listed but gone fails the read.
+    """
+    files = committed_files(spark, path)
+    files = files if batch_id is None else files.filter((F.col("batch_id") == batch_id) & ~F.col("compact"))
+    paths = [r.path for r in files.select("path").distinct().toLocalIterator()]
+    if not paths:
+        return spark.createDataFrame([], f"{status} string, rows long")
+    return parquet_files(spark, path, paths).groupBy(status).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def checkpoint_offsets(spark: SparkSession, checkpoint: str) -> DataFrame:
     """(batch_id, topic, partition, offset) from the offset log of a streaming checkpoint over a partitioned log."""
     lines = spark.read.text(f"{checkpoint.rstrip('/')}/offsets").select("value", F.col("_metadata.file_name").alias("_file"))

@@ -134,26 +134,80 @@ class ServingStore:
     """The read model: additive minute metrics and the newest rows, kept as one delta per batch.
 
     A delta is written under its batch id and overwritten by a replay, so that no marker is needed and none can expire.
-    Readers sum the deltas. ``compact`` folds closed batches into one; it keeps their ids, so a replay of one is refused.
+    Readers sum the deltas. ``compact`` folds closed batches into one table that is named by the last of them; from then on
+    a replay of one of them changes nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str, key: str, measures: Sequence[str], latest_order: Sequence[str], latest_rows: int = 100):
         self.spark, self.path, self.key, self.measures = spark, path.rstrip("/"), key, list(measures)
         self.order, self.rows = [F.desc(c) for c in latest_order], latest_rows
 
+    def _files(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
+
+    def folded(self) -> int:
+        """The last batch of the newest complete fold, -1 before the first."""
+        fs, path = self._files()
+        done = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/folds/*/latest/_SUCCESS")) or []
+        return max((int(s.getPath().getParent().getParent().getName()) for s in done), default=-1)
+
+    def _read(self, name: str) -> DataFrame:
+        """The newest fold and the deltas after it."""
+        upto, parts = self.folded(), []
+        if upto >= 0:
+            parts.append(self.spark.read.parquet(f"{self.path}/folds/{upto}/{name}"))
+        fs, path = self._files()
+        if upto < 0 or fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/batch=*")):
+            deltas = self.spark.read.parquet(f"{self.path}/{name}")
+            parts.append(deltas.filter(F.col("batch") > upto).drop("batch"))
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def compact(self, upto: int) -> None:
+        """Folds all batches up to this one; they must be closed. A crash before the end leaves the fold before in force."""
+        if upto <= self.folded():
+            return
+        fs, _ = self._files()
+        path, before = self.spark._jvm.org.apache.hadoop.fs.Path, self.folded()
+        for name, cut in (("minutes", self._summed), ("latest", lambda df: top_n(df, self.order, self.rows))):
+            deltas = self.spark.read.parquet(f"{self.path}/{name}").filter((F.col("batch") > before) & (F.col("batch") <= upto)).drop("batch")
+            if before >= 0:
+                deltas = deltas.unionByName(self.spark.read.parquet(f"{self.path}/folds/{before}/{name}"))
+            cut(deltas).write.mode("overwrite").parquet(f"{self.path}/folds/{upto}/{name}")
+        for name in ("minutes", "latest"):
+            for status in fs.listStatus(path(f"{self.path}/{name}")):
+                batch = status.getPath().getName().removeprefix("batch=")
+                if batch.isdigit() and int(batch) <= upto:
+                    fs.delete(status.getPath(), True)
+
+    def _summed(self, deltas: DataFrame) -> DataFrame:
+        return deltas.groupBy(self.key).agg(*[F.sum(m).alias(m) for m in self.measures])
+
     def apply(self, minutes: DataFrame, newest: DataFrame, batch_id: int) -> None:
+        if batch_id <= self.folded():
+            return
         minutes.select(self.key, *self.measures).write.mode("overwrite").parquet(f"{self.path}/minutes/batch={batch_id}")
         top_n(newest, self.order, self.rows).write.mode("overwrite").parquet(f"{self.path}/latest/batch={batch_id}")
 
     def minutes(self) -> DataFrame:
-        deltas = self.spark.read.option("basePath", f"{self.path}/minutes").parquet(f"{self.path}/minutes")
-        return deltas.groupBy(self.key).agg(*[F.sum(m).alias(m) for m in self.measures])
+        return self._summed(self._read("minutes"))
 
     def summary(self) -> DataFrame:
         return self.minutes().agg(*[F.sum(m).alias(m) for m in self.measures])
 
     def latest(self) -> DataFrame:
-        return top_n(self.spark.read.parquet(f"{self.path}/latest"), self.order, self.rows).drop("batch")
+        return top_n(self._read("latest"), self.order, self.rows)
+
+
+# The columns that a list of newest events shows; raw payloads, texts and people are not among them.
+LATEST_COLUMNS = [
+    *normalize.LINEAGE, "kafka_timestamp", "validation_status", "asin", "productName", "category", "quantity", "totalAmount", "paymentStatus",
+]
+
+
+def sanitised(validated: DataFrame) -> DataFrame:
+    """Clean rows as the list of newest events may show them."""
+    return route(validated)[0].select(*LATEST_COLUMNS)
 
 
 def start_serving(stream: DataFrame, store: ServingStore, minutes, newest, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:

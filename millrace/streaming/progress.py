@@ -37,7 +37,9 @@ def metric_event(
 class CommitListener(StreamingQueryListener):
     """Keeps each query's progress by batch id; ``paired`` gives batches that all named queries have committed."""
 
-    def __init__(self):
+    def __init__(self, keep: int = 10_000):
+        """``keep``: batches that are held of each query, the newest."""
+        self.keep = keep
         self.batches: dict[str, dict[int, dict]] = {}
         self._lock = threading.Lock()
 
@@ -53,7 +55,10 @@ class CommitListener(StreamingQueryListener):
             "rows": p.numInputRows, "duration_ms": p.durationMs.get("triggerExecution", 0), "run_id": str(p.runId), "at": p.timestamp
         }
         with self._lock:
-            self.batches.setdefault(p.name or str(p.id), {})[p.batchId] = entry
+            own = self.batches.setdefault(p.name or str(p.id), {})
+            own[p.batchId] = entry
+            while len(own) > self.keep:
+                del own[min(own)]
 
     def paired(self, *names: str) -> dict[int, dict[str, dict]]:
         with self._lock:

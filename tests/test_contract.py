@@ -46,6 +46,12 @@ def test_golden_cases(spark, valid):
     assert got[4].missing_fields == ["orderID"]
 
 
+def test_unknown_parents_break_the_usual_brand_rule(spark, valid):
+    got = judge(spark, valid | {"category": "Unknown"}, valid | {"brand": "Unknown", "quantity": 5})
+    assert [errors(r) for r in got] == [["E111"], ["E113", "E116"]]
+    assert [r.validation_warnings for r in got] == [["W101_UNUSUAL_BRAND_CATEGORY"]] * 2
+
+
 def test_structure_edges(spark, valid):
     twice = json.dumps(valid)[:-1] + ', "asin": "B000000000"}'
     got = judge(spark, "[1]", "3", "null", None, "{}", valid | {"extra": 1}, twice, valid | {"helpful": []})

@@ -194,3 +194,40 @@ def test_pipeline_stops_at_a_failed_gate():
 def test_statements(spark):
     out = tables.statements(spark, "create or replace temp view v as select ';' as x; select * from v;")
     assert out[-1].first().x == ";"
+
+
+def test_folded_batches_are_not_applied_again(spark, tmp_path):
+    store = ingest.ServingStore(spark, str(tmp_path / "store"), "k", ["n"], ["at"], latest_rows=2)
+    batch = lambda *rows: spark.createDataFrame(list(rows), "k string, n long, at int")
+
+    def state():
+        return {r.k: r.n for r in store.minutes().collect()}, sorted(r.at for r in store.latest().collect()), store.summary().first().n
+
+    for i in range(4):
+        store.apply(batch(("a", 1, i), (f"b{i}", 2, i)).select("k", "n"), batch(("a", 1, i)), i)
+    before = state()
+    store.compact(1)
+    assert state() == before and store.folded() == 1
+    store.apply(batch(("a", 50, 9)).select("k", "n"), batch(("a", 50, 9)), 1)  # a replay of a folded batch
+    store.compact(0)
+    assert state() == before
+    store.compact(3)
+    assert state() == before and store.folded() == 3
+    store.apply(batch(("a", 1, 4)).select("k", "n"), batch(("a", 1, 4)), 4)
+    assert state()[0]["a"] == before[0]["a"] + 1
+
+
+@pytest.mark.parametrize("step", ["pointer", "rename"])
+def test_a_crash_before_the_pointer_moves_leaves_the_old_version(spark, tmp_path, step):
+    store = VersionedTables(spark, str(tmp_path / "versions"))
+    store.publish({"t": spark.range(3)}, version="one")
+
+    def crash(at):
+        if at == step:
+            raise OSError("lost")
+
+    with pytest.raises(OSError):
+        store.publish({"t": spark.range(5)}, version="two", before=crash)
+    assert store.current() == "one" and store.read("t").count() == 3
+    store.publish({"t": spark.range(5)}, version="two")
+    assert store.current() == "two" and store.read("t").count() == 5
