@@ -1,11 +1,15 @@
 """URL filters as a temporal list join.
 
 List entries are dated events: an entry is added or removed. Per entry they become validity intervals, from an addition to the
-next event. A capture asks for its host, all domains above it and all path prefixes, and an as-of join keeps the entries
-whose interval holds the time of the fetch. The most specific active entry decides.
-
-Captures are reduced to distinct (url, time) before keys are listed, so a page fetched very often is one row per task. Lists
-are broadcast while their row count is small, and joined by shuffle beyond it.
+next event. A capture asks for its host, all domains above it and all path prefixes, and an as-of join gives it, of each list
+that knows one of those, the interval that began last before the fetch, if it still holds. The most specific active entry
+decides.
+
+The as-of join is a sorted union: intervals and questions of one entry in the order of time, each question taking the last
+interval before it. So a question meets one interval of an entry, however many the entry has. Questions are reduced to distinct
+(entry, time) first. An entry that a third of all captures ask for is split by day: a first pass over the distinct days
+carries the interval that holds at the start of each day into it, a second one answers inside the days. Answers go back to
+the captures by (entry, time).
 """
 
 from __future__ import annotations
@@ -13,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.plans.staging import Scratch, if_small
+from millrace.plans.staging import Scratch
 
 #: More specific kinds decide first.
 RANK = {"prefix": 3, "host": 2, "domain": 1}
@@ -61,29 +65,61 @@ def _keys(url: Column, host: Column) -> Column:
     return F.when(host != "", F.concat(own, domains, prefixes)).otherwise(none)
 
 
+def as_of(asked: DataFrame, intervals: DataFrame) -> DataFrame:
+    """(kind, value, at, list, verdict) of every interval that holds at a question (kind, value, at); questions are distinct."""
+    entry = ["list", "kind", "value"]
+    lists = intervals.select(*entry).distinct()
+    # dates count as their midnights
+    asked = asked.join(lists.hint("merge"), ["kind", "value"]).select(*entry, "at", F.col("at").cast("timestamp").alias("time"))
+    asked = asked.withColumn("day", F.date_trunc("day", "time"))
+    times = [F.col(c).cast("timestamp").alias(c) for c in ("since", "until")]
+    begun = intervals.select(*entry, F.struct(*times, "verdict").alias("now")).withColumn("day", F.date_trunc("day", "now.since"))
+
+    def answered(questions: DataFrame, starts: DataFrame, by: list[str], order: list) -> DataFrame:
+        """Questions with the last start before or at them, by a sorted union."""
+        none = F.lit(None).cast(starts.schema["now"].dataType).alias("now")
+        both = starts.withColumn("asks", F.lit(False)).unionByName(questions.select("*", none).withColumn("asks", F.lit(True)), allowMissingColumns=True)
+        along = Window.partitionBy(*by).orderBy(*order, "asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return both.withColumn("now", F.last("now", ignorenulls=True).over(along)).filter("asks").drop("asks")
+
+    # of one day, the interval that began last is carried on; a day's own ones come after its start
+    last = begun.groupBy(*entry, "day").agg(F.max_by("now", "now.since").alias("now"))
+    following = last.withColumn("day", F.col("day") + F.expr("interval 1 day"))
+    carried = answered(asked.select(*entry, "day").distinct(), following, entry, ["day"])
+    starts = carried.filter("now is not null").select(*entry, "day", "now", F.lit(None).cast("timestamp").alias("time"))
+    inside = begun.join(asked.select(*entry, "day").distinct(), [*entry, "day"], "left_semi").withColumn("time", F.col("now.since"))
+    found = answered(asked, starts.unionByName(inside.select(*starts.columns)), [*entry, "day"], [F.col("time").asc_nulls_first()])
+    holds = F.col("now.until").isNull() | (F.col("time") < F.col("now.until"))
+    return found.filter(F.col("now").isNotNull() & holds).select("kind", "value", "at", "list", "now.verdict")
+
+
 def filter_urls(captures: DataFrame, events: DataFrame, url_col: str = "url", time_col: str = "fetched") -> DataFrame:
     """All columns of ``captures`` and url_host, n_active, verdict, rule.
 
     n_active counts the entries of all lists active at the fetch. The verdict is that of the most specific one: path
     prefix, host, domain; then the longest value; then the least verdict by name, so that allow beats block; it is
     ``none`` where no entry is active, as for null or relative URLs and null times. rule is the deciding ``kind:value``, or
-    empty. Repeated captures get a row each. Empty tables on either side work. Columns of these four names are replaced.
+    empty. A null list is a list of its own. Repeated captures get a row each. Empty tables on either side work. Columns of
+    these four names are replaced; others may have any name.
     """
     scratch = Scratch(captures.sparkSession, "url-filter")
-    lists = scratch.write(validity_intervals(events), "intervals")
-    asked = captures.select(F.col(url_col).alias("_url"), F.col(time_col).alias("_at")).dropna().distinct()
-    asked = asked.withColumn("_host", host_of(F.col("_url"))).withColumn("_key", F.explode(_keys(F.col("_url"), F.col("_host"))))
-    active = asked.select("_url", "_at", "_key.kind", "_key.value").join(if_small(lists), ["kind", "value"])
-    active = active.filter((F.col("since") <= F.col("_at")) & (F.col("until").isNull() | (F.col("_at") < F.col("until"))))
+    intervals = validity_intervals(events).withColumn("list", F.struct(F.col("list").alias("name")))  # never null
+    intervals = scratch.write(intervals, "intervals")
+    rest = captures.drop("url_host", "n_active", "verdict", "rule")
+    keyed = rest.select(F.struct(*rest.columns).alias("row"), F.col(url_col).alias("url"), F.col(time_col).alias("at"))
+    asked = keyed.select("url", "at").dropna().distinct().withColumn("host", host_of(F.col("url")))
+    asked = scratch.write(asked.select("url", "at", F.explode(_keys(F.col("url"), F.col("host"))).alias("key")).select("url", "at", "key.*"), "asked")
+    active = as_of(asked.select("kind", "value", "at").distinct(), intervals)
     rank = F.create_map(*[F.lit(x) for pair in RANK.items() for x in pair])[F.col("kind")]
     best = F.struct((-rank).alias("r"), (-F.length("value")).alias("l"), "verdict", "kind", "value")
-    judged = active.groupBy("_url", "_at").agg(F.count(F.lit(1)).alias("_n"), F.min(best).alias("_best"))
-    rest = captures.drop("url_host", "n_active", "verdict", "rule")
-    joined = rest.join(judged, (rest[url_col] == F.col("_url")) & (rest[time_col] == F.col("_at")), "left")
+    answers = active.groupBy("kind", "value", "at").agg(F.count(F.lit(1)).alias("n"), F.min(best).alias("best"))
+    answers = scratch.write(answers, "answers")
+    judged = asked.join(answers.hint("merge"), ["kind", "value", "at"]).groupBy("url", "at").agg(F.sum("n").alias("n"), F.min("best").alias("best"))
+    joined = keyed.join(judged.hint("merge"), ["url", "at"], "left")
     return joined.select(
-        *[rest[c] for c in rest.columns],
-        host_of(rest[url_col]).alias("url_host"),
-        F.coalesce("_n", F.lit(0)).alias("n_active"),
-        F.coalesce("_best.verdict", F.lit("none")).alias("verdict"),
-        F.coalesce(F.concat_ws(":", "_best.kind", "_best.value"), F.lit("")).alias("rule"),
+        *[F.col("row")[c].alias(c) for c in rest.columns],
+        host_of(F.col("url")).alias("url_host"),
+        F.coalesce("n", F.lit(0)).alias("n_active"),
+        F.coalesce("best.verdict", F.lit("none")).alias("verdict"),
+        F.coalesce(F.concat_ws(":", "best.kind", "best.value"), F.lit("")).alias("rule"),
     )
