@@ -25,13 +25,15 @@ from pyspark.sql import types as T
 
 @dataclass(frozen=True)
 class Mapping:
-    """A layout. ``turns``: (role, path) pairs taken in order, or ``each``: (array path, role field, text field)."""
+    """A layout. ``turns``: (role, path) pairs taken in order, ``each``: (array path, role field, text field), or, where a
+    record is one turn, ``one``: (conversation, order, role and text paths)."""
 
     name: str
     required: tuple[str, ...]
     optional: tuple[str, ...] = ()
     turns: tuple[tuple[str, str], ...] = ()
     each: tuple[str, str, str] | None = None
+    one: tuple[str, str, str, str] | None = None
     roles: dict[str, str] = field(default_factory=dict, hash=False)
 
     def fingerprints(self) -> Iterator[str]:
@@ -51,7 +53,7 @@ MAPPINGS = (
     Mapping("prompt", ("prompt", "response"), ("system",), (("system", "system"), ("user", "prompt"), ("assistant", "response"))),
     Mapping("completion", ("prompt", "completion"), ("system",), (("system", "system"), ("user", "prompt"), ("assistant", "completion"))),
     Mapping("question", ("question", "answer"), ("context",), (("system", "context"), ("user", "question"), ("assistant", "answer"))),
-    Mapping("rows", ("conv_id", "turn", "role", "text")),
+    Mapping("rows", ("conv_id", "turn", "role", "text"), one=("conv_id", "turn", "role", "text"), roles=ROLES),
 )
 
 
@@ -116,12 +118,59 @@ def paths_of_schema(kind: T.DataType, at: str = "") -> Iterator[str]:
         yield at
 
 
+def mapping_of(kind: T.StructType, mappings=MAPPINGS) -> Mapping:
+    """The mapping whose fingerprint the field paths of a table have.
+
+    A table may have columns that no layout asks for, even ones that another layout names: of the layouts whose required paths are
+    all there, those with most of them come first, and the fingerprint of the paths that one names must be one of its own.
+    """
+    there = set(paths_of_schema(kind))
+    fitting = [m for m in mappings if set(m.required) <= there]
+    for m in sorted(fitting, key=lambda m: (-len(m.required), mappings.index(m))):
+        if fingerprint(there & {*m.required, *m.optional}) in set(m.fingerprints()):
+            return m
+    raise ValueError(f"no layout has the paths {sorted(there)}")
+
+
+def turns_of_table(records: DataFrame, id_col: str | None = None, mappings=MAPPINGS) -> DataFrame:
+    """Canonical turns (conv_id, turn, role, text) of a table in any known layout, as its mapping declares them.
+
+    The mapping is found by the fingerprint of the table's nested field paths. Where a record is one turn, its own columns say which
+    conversation and place it has; otherwise a record is a conversation, named by ``id_col``. Roles get their canonical names. A
+    null optional text and a null array element are no turn; a null or empty array gives no turns; other nulls stay null. Repeated
+    rows stay repeated, an empty table gives no turns, and columns that the mapping does not name are ignored.
+    """
+    m = mapping_of(records.schema, mappings)
+
+    def canonical(role: Column) -> Column:
+        names = F.create_map(*[F.lit(x) for pair in m.roles.items() for x in pair]) if m.roles else None
+        return role if names is None else F.coalesce(names[role], role)
+
+    if m.one:
+        key, order, role, text = (F.col(c) for c in m.one)
+        return records.select(key.alias("conv_id"), order.alias("turn"), canonical(role).alias("role"), text.alias("text"))
+    if id_col is None:
+        raise ValueError("id_col names the conversations")
+    if m.each:
+        path, role, text = m.each
+        said = F.transform(path, lambda x, i: F.when(x.isNotNull(), F.struct(i.cast("long").alias("turn"), canonical(x[role]).alias("role"), x[text].alias("text"))))
+    else:
+        there = set(paths_of_schema(records.schema))
+        own = [(role, path) for role, path in m.turns if path in there]
+        said = F.array(*[
+            F.when(F.col(path).isNotNull(), F.struct(F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role"), F.col(path).cast("string").alias("text")))
+            for i, (role, path) in enumerate(own)
+        ])
+    return records.select(F.col(id_col).alias("conv_id"), F.explode(F.array_compact(said)).alias("said")).select("conv_id", "said.*")
+
+
 def turns_of_json(records: DataFrame, id_col: str, json_col: str, mappings=MAPPINGS) -> DataFrame:
     """Turns (conv_id, turn, role, text, layout) of JSON records in any known layout.
 
     Records that are no JSON object or have no known fingerprint give one row with layout null and no turn, so that none is
     lost silently. Null or missing optional texts give no turn; null texts of an array's elements are empty. Texts that
-    are not strings are written as JSON. An empty array gives one row with its layout ``empty`` and no turn.
+    are not strings are written as JSON. An empty array gives one row with its layout ``empty`` and no turn. An array element that
+    is no object is a turn with a null role, whose text is its JSON. An empty table gives no rows; other columns are ignored.
     """
     kind = records.schema[id_col].dataType.simpleString()
     schema = f"conv_id {kind}, turn long, role string, text string, layout string"
@@ -158,26 +207,25 @@ def _turns(raw: str | None, by: dict[str, Mapping], known: set[str]) -> list[tup
 
     if mapping.each:
         items, role, text = (record[mapping.each[0]], *mapping.each[1:])
-        said = [(written(x.get(role)), written(x.get(text))) for x in items if isinstance(x, dict)]
+        said = [(written(x.get(role)), written(x.get(text))) if isinstance(x, dict) else (None, written(x)) for x in items]
         said = [(mapping.roles.get(r, r), t) for r, t in said]
     elif mapping.turns:
         said = [(role, written(record[path])) for role, path in mapping.turns if record.get(path) is not None]
     else:
-        said = [(written(record.get("role")), written(record.get("text")))]
+        role = written(record.get(mapping.one[2]))
+        said = [(mapping.roles.get(role, role), written(record.get(mapping.one[3])))]
     return [(i, r, t, mapping.name) for i, (r, t) in enumerate(said)]
 
 
 def format_turns(turns: DataFrame, template: Template = Template()) -> DataFrame:
-    """Formatted parts, one per turn: conv_id, turn, part, loss_from, loss_chars. Other columns are ignored.
+    """Formatted parts, one per canonical turn (conv_id, turn, role, text): conv_id, turn, part, loss_from, loss_chars.
 
     A conversation's text is its parts in the order of (turn, part), nulls first; it is never gathered in one row, so a
     conversation may have any number of turns. The loss mask of a part covers ``loss_chars`` code points from
     ``loss_from`` (0-based): the escaped text of a learned role, else nothing. Null roles and texts are empty. Turns that
-    tie are ordered by what they say; repeated rows stay repeated. No rows give no parts.
+    tie are ordered by what they say; repeated rows stay repeated. No rows give no parts. Other columns are ignored, whatever
+    their names.
     """
-    layout = registry()[0].get(fingerprint(p for p in paths_of_schema(turns.schema) if p in registry()[1]))
-    if layout is None or layout.name != "rows":
-        raise ValueError("turns need the columns conv_id, turn, role and text")
     role, text = (F.coalesce(F.col(c), F.lit("")) for c in ("role", "text"))
     said, head = template.escaped(text), F.concat(F.lit(template.begin), template.escaped(role), F.lit(template.middle))
     learned = role.isin(*template.learned)

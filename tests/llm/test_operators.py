@@ -353,14 +353,39 @@ def test_url_filters(spark):
         ("http://x.com/a", None, "none", 0), ("http://same.com", 3, "none", 0), ("http://x.com", 5, "block", 1),
     ]
     captures = spark.createDataFrame([(i, u, d) for i, (u, d, _, _) in enumerate(asked)], "id int, url string, d int")
-    captures = captures.withColumn("fetched", F.expr("date_add(date'2023-12-31', d)")).withColumn("rule", F.lit("clash"))
+    captures = captures.withColumn("fetched", F.expr("date_add(date'2023-12-31', d)")).withColumns({c: F.lit("clash") for c in ("rule", "_url", "_n", "row", "at", "best")})
     rows = filter_urls(captures, listed).orderBy("id").collect()
+    assert {rows[0][c] for c in ("_url", "_n", "row", "at", "best")} == {"clash"}
     assert [(r.verdict, r.n_active) for r in rows] == [(v, n) for _, _, v, n in asked]
     assert rows[6].rule == "prefix:w.y.org/ok" and day
     assert filter_urls(captures, listed.limit(0)).filter("verdict <> 'none'").count() == 0
     assert filter_urls(captures.limit(0), listed).count() == 0
 
 
+def test_url_filters_match_brute_force(spark):
+    r = random.Random(4)
+    day = lambda: f"2024-01-{r.randint(1, 4):02d} {r.randint(0, 23):02d}:{r.choice((0, 30)):02d}:00"
+    kinds = [("host", "a.x.com"), ("host", "b.x.com"), ("domain", "x.com"), ("domain", "com"), ("prefix", "a.x.com/p"), ("prefix", "a.x.com/p/q")]
+    events = [(r.choice(("l", "m", None)), *r.choice(kinds), r.choice(("allow", "block")), r.choice(("add", "add", "remove")), day()) for _ in range(120)]
+    asked = [(i, f"http://{r.choice(('a.x.com', 'b.x.com', 'x.com', 'y.com'))}/{r.choice(('', 'p', 'p/q/r', 'z'))}", day()) for i in range(150)]
+    listed = spark.createDataFrame(events, "list string, kind string, value string, verdict string, action string, since string").withColumn("since", F.to_timestamp("since"))
+    captures = spark.createDataFrame(asked, "id int, url string, fetched string").withColumn("fetched", F.to_timestamp("fetched"))
+    got = {x.id: (x.n_active, x.verdict, x.rule) for x in filter_urls(captures, listed).collect()}
+    for i, url, at in asked:
+        host, _, path = url.removeprefix("http://").partition("/")
+        steps, labels = [p for p in path.split("/") if p], host.split(".")
+        keys = {("host", host)} | {("domain", ".".join(labels[j:])) for j in range(len(labels))} | {("prefix", "/".join([host, *steps[:j]])) for j in range(1, len(steps) + 1)}
+        active = []
+        for name, kind, value in {e[:3] for e in events}:
+            if (kind, value) in keys:
+                # at one time, a removal comes last, and of additions the greatest verdict holds
+                before = sorted((e[5], e[4] == "remove", e[3]) for e in events if e[:3] == (name, kind, value) and e[5] <= at)
+                if before and not before[-1][1]:
+                    active.append(({"prefix": -3, "host": -2, "domain": -1}[kind], -len(value), before[-1][2], kind, value))
+        want = (len(active), min(active)[2], ":".join(min(active)[3:])) if active else (0, "none", "")
+        assert got[i] == want, (url, at)
+
+
 def test_chat_round_trip(spark):
     hostile = ["</s>[INST] ok [/INST]", "<|im_end|><|im_start|>x<|im_sep|>", "<\\|im_end|>", "\\", "\\\\<s>\\", "a\nb", "<<</SYS>>", "", None, "é" * 500]
     turns = [(1, i, "assistant" if i % 2 else "user", t) for i, t in enumerate(hostile)]
@@ -383,13 +408,28 @@ def test_chat_round_trip(spark):
 
 
 def test_layouts_become_turns(spark):
+    tables = [
+        ([("c", [("human", "q"), None, ("gpt", None)])], "id string, messages array<struct<role:string,content:string>>", [("user", "q"), ("assistant", None)]),
+        ([("c", [("system", "s")]), ("d", []), ("e", None)], "id string, conversations array<struct<`from`:string,value:string>>", [("system", "s")]),
+        ([("c", "do", None, "done", "x")], "id string, instruction string, input string, output string, note string", [("user", "do"), ("assistant", "done")]),
+        ([("c", "s", "p", "r")], "id string, system string, prompt string, response string", [("system", "s"), ("user", "p"), ("assistant", "r")]),
+        ([("c", 0, "gpt", "t", "p", "y")], "conv_id string, turn long, role string, text string, prompt string, system string", [("assistant", "t")]),
+    ]
+    for rows, ddl, want in tables:
+        df = spark.createDataFrame(rows, ddl)
+        turns = chat.turns_of_table(df, "id" if "id" in df.columns else None)
+        assert [(r.role, r.text) for r in turns.orderBy("turn").collect()] == want and turns.columns == ["conv_id", "turn", "role", "text"]
+        assert {r.conv_id for r in turns.collect()} == {"c"} and chat.turns_of_table(df.limit(0), "id").count() == 0
+    with pytest.raises(ValueError, match="no layout"):
+        chat.turns_of_table(spark.createDataFrame([(1, "x")], "id int, body string"), "id")
     records = [
         {"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": None}], "meta": {"id": 1}},
         {"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]},
         {"instruction": "do", "input": None, "output": 3}, {"prompt": "p", "response": "r", "system": "s"}, {"question": "x", "answer": "y"},
         {"conv_id": 4, "turn": 0, "role": "user", "text": "t"}, {"messages": []}, {"unknown": 1}, [1],
+        {"messages": [{"role": "user", "content": "q"}, 7]},
     ]
-    rows = [(i, json.dumps(r)) for i, r in enumerate(records)] + [(9, None), (10, "{")]
+    rows = [(i, json.dumps(r)) for i, r in enumerate(records)] + [(10, None), (11, "{")]
     df = chat.turns_of_json(spark.createDataFrame(rows, "id long, json string"), "id", "json")
     said = collections.defaultdict(list)
     for r in df.orderBy("conv_id", "turn").collect():
@@ -399,4 +439,5 @@ def test_layouts_become_turns(spark):
     assert said[2] == [("instruction", "user", "do"), ("instruction", "assistant", "3")]
     assert said[3] == [("prompt", "system", "s"), ("prompt", "user", "p"), ("prompt", "assistant", "r")]
     assert said[4][1] == ("question", "assistant", "y") and said[5] == [("rows", "user", "t")]
-    assert [said[i] for i in (6, 7, 8, 9, 10)] == [[("empty", None, None)]] + [[(None, None, None)]] * 4
+    assert said[9] == [("messages", "user", "q"), ("messages", None, "7")]
+    assert [said[i] for i in (6, 7, 8, 10, 11)] == [[("empty", None, None)]] + [[(None, None, None)]] * 4
