@@ -11,6 +11,7 @@ made in one pass of tasks.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -68,19 +69,28 @@ def content_features(column: pa.Array) -> np.ndarray:
     return out
 
 
-def metadata_features(column: pa.Array, source: list, lang: list, languages: list[str]) -> np.ndarray:
-    """Length, line layout, language and source (hashed to 16 places), a row a text."""
+#: Places that languages and sources are hashed to.
+LANG_PLACES, SOURCE_PLACES = 32, 64
+
+
+def place(name: str, places: int) -> int:
+    return zlib.crc32(name.encode()) % places
+
+
+def metadata_features(column: pa.Array, source: list, lang: list) -> np.ndarray:
+    """Length, line layout, hashed language and hashed source, a row a text; a null one has no place."""
     data, offsets = tk.buffers(column)
-    out = np.zeros((len(source), 4 + len(languages) + 1 + 16))
+    out = np.zeros((len(source), 4 + LANG_PLACES + SOURCE_PLACES))
     feeds = np.flatnonzero(data == 10)
     for i, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)):
         inner = feeds[np.searchsorted(feeds, a) : np.searchsorted(feeds, b)]
         lines = np.diff(np.concatenate([[a - 1], inner, [b]])) - 1
         out[i, :4] = np.log1p(b - a), np.log1p(len(lines)), np.log1p(lines.mean()), (lines < 20).mean()
     for i, (s, x) in enumerate(zip(source, lang, strict=True)):
-        out[i, 4 + (languages.index(x) if x in languages else len(languages))] = 1
+        if x is not None:
+            out[i, 4 + place(x, LANG_PLACES)] = 1
         if s is not None:
-            out[i, -1 - int(tk.mix(np.array([sum(str(s).encode()) + 257 * len(str(s))], np.uint64))[0] % np.uint64(16))] = 1
+            out[i, 4 + LANG_PLACES + place(s, SOURCE_PLACES)] = 1
     return out
 
 
@@ -119,7 +129,6 @@ class Logistic:
 
 @dataclass
 class CoTrained:
-    languages: list[str]
     content: Logistic
     metadata: Logistic
     combined: Logistic
@@ -132,7 +141,7 @@ class CoTrained:
 
 def cotrain(
     content: np.ndarray, metadata: np.ndarray, labels: np.ndarray, pool_content: np.ndarray, pool_metadata: np.ndarray,
-    languages: list[str], rounds: int = 5, share: float = 0.02,
+    rounds: int = 5, share: float = 0.02,
 ) -> CoTrained:
     """Every fourth label is kept for calibration. A round moves ``share`` of the pool each way."""
     held = np.arange(len(labels)) % 4 == 3
@@ -164,24 +173,21 @@ def cotrain(
         models = [fitted(0), fitted(1)]
     odds = np.stack([models[v].log_odds(views[v][0]) for v in (0, 1)], 1)
     both = Logistic(ridge=1.0).fit(odds[held], labels[held])
-    return CoTrained(languages, models[0], models[1], both)
-
-
-_COLUMNS = ("text_col", "source_col", "lang_col")
+    return CoTrained(models[0], models[1], both)
 
 
-def _features(batches: Iterator[pa.RecordBatch], languages: list[str]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     for piece in tk.pieces(batches, "_text"):
         column = tk.text_array(piece.column("_text"))
         source, lang = (piece.column(c).to_pylist() for c in ("_source", "_lang"))
-        yield piece, content_features(column), metadata_features(column, source, lang, languages)
+        yield piece, content_features(column), metadata_features(column, source, lang)
 
 
-def sample_features(docs: DataFrame, languages: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def sample_features(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features and labels, in order of ``_luck``, of a bounded sample (_luck, _label, _text, _source, _lang)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, content, metadata in _features(batches, languages):
+        for piece, content, metadata in _features(batches):
             kind = pa.list_(pa.float64())
             yield pa.RecordBatch.from_arrays(
                 [piece.column("_luck"), piece.column("_label"), pa.array(content.tolist(), kind), pa.array(metadata.tolist(), kind)],
@@ -197,12 +203,12 @@ def sample_features(docs: DataFrame, languages: list[str]) -> tuple[np.ndarray,
 def train_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
     lang_col: str = "lang", label_col: str = "quality", label_rows: int = 8_000, pool_rows: int = 8_000, rounds: int = 5,
-    max_languages: int = 32,
 ) -> CoTrained | None:
     """Co-trains on about ``label_rows`` labelled and ``pool_rows`` unlabelled documents, chosen by the hash of their ids.
 
-    Ids whose labels are null or disagree count as unlabelled. Languages beyond the ``max_languages`` first by name share one
-    feature. None if there are fewer than 8 labels or only one class.
+    Ids whose labels are null or disagree count as unlabelled. Null ids match no label; rows that repeat an id are documents of
+    their own. Null texts have no content, null sources and languages no feature. None if there are fewer than 8 labels or only
+    one class, as for empty tables. Columns other than those named are ignored, whatever their names.
     """
     luck = F.xxhash64("_id", F.lit("quality"))
     plain = docs.select(
@@ -216,15 +222,14 @@ def train_quality(
     pool = plain.withColumn("_luck", F.xxhash64("_id", F.lit("pool")))
     pool = pool.filter(F.pmod(F.col("_luck"), F.lit(max(n_docs, 1))) < pool_rows)
     pool = pool.join(F.broadcast(chosen.select("_id")), "_id", "left_anti").withColumn("_label", F.lit(-1.0))
-    languages = [r[0] for r in plain.select("_lang").dropna().distinct().orderBy("_lang").limit(max_languages).collect()]
     columns = ["_luck", "_label", "_text", "_source", "_lang"]
-    content, metadata, y = sample_features(plain.join(F.broadcast(chosen), "_id").select(*columns), languages)
+    content, metadata, y = sample_features(plain.join(F.broadcast(chosen), "_id").select(*columns))
     if len(y) < 8 or len(set(y.tolist())) < 2 or len(set(y[3::4].tolist())) < 2:
         return None
-    pool_content, pool_metadata, _ = sample_features(pool.select(*columns), languages)
+    pool_content, pool_metadata, _ = sample_features(pool.select(*columns))
     if not len(pool_content):
         pool_content, pool_metadata = content[:0], metadata[:0]
-    return cotrain(content, metadata, y, pool_content, pool_metadata, languages, rounds)
+    return cotrain(content, metadata, y, pool_content, pool_metadata, rounds)
 
 
 def score_quality(
@@ -244,7 +249,7 @@ def score_quality(
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for piece, content, metadata in _features(batches, model.languages if model else []):
+        for piece, content, metadata in _features(batches):
             p = model.scores(content, metadata) if model else np.ones((piece.num_rows, 3))
             p[content[:, 6] == 0] = 0.0
             yield pa.RecordBatch.from_arrays(
