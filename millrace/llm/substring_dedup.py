@@ -32,8 +32,8 @@ from millrace.plans.staging import BROADCAST_BYTES, Scratch, if_small
 
 #: Contents of one anchor up to which they share one automaton: some 50 words each.
 SHARD_CONTENTS = 1_000
-#: Bytes of per-document lists that may be broadcast.
-LIST_BYTES = BROADCAST_BYTES
+#: Bytes of per-document lists that may be broadcast, instead of shuffling the texts.
+LIST_BYTES = 64 << 20
 #: Bytes of repeated windows of hot anchors that may be broadcast.
 WINDOW_BYTES = BROADCAST_BYTES
 
