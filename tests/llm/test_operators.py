@@ -332,6 +332,8 @@ def test_quality(spark, docs):
     assert held.filter("keep = (quality = 1)").count() >= 0.9 * n > 0
     assert held.filter("quality = 1 and not keep").count() <= 0.03 * n
     edge = q.score_quality(docs, model).collect()
+    assert q.score_quality(docs.limit(0), model).count() == 0
+    assert len({q.place(x, 64) for x in ("s12", "s21", "ab", "ba")}) == 4
     assert len(edge) == len(pairs()) and all(0 <= r.score <= 1 for r in edge)
     assert q.train_quality(docs, labels.limit(0)) is None
     assert all(r.keep or r.score == 0 for r in q.score_quality(docs, None).collect())
