@@ -1,12 +1,13 @@
 """Quality classification by co-training.
 
-Two views of a document: its text content (word and character statistics) and its page metadata (source, language, length
-and line layout). A logistic classifier per view learns from the labels; in each round, either one labels the unlabelled
-documents it is surest of, in the proportion of the classes, for the other to learn from. The views are then calibrated on
-labels that neither has learned from, and their calibrated log-odds are weighed into one score for every document.
-
-Learning takes place on the driver over two samples whose sizes are parameters; features and scores of all documents are
-made in one pass of tasks.
+Two views of a document: its text content (statistics of words and characters, and its words and word pairs, hashed) and its
+page metadata (source, language, length and line layout). A logistic classifier per view learns from the labels; in each
+round, either one labels the documents without a label that it is surest of, in the proportion of the classes, for the other
+to learn from. The views are then calibrated on labels that neither has learned from, and their calibrated log-odds are
+weighed into one score for every document.
+
+Features of all documents are made in one pass over the texts and kept as a table. Every round scores all documents without a
+label on it, and finds the surest of all of them; the driver fits two small models to a bounded number of labelled rows.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import textkernel as tk
+from millrace.plans.staging import Scratch
 
 _BYTES = np.arange(256)
 _UPPER = (_BYTES >= 65) & (_BYTES <= 90)
@@ -30,31 +32,52 @@ _LETTER = _UPPER | ((_BYTES >= 97) & (_BYTES <= 122)) | (_BYTES >= 128)
 _STOP = np.isin(_BYTES, list(b".,;:'?-"))
 _SPACE = ~tk.PLAIN
 _SYMBOL = ~(_LETTER | _DIGIT | _STOP | _SPACE)
-_CLASSES = np.stack([_UPPER, _DIGIT, _LETTER, _STOP, _SYMBOL, _BYTES >= 128, _BYTES == 10])
+_CLASSES = np.stack([_UPPER, _DIGIT, _LETTER, _STOP, _SYMBOL, _BYTES >= 128])
+
+
+#: Places that words, and as many that pairs of words, are hashed to.
+WORD_PLACES = 128
+#: Statistics that come before them; the one at _N_WORDS is 0 only for texts without words.
+_STATISTICS, _N_WORDS = 16, 6
+
+
+def hashed_shares(w: tk.Words, size: int, places: int = WORD_PLACES) -> np.ndarray:
+    """Per text and place, the square root of the share of its word windows of that size that are hashed to the place."""
+    n = len(w.first) - 1
+    grams = tk.windows_of(w.hashes, size)
+    at = np.arange(len(grams))
+    inside = at + size <= tk.owner_ends(w)[: len(grams)]
+    owner = (np.searchsorted(w.first, at, "right") - 1)[inside]
+    where = (grams[inside] >> np.uint64(17)) % np.uint64(places)
+    counts = np.bincount(owner * places + where.astype(np.int64), minlength=n * places).reshape(n, places)
+    return np.sqrt(counts / np.maximum(counts.sum(1, keepdims=True), 1))
 
 
 def content_features(column: pa.Array) -> np.ndarray:
-    """Statistics of words and characters, a row a text; a text without words has zeros."""
+    """Statistics of words and characters, then hashed words and word pairs, a row a text; one without words has zeros."""
     w = tk.words_of_column(column)
     n = len(w.first) - 1
-    size = np.diff(w.offsets)
-    sums = np.zeros((len(_CLASSES), len(w.data) + 1), np.int64)
-    for i, mask in enumerate(_CLASSES):
-        np.cumsum(mask[w.data], out=sums[i, 1:])
-    shares = (sums[:, w.offsets[1:]] - sums[:, w.offsets[:-1]]) / np.maximum(size, 1)
-    letters = sums[2, w.end] - sums[2, w.start]
-    symbols = sums[4, w.end] - sums[4, w.start]
+    size = np.maximum(np.diff(w.offsets), 1)
+    out = np.zeros((n, _STATISTICS))
+    letters = symbols = None
+    for i, mask in enumerate(_CLASSES):  # one class at a time, so that a long text takes 8 bytes a byte
+        sums = np.zeros(len(w.data) + 1, np.int64)
+        np.cumsum(mask[w.data], out=sums[1:])
+        out[:, i] = (sums[w.offsets[1:]] - sums[w.offsets[:-1]]) / size
+        if i == 2:
+            letters = sums[w.end] - sums[w.start]
+        elif i == 4:
+            symbols = sums[w.end] - sums[w.start]
     length = w.end - w.start
-    out = np.zeros((n, 16))
-    out[:, :6] = shares[:6].T
     three = tk.windows_of(w.hashes, 3)
     for i, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)):
         if b == a:
+            out[i] = 0
             continue
         words, spans = w.hashes[a:b], length[a:b]
         _, times = np.unique(words, return_counts=True)
         grams = three[a : max(a, b - 2)]
-        out[i, 6:] = (
+        out[i, _N_WORDS:] = (
             np.log1p(b - a),
             spans.mean(),
             spans.std(),
@@ -66,7 +89,7 @@ def content_features(column: pa.Array) -> np.ndarray:
             (letters[a:b] == 0).mean(),
             (symbols[a:b] > 0).mean(),
         )
-    return out
+    return np.hstack([out, hashed_shares(w, 1), hashed_shares(w, 2)])
 
 
 #: Places that languages and sources are hashed to.
@@ -139,125 +162,203 @@ class CoTrained:
         return 1 / (1 + np.exp(-np.stack([self.combined.log_odds(views), views[:, 0], views[:, 1]], 1)))
 
 
-def cotrain(
-    content: np.ndarray, metadata: np.ndarray, labels: np.ndarray, pool_content: np.ndarray, pool_metadata: np.ndarray,
-    rounds: int = 5, share: float = 0.02,
-) -> CoTrained:
-    """Every fourth label is kept for calibration. A round moves ``share`` of the pool each way."""
-    held = np.arange(len(labels)) % 4 == 3
-    views = [(content, pool_content), (metadata, pool_metadata)]
-    good = labels[~held].mean() if (~held).any() else 0.5
-    extra: list[list[tuple[np.ndarray, np.ndarray]]] = [[], []]
-    free = np.ones(len(pool_content), bool)
+#: Distinct texts that a view labels for the other one in a round.
+EXCHANGE = 200
+#: Probability that a view must give a class before it labels a text with it for the other one.
+SURE = 0.95
+#: Groups that the surest of all tasks are cut down in before the last cut.
+_SHARDS = 64
+_FEATURES = "_key long, content binary, metadata binary"
 
-    def fitted(v: int) -> Logistic:
-        x = np.concatenate([views[v][0][~held], *[a for a, _ in extra[v]]])
-        y = np.concatenate([labels[~held], *[b for _, b in extra[v]]])
-        return Logistic().fit(x, y)
 
-    models = [fitted(0), fitted(1)]
-    for _ in range(rounds):
-        taken = []
-        for v in (0, 1):
-            odds = models[v].log_odds(views[v][1]) if len(free) else np.empty(0)
-            rank = np.argsort(odds, kind="stable")
-            rank = rank[free[rank]]
-            n = int(share * len(free))
-            top, low = int(round(n * good)), n - int(round(n * good))
-            sure = np.concatenate([rank[len(rank) - min(top, len(rank)) :], rank[: min(low, len(rank))]])
-            said = (odds[sure] > 0).astype(float)
-            taken.append((v, sure, said))
-        for v, sure, said in taken:
-            extra[1 - v].append((views[1 - v][1][sure], said))
-            free[sure] = False
-        models = [fitted(0), fitted(1)]
-    odds = np.stack([models[v].log_odds(views[v][0]) for v in (0, 1)], 1)
-    both = Logistic(ridge=1.0).fit(odds[held], labels[held])
-    return CoTrained(models[0], models[1], both)
-
-
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
-    for piece in tk.pieces(batches, "_text"):
-        column = tk.text_array(piece.column("_text"))
-        source, lang = (piece.column(c).to_pylist() for c in ("_source", "_lang"))
-        yield piece, content_features(column), metadata_features(column, source, lang)
-
-
-def sample_features(docs: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features and labels, in order of ``_luck``, of a bounded sample (_luck, _label, _text, _source, _lang)."""
+def quality_features(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
+) -> DataFrame:
+    """One row per row of ``docs``: _id, _key (a hash of the text), and the features of both views as packed 16-bit floats.
+
+    Null texts have the features of empty ones, null sources and languages none. Columns other than those named are ignored,
+    whatever their names; an empty table gives no rows.
+    """
+    text = F.col(text_col)
+    plain = docs.select(
+        F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(text, F.lit(""))).alias("_key"), text.alias("_text"),
+        F.col(source_col).cast("string").alias("_source"), F.col(lang_col).cast("string").alias("_lang"),
+    )
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, content, metadata in _features(batches):
-            kind = pa.list_(pa.float64())
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("_luck"), piece.column("_label"), pa.array(content.tolist(), kind), pa.array(metadata.tolist(), kind)],
-                names=["_luck", "_label", "content", "metadata"],
-            )
+        for piece in tk.pieces(batches, "_text"):
+            column = tk.text_array(piece.column("_text"))
+            source, lang = (piece.column(c).to_pylist() for c in ("_source", "_lang"))
+            views = content_features(column), metadata_features(column, source, lang)
+            packed = [pa.array([row.tobytes() for row in v.astype("<f2")], pa.binary()) for v in views]
+            names = ["_id", "_key", "content", "metadata"]
+            yield pa.RecordBatch.from_arrays([piece.column("_id"), piece.column("_key"), *packed], names=names)
 
-    schema = "_luck long, _label double, content array<double>, metadata array<double>"
-    table = docs.mapInArrow(make, schema).toArrow().sort_by([("_luck", "ascending"), ("_label", "ascending")])
-    content, metadata = (np.array(table.column(c).to_pylist(), float) for c in ("content", "metadata"))
-    return content, metadata, table.column("_label").to_numpy()
+    schema = T.StructType([T.StructField("_id", docs.schema[id_col].dataType)])
+    for f in T._parse_datatype_string(_FEATURES).fields:
+        schema = schema.add(f)
+    return plain.mapInArrow(make, schema)
 
 
-def train_quality(
-    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    lang_col: str = "lang", label_col: str = "quality", label_rows: int = 8_000, pool_rows: int = 8_000, rounds: int = 5,
-) -> CoTrained | None:
-    """Co-trains on about ``label_rows`` labelled and ``pool_rows`` unlabelled documents, chosen by the hash of their ids.
+def unpacked(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    rows = len(column)
+    data = b"".join(column.to_pylist())
+    return np.frombuffer(data, "<f2").reshape(rows, -1).astype(float) if rows else np.zeros((0, 0))
+
+
+def surest(
+    features: DataFrame, models: list[Logistic], good: int, bad: int, taken: np.ndarray, sure: float = SURE
+) -> pa.Table:
+    """The documents that either view is surest of: view, rank (log-odds, negative for good ones), _key, content, metadata.
 
-    Ids whose labels are null or disagree count as unlabelled. Null ids match no label; rows that repeat an id are documents of
-    their own. Null texts have no content, null sources and languages no feature. None if there are fewer than 8 labels or only
-    one class, as for empty tables. Columns other than those named are ignored, whatever their names.
+    Of each view, the ``good`` texts with the highest and ``bad`` ones with the lowest log-odds of all rows of ``features``, as
+    far as the view gives their class a probability of ``sure``. Of equal texts one counts, that with the surest odds, and ties
+    go by the hash of the text. ``taken`` are keys to leave out.
     """
+    least = float(np.log(sure / (1 - sure)))
+    sent = features.sparkSession.sparkContext.broadcast((models, taken))
+    wanted = [(0, 1, good), (0, 0, bad), (1, 1, good), (1, 0, bad)]
+
+    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models, taken = sent.value
+        names = ["view", "side", "rank", "_key", "content", "metadata"]
+        held: list[pa.Table | None] = [None] * len(wanted)
+        for batch in batches:
+            key = batch.column("_key").to_numpy()
+            free = ~np.isin(key, taken)
+            if not free.any():
+                continue
+            batch, key = batch.filter(pa.array(free)), key[free]
+            odds = [models[v].log_odds(unpacked(batch.column(c))) for v, c in enumerate(("content", "metadata"))]
+            for i, (view, side, n) in enumerate(wanted):
+                rank = -odds[view] if side else odds[view]
+                order = np.lexsort((key, rank))
+                order = order[rank[order] <= -least]
+                first = np.sort(np.unique(key[order], return_index=True)[1])[:n]
+                at = pa.array(order[first])
+                m = len(first)
+                own = [pa.array(np.full(m, view, np.int32)), pa.array(np.full(m, side, np.int32)), pa.array(rank).take(at)]
+                new = pa.table([*own, *[batch.column(c).take(at) for c in names[3:]]], names)
+                both = new if held[i] is None else pa.concat_tables([held[i], new])
+                rank, keys = both.column("rank").to_numpy(), both.column("_key").to_numpy()
+                order = np.lexsort((keys, rank))
+                first = np.sort(np.unique(keys[order], return_index=True)[1])[:n]
+                held[i] = both.take(pa.array(order[first]))
+        for table in held:
+            if table is not None:
+                yield from table.combine_chunks().to_batches()
+
+    found = features.mapInArrow(best, f"view int, side int, rank double, {_FEATURES}")
+    # of tasks, then of shards: no group has more rows than shards times the number wanted
+    row = F.struct("rank", "content", "metadata")
+    found = found.groupBy("view", "side", "_key").agg(F.min(row).alias("_row")).select("view", "side", "_key", "_row.*")
+    limit = F.when(F.col("side") == 1, good).otherwise(bad)
+    for group in (["view", "side", F.pmod("_key", F.lit(_SHARDS))], ["view", "side"]):
+        nth = F.row_number().over(Window.partitionBy(*group).orderBy("rank", "_key"))
+        found = found.withColumn("_nth", nth).filter(F.col("_nth") <= limit).drop("_nth")
+    table = found.toArrow().sort_by([("view", "ascending"), ("side", "ascending"), ("rank", "ascending"), ("_key", "ascending")])
+    sent.destroy()
+    return table
+
+
+def train_on_features(
+    features: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", label_rows: int = 8_000,
+    exchange: int = EXCHANGE, rounds: int = 5,
+) -> CoTrained | None:
+    """Co-trains on ``quality_features``, best a written table, as ``train_quality`` does."""
     luck = F.xxhash64("_id", F.lit("quality"))
-    plain = docs.select(
-        F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(source_col).cast("string").alias("_source"),
-        F.col(lang_col).cast("string").alias("_lang"),
-    )
     said = labels.groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).alias("_low"), F.max(label_col).alias("_high"))
-    said = said.filter("_low = _high").select("_id", F.col("_low").cast("double").alias("_label"))
-    n_labels, n_docs = said.count(), docs.count()
-    chosen = said.filter(F.pmod(luck, F.lit(max(n_labels, 1))) < label_rows).withColumn("_luck", luck)
-    pool = plain.withColumn("_luck", F.xxhash64("_id", F.lit("pool")))
-    pool = pool.filter(F.pmod(F.col("_luck"), F.lit(max(n_docs, 1))) < pool_rows)
-    pool = pool.join(F.broadcast(chosen.select("_id")), "_id", "left_anti").withColumn("_label", F.lit(-1.0))
-    columns = ["_luck", "_label", "_text", "_source", "_lang"]
-    content, metadata, y = sample_features(plain.join(F.broadcast(chosen), "_id").select(*columns))
+    said = said.filter("_id is not null and _low = _high").select("_id", F.col("_low").cast("double").alias("_label"))
+    chosen = F.broadcast(said.filter(F.pmod(luck, F.lit(max(said.count(), 1))) < label_rows))
+    row = F.struct("_key", "_label", "content", "metadata")
+    known = features.join(chosen, "_id").groupBy("_id").agg(F.min(row).alias("_row"))
+    table = known.select(luck.alias("_luck"), "_row.*").toArrow().sort_by([("_luck", "ascending"), ("_key", "ascending")])
+    y = table.column("_label").to_numpy()
     if len(y) < 8 or len(set(y.tolist())) < 2 or len(set(y[3::4].tolist())) < 2:
         return None
-    pool_content, pool_metadata, _ = sample_features(pool.select(*columns))
-    if not len(pool_content):
-        pool_content, pool_metadata = content[:0], metadata[:0]
-    return cotrain(content, metadata, y, pool_content, pool_metadata, rounds)
+    free = features.join(chosen.select("_id"), "_id", "left_anti")
+    held = np.arange(len(y)) % 4 == 3
+    own = [unpacked(table.column(c)) for c in ("content", "metadata")]
+    learned = [[(x[~held], y[~held])] for x in own]
+    ridges = (10.0, 1.0)
 
+    def fitted(v: int) -> Logistic:
+        return Logistic(ridges[v]).fit(*(np.concatenate(part) for part in zip(*learned[v], strict=True)))
 
-def score_quality(
-    docs: DataFrame, model: CoTrained | None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-    lang_col: str = "lang", threshold: float = 0.5,
-) -> DataFrame:
-    """One row per row of ``docs``: id, score, content_score, metadata_score, keep (score at least ``threshold``).
+    def loss(v: int, model: Logistic) -> float:
+        return float(np.logaddexp(0, (1 - 2 * y[held]) * model.log_odds(own[v][held])).mean())
 
-    Null and empty texts have no content and score 0. Null sources and languages have no feature of their own. Without a
-    model, every text that has words scores 1. Repeated rows score alike; an empty table gives no rows.
+    good = int(round(exchange * y[~held].mean()))
+    models, taken = [fitted(0), fitted(1)], np.unique(table.column("_key").to_numpy())
+    losses = [loss(v, models[v]) for v in (0, 1)]
+    for _ in range(rounds):
+        found = surest(free, models, good, exchange - good, taken)
+        if not found.num_rows:
+            break
+        view, said_good = found.column("view").to_numpy(), found.column("side").to_numpy().astype(float)
+        for v, c in enumerate(("content", "metadata")):
+            learned[v].append((unpacked(found.column(c))[view != v], said_good[view != v]))
+            model = fitted(v)
+            if loss(v, model) <= losses[v]:
+                models[v], losses[v] = model, loss(v, model)
+            else:  # wrong labels of a weaker view are not learned
+                learned[v].pop()
+        taken = np.union1d(taken, found.column("_key").to_numpy())
+    odds = np.stack([models[v].log_odds(own[v]) for v in (0, 1)], 1)
+    return CoTrained(models[0], models[1], Logistic().fit(odds[held], y[held]))
+
+
+def train_quality(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    lang_col: str = "lang", label_col: str = "quality", label_rows: int = 8_000, exchange: int = EXCHANGE, rounds: int = 5,
+) -> CoTrained | None:
+    """Co-trains on about ``label_rows`` labelled documents, chosen by the hash of their ids, and all the others.
+
+    Every fourth label is kept for calibration. In each round, either view labels the ``exchange`` distinct texts that it is
+    surest of among all documents whose labels were not chosen, at a probability of ``SURE`` or more; a view keeps what it was
+    taught in a round if its log loss on the calibration labels does not rise. Ids whose labels are null or disagree count as
+    unlabelled. Null ids match no label; of rows that repeat a labelled id, the one with the smallest text hash teaches. Null
+    texts have no content, null sources and languages no feature. None if there are fewer than 8 labels or only one class, as
+    for empty tables. Columns other than those named are ignored, whatever their names. A very long text is held whole, at some
+    30 bytes a byte.
     """
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-    plain = docs.select(
-        F.col(id_col).alias("_id"), F.col(text_col).alias("_text"), F.col(source_col).cast("string").alias("_source"),
-        F.col(lang_col).cast("string").alias("_lang"),
-    )
+    scratch = Scratch(docs.sparkSession, "quality")
+    features = scratch.write(quality_features(docs, id_col, text_col, source_col, lang_col), "features")
+    model = train_on_features(features, labels, id_col, label_col, label_rows, exchange, rounds)
+    scratch.close()
+    return model
+
+
+def score_features(features: DataFrame, model: CoTrained | None, id_col: str = "doc_id", threshold: float = 0.5) -> DataFrame:
+    """As ``score_quality``, from ``quality_features``."""
+    sent = features.sparkSession.sparkContext.broadcast(model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
-        for piece, content, metadata in _features(batches):
-            p = model.scores(content, metadata) if model else np.ones((piece.num_rows, 3))
-            p[content[:, 6] == 0] = 0.0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            content, metadata = (unpacked(batch.column(c)) for c in ("content", "metadata"))
+            p = model.scores(content, metadata) if model else np.ones((batch.num_rows, 3))
+            p[content[:, _N_WORDS] == 0] = 0.0
             yield pa.RecordBatch.from_arrays(
-                [piece.column("_id"), *[pa.array(p[:, i]) for i in range(3)], pa.array(p[:, 0] >= threshold)],
+                [batch.column("_id"), *[pa.array(p[:, i]) for i in range(3)], pa.array(p[:, 0] >= threshold)],
                 names=["_id", "score", "content_score", "metadata_score", "keep"],
             )
 
-    schema = T.StructType([T.StructField("_id", docs.schema[id_col].dataType)])
+    schema = T.StructType([T.StructField("_id", features.schema["_id"].dataType)])
     for name in ("score", "content_score", "metadata_score"):
         schema = schema.add(name, "double")
-    return plain.mapInArrow(score, schema.add("keep", "boolean")).withColumnRenamed("_id", id_col)
+    return features.mapInArrow(score, schema.add("keep", "boolean")).withColumnRenamed("_id", id_col)
+
+
+def score_quality(
+    docs: DataFrame, model: CoTrained | None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+    lang_col: str = "lang", threshold: float = 0.5,
+) -> DataFrame:
+    """One row per row of ``docs``: id, score, content_score, metadata_score, keep (score at least ``threshold``).
+
+    Null and empty texts have no content and score 0. Null sources and languages have no feature of their own. Without a
+    model, every text that has words scores 1. Repeated rows score alike; an empty table gives no rows.
+    """
+    return score_features(quality_features(docs, id_col, text_col, source_col, lang_col), model, id_col, threshold)

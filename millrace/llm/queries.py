@@ -14,9 +14,10 @@ from millrace.llm.language_id import held_out, identify_language, learn, trainin
 from millrace.llm.line_dedup import line_dedup
 from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram_join import ngram_join
-from millrace.llm.quality import score_quality, train_quality
+from millrace.llm.quality import quality_features, score_features, train_on_features
 from millrace.llm.substring_dedup import substring_dedup
 from millrace.llm.url_filter import filter_urls, host_of
+from millrace.plans.staging import Scratch
 
 
 def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,8 +31,9 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = train_quality(docs, labels.filter(~held_out(F.col("doc_id"))))
-    return score_quality(docs, model)
+    features = Scratch(spark, "quality").write(quality_features(docs), "features")
+    model = train_on_features(features, labels.filter(~held_out(F.col("doc_id"))))
+    return score_features(features, model)
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -339,6 +339,46 @@ def test_quality(spark, docs):
     assert all(r.keep or r.score == 0 for r in q.score_quality(docs, None).collect())
 
 
+def test_surest_documents_against_a_full_sort(spark):
+    real = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "source", "lang")
+    features = q.quality_features(real.unionByName(real).repartition(7))
+    table = features.toArrow()
+    views = [q.unpacked(table.column(c)) for c in ("content", "metadata")]
+    keys = table.column("_key").to_numpy()
+    random_labels = np.random.default_rng(3).integers(0, 2, len(keys)).astype(float)
+    models = [q.Logistic(5.0).fit(x, random_labels) for x in views]
+    taken = np.unique(keys)[::9]
+    got = q.surest(features, models, 12, 7, taken, sure=0.55).to_pylist()
+    for v in (0, 1):
+        odds = models[v].log_odds(views[v])
+        for side, n in ((1, 12), (0, 7)):
+            best = {}
+            for key, o in zip(keys.tolist(), odds.tolist(), strict=True):
+                if key not in set(taken.tolist()):
+                    best[key] = min(best.get(key, 99.0), -o if side else o)
+            least = np.log(0.55 / 0.45)
+            want = sorted((rank, key) for key, rank in best.items() if rank <= -least)[:n]
+            have = [(r["rank"], r["_key"]) for r in got if r["view"] == v and r["side"] == side]
+            assert [k for _, k in have] == [k for _, k in want]
+            assert np.allclose([r for r, _ in have], [r for r, _ in want])
+
+
+def test_hashed_words_against_counting():
+    texts = ["a b a", "", "one", None, "b a  b\tc \n a", "é é"]
+    got = q.content_features(pa.array(texts))
+    assert got.shape == (6, q._STATISTICS + 2 * q.WORD_PLACES) and not got[1].any() and not got[3].any()
+    for i, text in enumerate(texts):
+        words = (text or "").split()
+        for size, lo in ((1, q._STATISTICS), (2, q._STATISTICS + q.WORD_PLACES)):
+            grams = collections.Counter(tuple(words[j : j + size]) for j in range(len(words) - size + 1))
+            part = got[i, lo : lo + q.WORD_PLACES]
+            assert np.isclose((part**2).sum(), 1.0 if grams else 0.0)
+            if size == 1 and len(grams) == np.count_nonzero(part):
+                shares = sorted(n / len(words) for n in grams.values())
+                assert np.allclose(sorted(part[part > 0] ** 2), shares)
+    assert np.array_equal(q.hashed_shares(tk.words_of_column(pa.array(["b a"])), 1), q.hashed_shares(tk.words_of_column(pa.array(["a b"])), 1))
+
+
 def test_url_filters(spark):
     day = "date'2024-01-{:02d}'".format
     events = [
