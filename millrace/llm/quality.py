@@ -41,18 +41,37 @@ WORD_PLACES = 128
 _STATISTICS, _N_WORDS = 16, 6
 
 
+def _owned(w: tk.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The windows of so many words that lie in one text, and their texts."""
+    grams = tk.windows_of(w.hashes, size)
+    owner = np.repeat(np.arange(len(w.first) - 1), np.diff(w.first))
+    inside = owner[: len(grams)] == owner[size - 1 :][: len(grams)]
+    return grams[inside], owner[: len(grams)][inside]
+
+
 def hashed_shares(w: tk.Words, size: int, places: int = WORD_PLACES) -> np.ndarray:
     """Per text and place, the square root of the share of its word windows of that size that are hashed to the place."""
     n = len(w.first) - 1
-    grams = tk.windows_of(w.hashes, size)
-    at = np.arange(len(grams))
-    inside = at + size <= tk.owner_ends(w)[: len(grams)]
-    owner = (np.searchsorted(w.first, at, "right") - 1)[inside]
-    where = (grams[inside] >> np.uint64(17)) % np.uint64(places)
-    counts = np.bincount(owner * places + where.astype(np.int64), minlength=n * places).reshape(n, places)
+    grams, owner = _owned(w, size)
+    where = ((grams >> np.uint64(17)) % np.uint64(places)).astype(np.int64)
+    counts = np.bincount(owner * places + where, minlength=n * places).reshape(n, places)
     return np.sqrt(counts / np.maximum(counts.sum(1, keepdims=True), 1))
 
 
+def _distinct(w: tk.Words, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Per text, how many of its windows are distinct, by 40 bits of their hashes, and how often the most frequent one occurs."""
+    n = len(w.first) - 1
+    grams, owner = _owned(w, size)
+    keys = np.sort((owner.astype(np.uint64) << np.uint64(40)) | (grams >> np.uint64(24)))
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    heads = np.flatnonzero(new)
+    texts = (keys[heads] >> np.uint64(40)).astype(np.int64)
+    most = np.zeros(n, np.int64)
+    np.maximum.at(most, texts, np.diff(np.append(heads, len(keys))))
+    return np.bincount(texts, minlength=n), most
+
+
 def content_features(column: pa.Array) -> np.ndarray:
     """Statistics of words and characters, then hashed words and word pairs, a row a text; one without words has zeros."""
     w = tk.words_of_column(column)
@@ -68,27 +87,25 @@ def content_features(column: pa.Array) -> np.ndarray:
             letters = sums[w.end] - sums[w.start]
         elif i == 4:
             symbols = sums[w.end] - sums[w.start]
-    length = w.end - w.start
-    three = tk.windows_of(w.hashes, 3)
-    for i, (a, b) in enumerate(zip(w.first[:-1].tolist(), w.first[1:].tolist(), strict=True)):
-        if b == a:
-            out[i] = 0
-            continue
-        words, spans = w.hashes[a:b], length[a:b]
-        _, times = np.unique(words, return_counts=True)
-        grams = three[a : max(a, b - 2)]
-        out[i, _N_WORDS:] = (
-            np.log1p(b - a),
-            spans.mean(),
-            spans.std(),
-            len(times) / (b - a),
-            times.max() / (b - a),
-            (spans <= 3).mean(),
-            len(np.unique(grams)) / len(grams) if len(grams) else 1.0,
-            (words[1:] == words[:-1]).mean() if b - a > 1 else 0.0,
-            (letters[a:b] == 0).mean(),
-            (symbols[a:b] > 0).mean(),
-        )
+    words = np.diff(w.first)
+    owner = np.repeat(np.arange(n), words)
+    some = np.maximum(words, 1)
+
+    def mean(values: np.ndarray) -> np.ndarray:
+        return np.bincount(owner, values, minlength=n) / some
+
+    length = (w.end - w.start).astype(float)
+    again = np.zeros(len(owner))
+    again[1:] = (w.hashes[1:] == w.hashes[:-1]) & (owner[1:] == owner[:-1])
+    kinds, most = _distinct(w, 1)
+    threes = np.maximum(words - 2, 0)
+    average = mean(length)
+    out[:, _N_WORDS:] = np.stack([
+        np.log1p(words), average, np.sqrt(mean((length - average[owner]) ** 2)), kinds / some, most / some, mean(length <= 3),
+        np.where(threes > 0, _distinct(w, 3)[0] / np.maximum(threes, 1), 1.0),
+        np.bincount(owner, again, minlength=n) / np.maximum(words - 1, 1), mean(letters == 0), mean(symbols > 0),
+    ], 1)
+    out[words == 0] = 0
     return np.hstack([out, hashed_shares(w, 1), hashed_shares(w, 2)])
 
 
