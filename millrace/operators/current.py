@@ -46,6 +46,16 @@ def top_n(df: DataFrame, order: Sequence, n: int) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def text_order(*columns: str) -> list:
+    """Ascending sort columns in which a null text counts as an empty one."""
+    return [F.coalesce(c, F.lit("")) for c in columns]
+
+
+def last_ascending(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """The last n rows of an order, in that order."""
+    return top_n(df, [F.desc(c) for c in order], n).orderBy(*order)
+
+
 def merge_top_n(kept: DataFrame, batch: DataFrame, order: Sequence, n: int) -> DataFrame:
     """The bounded list after a batch: both together, cut again."""
     return top_n(kept.unionByName(batch), order, n)

@@ -117,14 +117,17 @@ def monitoring_pass(
         rejected = lost.unionByName(rejected.select(*lost.columns)).dropDuplicates(["source", "line_sha256"])
     # written once: the name of the version and all of its tables are made of them
     journal, rejected = scratch.write(journal, "journal"), scratch.write(rejected, "rejected")
-    active = alerts.evaluate(journal, now)
+    active = scratch.write(alerts.evaluate(journal, now), "active")
     before_signals = store.read("active", last) if last else active.limit(0)
     moved = alerts.transitions(before_signals, active, now)
-    history = store.read("transitions", last).unionByName(moved) if last else moved
+    history = scratch.write(store.read("transitions", last).unionByName(moved) if last else moved, "transitions")
     version = content_id(journal.drop("observed_at"), rejected, active.drop("observed_value"), history.drop("occurred_at", "transition_id"))
     if version == last:
+        scratch.close()
         return False, version
     tables = {
         "journal": journal, "rejected": rejected, "windows": metrics.metric_windows(journal), "active": active, "transitions": history,
     }
-    return True, store.publish(tables, version=version, before=before)
+    store.publish(tables, version=version, before=before)
+    scratch.close()
+    return True, version

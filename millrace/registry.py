@@ -32,12 +32,14 @@ def query(sql: str | None = None):
 
 def queries() -> dict:
     import millrace.registry_commerce  # noqa: F401  registers its own
+    import millrace.registry_layers  # noqa: F401
 
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
     import millrace.registry_commerce  # noqa: F401
+    import millrace.registry_layers  # noqa: F401
 
     return dict(_SQL)
 
