@@ -12,11 +12,14 @@ from millrace.llm.decontaminate import find_windows
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.language_id import held_out, identify_language, learn, training_sample
 from millrace.llm.line_dedup import line_dedup
+from millrace.llm.merkle import folded, leaf_digest, merkle_manifest, proof_digest
 from millrace.llm.mixing import mix_sources
 from millrace.llm.ngram_join import ngram_join
 from millrace.llm.quality import quality_features, score_features, train_on_features
+from millrace.llm.sharding import SlotMap, SlotMaps, shard_documents
 from millrace.llm.substring_dedup import substring_dedup
 from millrace.llm.url_filter import filter_urls, host_of
+from millrace.llm.whitening import fit_whitening, identity_error, whiten
 from millrace.plans.staging import Scratch
 
 
@@ -108,6 +111,47 @@ def op10_format_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_digests(format_turns(turns.unionByName(own)))
 
 
+def op11_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the map of 40 shards is version 1; a further shard is an edit of it
+    maps = SlotMaps(spark, Scratch(spark, "slot-maps").folder)
+    first = maps.commit(SlotMap.even(40))
+    grown = maps.commit(maps.load(first).grown())
+    placed = shard_documents(table(spark, sf_dir, "documents"), maps.load(first), maps.load(grown))
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", F.col("next_shard").alias("grown_shard"), "virtual_slot",
+        "slot_rows", "slot_bytes",
+    )
+
+
+def op12_whiten_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    model = fit_whitening(vectors, components=32)
+    white = whiten(vectors, model)
+    error = identity_error(white)
+    one = white.select("vec_id", "deviation", F.posexplode("whitened").alias("_at", "whitened"))
+    explained = F.array(*[F.lit(x) for x in (model.explained if model else [])]).cast("array<double>")
+    return one.select(
+        "vec_id", (F.col("_at") + 1).alias("component"), F.lit(model.n if model else 0).cast("long").alias("n"),
+        F.col("deviation").try_cast("long").alias("deviation"), "whitened", F.get(explained, F.col("_at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    tampered = leaf_digest([more if c == "n_chars" else F.col(c) for c in fields])
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    leaves = docs.select("doc_id", "lang", leaf_digest([F.col(c) for c in fields]).alias("leaf"), F.when(chosen, tampered).alias("tampered"))
+    found = merkle_manifest(leaves, carry=["tampered"])
+    found = found.withColumn("folded_root", folded(F.coalesce("tampered", "leaf"), F.col("proof")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"), "rank",
+    )
+
+
 def queries() -> dict:
     return {
         "op1_exact_dedup": op1_exact_dedup,
@@ -120,10 +164,34 @@ def queries() -> dict:
         "op8_url_filters": op8_url_filters,
         "op9_ngram_join": op9_ngram_join,
         "op10_format_chats": op10_format_chats,
+        "op11_shard_documents": op11_shard_documents,
+        "op12_whiten_embeddings": op12_whiten_embeddings,
+        "op13_merkle_manifest": op13_merkle_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
 
+#: CRC-32 of a list of bytes in SQL: with a table of the rule's 256 values, a byte at a time.
+_CRC_TABLE = """
+    SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, _k: xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END)) ORDER BY i) AS t
+    FROM range(256) AS r(i)
+"""
+
+
+def _crc32(data: str) -> str:
+    """SQL of the unsigned CRC-32 of a list of bytes; ``crc.t`` is the table."""
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda c, b: xor(c >> 8, crc.t[CAST(xor(c & 255, b) + 1 AS INTEGER)])), 4294967295)"
+
+
+def _bytes(data: str) -> str:
+    """SQL of the bytes that a hexadecimal text names."""
+    return f"list_transform(range(len({data}) // 2), lambda i: CAST('0x' || substr({data}, CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT))"
+
+
+def _field(column: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({column} AS VARCHAR))) || ':' || CAST({column} AS VARCHAR), '-')"
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_exact_dedup": """
@@ -211,4 +279,66 @@ def oracle_sql() -> dict[str, str]:
                    coalesce(verdict, 'none') AS verdict, coalesce(kind || ':' || value, '') AS rule
             FROM page LEFT JOIN (SELECT * FROM hit WHERE nth = 1) USING (page_id)
         """,
+        # the map grows from 1 shard to 41: each shard keeps its first slots, the new one takes the rest
+        "op11_shard_documents": f"""
+            WITH RECURSIVE crc AS ({_CRC_TABLE}),
+            owned AS (
+                SELECT 1 AS n, CAST(range AS INTEGER) AS slot, 0 AS owner FROM range(4096)
+                UNION ALL
+                SELECT n + 1, slot, CASE WHEN nth <= 4096 // (n + 1) + CAST(owner < 4096 % (n + 1) AS INTEGER) THEN owner ELSE n END
+                FROM (SELECT n, slot, owner, row_number() OVER (PARTITION BY owner ORDER BY slot) AS nth FROM owned) WHERE n < 41
+            ),
+            map AS (SELECT slot, max(owner) FILTER (n = 40) AS shard, max(owner) FILTER (n = 41) AS grown FROM owned GROUP BY slot),
+            d AS (
+                SELECT doc_id, coalesce(octet_length(encode(text)), 0) + 16 AS size, hex(encode(coalesce(text, ''))) AS data,
+                       md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents
+            ),
+            k AS (SELECT *, CAST(CAST('0x' || substr(h, 1, 8) AS BIGINT) % 4096 AS INTEGER) AS virtual_slot FROM d)
+            SELECT doc_id, CAST(size AS BIGINT) AS size, CAST({_crc32(_bytes("data"))} AS BIGINT) AS text_crc32, 'key' AS law, shard,
+                   row_number() OVER (PARTITION BY shard ORDER BY virtual_slot, substr(h, 9)) - 1 AS slot, grown AS grown_shard, virtual_slot,
+                   count(*) OVER same AS slot_rows, CAST(sum(size) OVER same AS BIGINT) AS slot_bytes
+            FROM k JOIN map ON map.slot = virtual_slot, crc WINDOW same AS (PARTITION BY virtual_slot)
+        """,
+        # trees level by level, the subroots' tree last; a proof has the sibling of each level that has one
+        "op13_merkle_manifest": f"""
+            WITH RECURSIVE crc AS ({_CRC_TABLE}),
+            d AS (
+                SELECT doc_id, lang, sha256({_field("doc_id")} || {_field("source")} || {_field("lang")} || {_field("n_chars")} || {_field("text")}) AS leaf,
+                       sha256({_field("doc_id")} || {_field("source")} || {_field("lang")} || {_field("(n_chars + 1)")} || {_field("text")}) AS other,
+                       {_crc32(_bytes("hex(encode(CAST(doc_id AS VARCHAR)))"))} % 7 = 0 AS chosen
+                FROM documents, crc
+            ),
+            l AS (
+                SELECT *, coalesce('=' || lang, '-') AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+                       count(*) OVER (PARTITION BY lang) AS n FROM d
+            ),
+            nodes AS (
+                SELECT 0 AS level, g, r, leaf AS digest, n FROM l
+                UNION ALL
+                SELECT level + 1, g, r // 2, sha256(string_agg(digest, '' ORDER BY r)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY level, g, r // 2, n
+            ),
+            subroots AS (
+                SELECT g, level AS height, digest AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS r, count(*) OVER () AS n FROM nodes WHERE n = 1
+            ),
+            tops AS (
+                SELECT 0 AS level, r, subroot AS digest, n FROM subroots
+                UNION ALL
+                SELECT level + 1, r // 2, sha256(string_agg(digest, '' ORDER BY r)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY level, r // 2, n
+            ),
+            root AS (SELECT digest AS root, level AS top FROM tops WHERE n = 1),
+            folds AS (
+                SELECT 0 AS level, l.doc_id, l.leaf, l.g, l.r AS first, CASE WHEN s.height = 0 THEN s.r ELSE l.r END AS r, s.height, s.r AS sub_r, '' AS proof,
+                       CASE WHEN chosen THEN other ELSE leaf END AS folded
+                FROM l JOIN subroots s ON l.g = s.g
+                UNION ALL
+                SELECT f.level + 1, doc_id, leaf, f.g, first, CASE WHEN f.level + 1 = height THEN sub_r ELSE f.r // 2 END, height, sub_r,
+                       proof || coalesce(o.digest, t.digest, ''),
+                       sha256(CASE WHEN f.r % 2 = 1 THEN coalesce(o.digest, t.digest) || folded ELSE folded || coalesce(o.digest, t.digest, '') END)
+                FROM folds f JOIN root ON f.level < height + top
+                LEFT JOIN nodes o ON f.level < height AND o.level = f.level AND o.g = f.g AND o.r = xor(f.r, 1)
+                LEFT JOIN tops t ON f.level >= height AND t.level = f.level - height AND t.r = xor(f.r, 1)
+            )
+            SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, folded AS folded_root, folded = root AS verified, first AS rank
+            FROM folds f JOIN subroots s ON f.g = s.g JOIN root ON f.level = f.height + top
+        """,
     } | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
