@@ -1,17 +1,15 @@
-"""Ordered steps with gates, and the medallion refresh and monitoring pass built of them. Survey §2.12, T-11 to T-16."""
+"""Ordered steps with gates, and the medallion refresh built of them. Survey §2.12."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.operators import alerts, checks, current, metrics, normalize, reconcile
-from millrace.plans.publish import VersionedTables, content_id
+from millrace.operators import checks, current, normalize, reconcile
 from millrace.plans.staging import Scratch
 
 
@@ -96,38 +94,3 @@ def star_checks(staged: DataFrame, star: Mapping[str, DataFrame]) -> dict[str, D
 def publish_gates(staged: DataFrame) -> Callable[[Mapping[str, DataFrame]], object]:
     """Fails if a star that was written breaks one of :func:`star_checks`."""
     return lambda star: checks.require(star_checks(staged, star))
-
-
-def monitoring_pass(
-    spark: SparkSession, accepted: DataFrame, rejected: DataFrame, store: VersionedTables, now: datetime, before=None
-) -> tuple[bool, str]:
-    """One collector pass: journal, rejected lines, windows, active signals and transitions as one new version.
-
-    Events that the journal has are not added again; an event id with another payload fails the pass. Returns whether anything
-    changed, and the version, which is named by what it holds: a pass that adds nothing publishes nothing.
-    """
-    last = store.current()
-    scratch = Scratch(spark, "monitoring")
-    journal = metrics.dedup_events(accepted)
-    if last:
-        old = store.read("journal", last)
-        # retries within and across passes meet in one check
-        journal = metrics.dedup_events(old.unionByName(accepted.select(*old.columns)))
-        lost = store.read("rejected", last)
-        rejected = lost.unionByName(rejected.select(*lost.columns)).dropDuplicates(["source", "line_sha256"])
-    # written once: the name of the version and all of its tables are made of them
-    journal, rejected = scratch.write(journal, "journal"), scratch.write(rejected, "rejected")
-    active = scratch.write(alerts.evaluate(journal, now), "active")
-    before_signals = store.read("active", last) if last else active.limit(0)
-    moved = alerts.transitions(before_signals, active, now)
-    history = scratch.write(store.read("transitions", last).unionByName(moved) if last else moved, "transitions")
-    version = content_id(journal.drop("observed_at"), rejected, active.drop("observed_value"), history.drop("occurred_at", "transition_id"))
-    if version == last:
-        scratch.close()
-        return False, version
-    tables = {
-        "journal": journal, "rejected": rejected, "windows": metrics.metric_windows(journal), "active": active, "transitions": history,
-    }
-    store.publish(tables, version=version, before=before)
-    scratch.close()
-    return True, version

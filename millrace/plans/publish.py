@@ -1,18 +1,27 @@
 """Versioned tables behind a pointer that is written last. Survey ids K3, K8, K9, S19, T-11, T-15, T-16.
 
 A version is a folder of its own. Readers follow the pointer once and read one version throughout; a crash before the
-pointer leaves the old version in place.
+pointer leaves the old version in place. Each version has a manifest of its tables, with their numbers of rows and ids of what they
+hold, taken from what was written; a reader that must not see a torn version checks it before and after it reads.
 """
 
 from __future__ import annotations
 
+import contextlib
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+MANIFEST = "manifest"
+
+
+class TornVersion(RuntimeError):
+    """A version does not hold what its manifest says, or another one was published meanwhile."""
+
+
 class VersionedTables:
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
@@ -33,12 +42,50 @@ class VersionedTables:
             raise ValueError(f"nothing is published in {self.path}")
         return self.spark.read.parquet(f"{self.path}/{version}/{name}")
 
+    def _manifest(self, version: str) -> str:
+        return f"{self.path}/{version}/{MANIFEST}"
+
+    def manifest(self, version: str | None = None) -> dict[str, tuple[int, str]]:
+        """(rows, content id) of the tables of a version, by name."""
+        version = version or self.current()
+        rows = self.spark.read.schema("name string, rows long, content string").json(self._manifest(version))
+        return {r.name: (r.rows, r.content) for r in rows.collect()}  # a row a table
+
+    @contextlib.contextmanager
+    def snapshot(self, content: bool = False) -> Iterator[dict[str, DataFrame]]:
+        """The tables of the current version, for a reader that must see one version whole.
+
+        Before and after the block, the version's tables are held against its manifest, by their numbers of rows or, with
+        ``content``, by all they hold if that was published. Raises :class:`TornVersion` if they differ, if a table is missing, or if the pointer has moved.
+        """
+        version = self.current()
+        if version is None:
+            raise TornVersion(f"nothing is published in {self.path}")
+        said = self.manifest(version)
+        self._hold(version, said, content)
+        yield {name: self.read(name, version) for name in said}
+        if self.current() != version:
+            raise TornVersion(f"version {version} was replaced during the read")
+        self._hold(version, said, content)
+
+    def _hold(self, version: str, said: Mapping[str, tuple[int, str]], content: bool) -> None:
+        for name, (rows, mark) in said.items():
+            try:
+                df = self.read(name, version)
+                found = _counted(df) if content and mark else (df.count(), mark)
+            except Exception as error:
+                raise TornVersion(f"{name} of version {version} cannot be read") from error
+            if found != (rows, mark):
+                raise TornVersion(f"{name} of version {version} has {found[0]} rows where {rows} were published, or other ones")
+
     def publish(
         self, tables: Mapping[str, DataFrame], checks: Callable[[Mapping[str, DataFrame]], object] | None = None,
-        version: str | None = None, before: Callable[[str], None] | None = None,
+        version: str | None = None, before: Callable[[str], None] | None = None, content: bool = False,
     ) -> str:
         """Writes all tables, checks what was written, then moves the pointer. ``before(step)`` is a hook for fault tests.
 
+        The manifest counts rows, which costs no scan; ``content`` reads what was written once more, for ids of what it holds.
+
         Publishing the version that is current already changes nothing.
         """
         version = version or uuid.uuid4().hex
@@ -51,6 +98,8 @@ class VersionedTables:
         written = {name: self.read(name, version) for name in tables}
         if checks:
             checks(written)
+        rows = [(name, *(_counted(df) if content else (df.count(), ""))) for name, df in written.items()]
+        self.spark.createDataFrame(rows, "name string, rows long, content string").coalesce(1).write.mode("overwrite").json(self._manifest(version))
         if before:
             before("pointer")
         fs, path = self._pointer()
@@ -69,12 +118,13 @@ class VersionedTables:
         return version
 
 
+def _counted(df: DataFrame) -> tuple[int, str]:
+    """Rows of a table and a mark of what they hold, whatever their order: a sum of hashes."""
+    row = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
+    number = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(38,0)")
+    return tuple(df.select(number.alias("v")).agg(F.count("v"), F.coalesce(F.sum("v"), F.lit(0)).cast("string")).first())
+
+
 def content_id(*tables: DataFrame) -> str:
     """A version name from what tables hold, whatever the order of their rows."""
-    parts = []
-    for df in tables:
-        row = F.sha2(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}), 256)
-        number = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(38,0)")
-        n, total = df.select(number.alias("v")).agg(F.count("v"), F.coalesce(F.sum("v"), F.lit(0).cast("decimal(38,0)"))).first()
-        parts.append(f"{n}:{total}")
-    return uuid.uuid5(uuid.NAMESPACE_URL, "|".join(parts)).hex
+    return uuid.uuid5(uuid.NAMESPACE_URL, "|".join(f"{n}:{total}" for n, total in map(_counted, tables))).hex

@@ -18,6 +18,9 @@ from pyspark.sql import types as T
 #: Bytes, as Spark holds rows in memory, up to which a side may be sent to every executor.
 BROADCAST_BYTES = 24 << 20
 
+#: Folders of applications on one machine that have no setting, by application id.
+_own_folders: dict[str, str] = {}
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder in spark.checkpoint.dir; a temporary one only where the setting is missing on one machine, as in tests."""
@@ -25,8 +28,10 @@ def shared_folder(spark: SparkSession) -> str:
     if not folder:
         if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        # the setting cannot be changed while an application runs
+        folder = _own_folders.setdefault(spark.sparkContext.applicationId, "")
+        if not folder:
+            folder = _own_folders[spark.sparkContext.applicationId] = "file://" + tempfile.mkdtemp(prefix="millrace-")
     return folder.rstrip("/")
 
 

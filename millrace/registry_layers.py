@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from millrace.functions import ids
 from millrace.functions.commerce_contract import COMMERCE
 from millrace.operators import checks, current
-from millrace.plans import pipeline
+from millrace.plans import monitoring
 from millrace.plans.publish import VersionedTables
 from millrace.plans.staging import Scratch
 from millrace.registry import money, query
-from millrace.sources import byte_log, catalog, generator, tables
-from millrace.streaming import ingest
+from millrace.sources import byte_log, catalog, files, generator, record_log, tables
+from millrace.streaming import commits, ingest
 
 # ---- catalog
 
@@ -149,6 +149,50 @@ def stream_bounded_dedup(t):
     return spark.read.parquet(f"{folder}/kept").select("event_id", "event_type")
 
 
+# ---- commits of a stream, batch by batch
+
+#: Appends to the log, each a batch of both sinks; Spark compacts the log of every tenth batch of a sink.
+BATCHES = 12
+_STATUS = "CASE WHEN event_id % 7 = 3 THEN 'INVALID' WHEN event_id % 3 = 1 THEN 'WARNING' ELSE 'VALID' END"
+
+
+def _observed_stream(t) -> tuple[DataFrame, str]:
+    """A log that grows in twelve steps, the two sinks that a streaming query each has made of it, and what is seen of their batches."""
+    records, n = _records(t), t("events").count()
+    spark, folder = records.sparkSession, Scratch(records.sparkSession, "commits").folder
+    number = F.col("offset") * 8 + F.col("partition")
+    stream = record_log.record_log(spark, f"{folder}/log")
+    status = F.expr(_STATUS.replace("event_id", "(kafka_offset * 8 + kafka_partition)"))
+    rows = stream.select("kafka_topic", "kafka_partition", "kafka_offset", status.alias("validation_status"))
+    sinks, checkpoints = ({name: f"{folder}/{kind}/{name}" for name in commits.ROUTES} for kind in ("sinks", "checkpoints"))
+    for step in range(BATCHES):
+        record_log.append_records(records.filter((number >= step * n // BATCHES) & (number < (step + 1) * n // BATCHES)), f"{folder}/log")
+        running = [
+            ingest.parquet_sink(rows.filter(F.col("validation_status").isin(*route)), name, sinks[name], checkpoints[name], ["validation_status"], {"availableNow": True})
+            for name, route in commits.ROUTES.items()
+        ]
+        for query_ in running:
+            query_.awaitTermination()
+    return commits.observe(spark, sinks, checkpoints), folder
+
+
+@query(f"""WITH n AS (SELECT count(*) AS n FROM events), e AS (SELECT *, {_STATUS} AS s FROM events, n)
+       SELECT b AS batch_id, b = 9 AS compact, count(*) AS input_rows, count(*) FILTER (s = 'VALID') AS "VALID", count(*) FILTER (s = 'WARNING') AS "WARNING",
+           count(*) FILTER (s = 'INVALID') AS "INVALID", CAST(NULL AS VARCHAR) AS problem, 2 AS lines, CAST(count(*) AS DOUBLE) AS logged_rows
+       FROM range({BATCHES}) AS r(b), e WHERE event_id >= b * n // {BATCHES} AND event_id < (b + 1) * n // {BATCHES} GROUP BY b""")
+def commit_observation(t):
+    """Rows by status of each committed batch, and its events in the event log after a pass that saw half of the batches and two
+    whole ones."""
+    observed, folder = _observed_stream(t)
+    scratch = Scratch(observed.sparkSession, "observed")
+    observed, path = scratch.write(observed, "batches"), f"{folder}/events"
+    for seen in (observed.filter("batch_id % 2 = 0"), observed, observed):
+        commits.publish_commits(commits.commit_events(seen, "kafka_to_bronze_dlq", "run", "events"), path)
+    logged = byte_log.read_events(observed.sparkSession, path).groupBy(F.col("dimensions")["batch_id"].cast("long").alias("batch_id"))
+    logged = logged.agg(F.count(F.lit(1)).cast("int").alias("lines"), F.max(F.col("values")["batch_input_rows"]).alias("logged_rows"))
+    return observed.drop("committed_at").join(logged, "batch_id")
+
+
 # ---- monitoring log
 
 _SOURCE = "app.jsonl"
@@ -204,6 +248,9 @@ def metric_log_routes(t):
     return good.unionByName(rejected.select(F.lit(None).cast("string").alias("accepted_id"), F.lit(None).cast("string").alias("seconds"), "reason"))
 
 
+_PASSES = [datetime(2024, 3, 1, tzinfo=timezone.utc)] * 3
+
+
 @query(f"""WITH e AS (SELECT event_id % {len(LINE_FAULTS)} AS k, event_id % 2 AS odd FROM events)
        SELECT 1 AS pass, true AS changed, count(*) FILTER (k = 0 AND odd = 0) AS journal, count(*) FILTER (k > 0 AND odd = 0) AS rejected FROM e
        UNION ALL SELECT 2, true, count(*) FILTER (k = 0), count(*) FILTER (k > 0) FROM e
@@ -211,15 +258,61 @@ def metric_log_routes(t):
 def monitoring_passes(t):
     """Half of the log, the whole log, and the whole log again, which changes nothing."""
     spark = t("events").sparkSession
-    now, store = datetime(2024, 3, 1, tzinfo=timezone.utc), VersionedTables(spark, Scratch(spark, "passes").folder)
+    store = monitoring.MonitoringStore(spark, Scratch(spark, "passes").folder)
     half = lambda name: t(name).filter("event_id % 2 = 0")
     shown = []
-    for i, source in enumerate((half, t, t)):
-        changed, version = pipeline.monitoring_pass(spark, *_routed(source), store, now)
-        shown.append((i + 1, changed, *(store.read(name, version).count() for name in ("journal", "rejected"))))
+    for i, (source, now) in enumerate(zip((half, t, t), _PASSES, strict=True)):
+        changed, state = store.collect(*_routed(source), now)
+        shown.append((i + 1, changed, state.accepted, state.rejected))
     return spark.createDataFrame(shown, "pass int, changed boolean, journal long, rejected long")
 
 
+_LATE = f"event_id % {3 * len(LINE_FAULTS)} = 0 AND ts < (SELECT min(ts) + (max(ts) - min(ts)) / 2 FROM events)"
+
+
+@query(f"""WITH e AS (SELECT *, {_LATE} AS late, strftime(ts, '%Y%m%d') AS day FROM events WHERE event_id % {len(LINE_FAULTS)} = 0),
+       days AS (SELECT day, bool_or(late) AS touched FROM e GROUP BY 1),
+       w AS (SELECT time_bucket(INTERVAL 5 MINUTE, ts) AS w, event_type AS metric_name, count(*) AS event_count FROM e GROUP BY 1, 2)
+       SELECT strftime(w, '%Y-%m-%d %H:%M') AS at, metric_name, event_count, event_count * 7.0::DOUBLE AS millis,
+           CASE WHEN touched THEN 2 ELSE 1 END AS written_by FROM w JOIN days ON day = strftime(w, '%Y%m%d')""")
+def monitoring_late_windows(t):
+    """Windows after a second pass that brings late events: those of the days that these touch are of the second pass, all others
+    still of the first one."""
+    events = t("events")
+    spark = events.sparkSession
+    ends = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select((F.col("a") + (F.col("b") - F.col("a")) / 2).alias("half"))
+    marked = events.crossJoin(ends).withColumn("_late", (F.col("event_id") % (3 * len(LINE_FAULTS)) == 0) & (F.col("ts") < F.col("half")))
+    store = monitoring.MonitoringStore(spark, Scratch(spark, "late").folder)
+    for late in (False, True):
+        part = marked.filter(F.col("_late") == late).drop("_late", "half")
+        store.collect(*_routed(lambda _, part=part: part), _PASSES[0])
+    days = store.versions.read("windows_index").select("span", F.col("pass").alias("written_by"))
+    windows = store.read("windows").withColumn("span", F.date_format("window_start", "yyyyMMdd")).join(days, "span")
+    return windows.select(
+        F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("at"), "metric_name", "event_count", F.col("values")["duration_ms"].alias("millis"), "written_by"
+    )
+
+
+@query(f"""WITH e AS (SELECT event_id % {len(LINE_FAULTS)} IN (0, {len(LINE_FAULTS) - 1}) AS good FROM events)
+       SELECT count(*) FILTER (good) AS journal, count(*) FILTER (NOT good) AS rejected, count(*) AS lines, 2 AS passes, true AS whole FROM e""")
+def monitoring_files(t):
+    """The metric log as files, more of them before the second of two passes; tasks find the lines in ranges of 64 KB."""
+    lines = _lines(t)
+    spark, folder = lines.sparkSession, Scratch(lines.sparkSession, "metric-files").folder
+    spark.range(1).select(F.lit('{"schema_version": "monitoring-quarantine-v1", "entries": []}').alias("value")).write.text(f"{folder}/registry")
+    store = monitoring.MonitoringStore(spark, f"{folder}/store")
+    for part in (0, 1):
+        lines.filter(F.col("_number") % 2 == part).select("line").write.mode("append").text(f"{folder}/logs")
+        store.collect_files(f"{folder}/logs/part-*", f"{folder}/registry", _PASSES[0], split_bytes=64 << 10)
+    state = store.state()
+    whole = sum(int(c.split(":")[0]) for c in state.cursors.values()) == sum(files.matching(f"{folder}/logs/part-*").values())
+    stored = store.read("journal").select("event_id").unionByName(store.read("rejected").select("event_id"))
+    return stored.agg(F.count(F.lit(1)).alias("lines")).select(
+        F.lit(state.accepted).cast("long").alias("journal"), F.lit(state.rejected).cast("long").alias("rejected"), "lines",
+        F.lit(state.number).alias("passes"), F.lit(whole).alias("whole"),
+    )
+
+
 # ---- publishing, orders, times
 
 @query("""SELECT c_custkey, c_name, 'second' AS version FROM customer""")

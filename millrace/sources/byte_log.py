@@ -1,19 +1,21 @@
 """JSON lines read by byte position: complete records only, resumed from a checkpoint. Survey ids S14, S15, T-12, K7.
 
-The source's offset is the bytes read of each file. A record ends at a line feed; a tail without one waits for the next
-batch. A file that shrinks or whose first bytes change is another file under an old name, and the query fails.
+The source's offset is the size of each file when it was seen. A record ends at a line feed and belongs to the range of bytes that
+has it; a tail without one waits for the batch that brings it. The driver lists sizes and hashes heads; tasks find the lines. A
+file that shrinks or whose first bytes change is another file under an old name, and the query fails.
 """
 
 from __future__ import annotations
 
-import glob
 import hashlib
-import os
-from collections.abc import Iterator
+import json
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
+
+from millrace.sources.files import head, lines_ending_in, matching
 
 SCHEMA = "source string, byte_offset long, line string, line_sha256 string"
 PREFIX_BYTES = 4096
@@ -26,76 +28,67 @@ class _Range(InputPartition):
         self.path, self.low, self.high = path, low, high
 
 
-def _prefix(path: str, size: int) -> str:
-    with open(path, "rb") as f:
-        return hashlib.sha256(f.read(min(size, PREFIX_BYTES))).hexdigest()
+def cursor(path: str, size: int) -> str:
+    """How far a file has been read, and what its head is: size, length of the head, SHA-256 of the head."""
+    length = min(size, PREFIX_BYTES)
+    return f"{size}:{length}:{hashlib.sha256(head(path, length)).hexdigest()}"
+
+
+def cursors(pattern: str) -> dict[str, str]:
+    return {path: cursor(path, size) for path, size in matching(pattern).items() if size}
+
+
+def ranges(start: Mapping[str, str], end: Mapping[str, str], split: int | None = None) -> list[_Range]:
+    """The ranges of bytes between two sets of cursors. Fails if a file has gone, shrunk or got another head."""
+    for path, was in start.items():
+        size, length, digest = was.split(":")
+        if path not in end or int(end[path].split(":")[0]) < int(size):
+            raise ValueError(f"log truncated or gone: {path}")
+        if hashlib.sha256(head(path, int(length))).hexdigest() != digest:
+            raise ValueError(f"log replaced: {path}")
+    out = []
+    for path, now in end.items():
+        low, high = int(start.get(path, "0").split(":")[0]), int(now.split(":")[0])
+        out += [_Range(path, at, min(at + (split or SPLIT_BYTES), high)) for at in range(low, high, split or SPLIT_BYTES)]
+    return out
 
 
-def complete_size(path: str, start: int) -> int:
-    """The position after the last line feed at or after ``start``; ``start`` if there is none."""
-    size = os.path.getsize(path)
-    with open(path, "rb") as f:
-        at = size
-        while at > start:
-            low = max(start, at - 65_536)
-            f.seek(low)
-            found = f.read(at - low).rfind(b"\n")
-            if found >= 0:
-                return low + found + 1
-            at = low
-    return start
+def _read(part: _Range) -> Iterator[tuple]:
+    name = part.path.rsplit("/", 1)[-1]
+    for at, line in lines_ending_in(part.path, part.low, part.high):
+        yield name, at, line.rstrip(b"\r\n").decode("utf-8", "replace"), hashlib.sha256(line).hexdigest()
 
 
-class _Reader(DataSourceStreamReader):
-    def __init__(self, pattern: str):
-        self.pattern = pattern
+class _StreamReader(DataSourceStreamReader):
+    def __init__(self, options):
+        self.pattern, self.split = options["path"], int(options.get("splitBytes", SPLIT_BYTES))
 
     def initialOffset(self) -> dict:
         return {}
 
     def latestOffset(self) -> dict:
-        out = {}
-        for path in sorted(glob.glob(self.pattern)):
-            end = complete_size(path, 0)
-            if end:
-                out[path] = f"{end}:{min(end, PREFIX_BYTES)}:{_prefix(path, end)}"
-        return out
+        return cursors(self.pattern)
 
     def partitions(self, start: dict, end: dict) -> list[_Range]:
-        for path, was in start.items():
-            size, length, digest = was.split(":")
-            if path not in end or int(end[path].split(":")[0]) < int(size):
-                raise ValueError(f"log truncated or gone: {path}")
-            if _prefix(path, int(length)) != digest:
-                raise ValueError(f"log replaced: {path}")
-        out = []
-        for path, now in end.items():
-            low, high = int(start.get(path, "0:0:").split(":")[0]), int(now.split(":")[0])
-            while low < high:
-                cut = high if high - low <= SPLIT_BYTES else self._line_end(path, low + SPLIT_BYTES, high)
-                out.append(_Range(path, low, cut))
-                low = cut
-        return out
-
-    @staticmethod
-    def _line_end(path: str, at: int, high: int) -> int:
-        with open(path, "rb") as f:
-            f.seek(at)
-            f.readline()
-            return min(f.tell(), high)
+        return ranges(start, end, self.split)
 
     def read(self, part: _Range) -> Iterator[tuple]:
-        with open(part.path, "rb") as f:
-            f.seek(part.low)
-            at = part.low
-            while at < part.high:
-                line = f.readline()
-                yield os.path.basename(part.path), at, line.rstrip(b"\r\n").decode("utf-8", "replace"), hashlib.sha256(line).hexdigest()
-                at += len(line)
+        return _read(part)
+
+
+class _BatchReader(DataSourceReader):
+    def __init__(self, options):
+        self.parts = ranges(json.loads(options.get("from", "{}")), json.loads(options["to"]), int(options.get("splitBytes", SPLIT_BYTES)))
+
+    def partitions(self) -> list[_Range]:
+        return self.parts
+
+    def read(self, part: _Range | None) -> Iterator[tuple]:
+        return _read(part) if part else iter(())
 
 
 class ByteLog(DataSource):
-    """``format("byte_log").option("path", glob)``: files must be visible to driver and executors alike."""
+    """``format("byte_log").option("path", glob)``: files that driver and executors alike can open, by path or address."""
 
     @classmethod
     def name(cls) -> str:
@@ -104,14 +97,27 @@ class ByteLog(DataSource):
     def schema(self) -> str:
         return SCHEMA
 
-    def streamReader(self, schema) -> _Reader:
-        return _Reader(self.options["path"])
+    def streamReader(self, schema) -> _StreamReader:
+        return _StreamReader(self.options)
 
+    def reader(self, schema) -> _BatchReader:
+        return _BatchReader(self.options)
 
-def byte_log(spark: SparkSession, pattern: str) -> DataFrame:
+
+def byte_log(spark: SparkSession, pattern: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     """The stream of complete lines of the files that match."""
     spark.dataSource.register(ByteLog)
-    return spark.readStream.format("byte_log").option("path", pattern).load()
+    return spark.readStream.format("byte_log").option("path", pattern).option("splitBytes", split_bytes).load()
+
+
+def lines_between(spark: SparkSession, start: Mapping[str, str], end: Mapping[str, str], split_bytes: int = SPLIT_BYTES) -> DataFrame:
+    """The complete lines between two sets of cursors, as a batch."""
+    if not any(int(now.split(":")[0]) > int(start.get(path, "0").split(":")[0]) for path, now in end.items()):
+        ranges(start, end)  # what is gone or replaced is found without new lines as well
+        return spark.createDataFrame([], SCHEMA)
+    spark.dataSource.register(ByteLog)
+    reader = spark.read.format("byte_log").option("from", json.dumps(dict(start))).option("to", json.dumps(dict(end)))
+    return reader.option("splitBytes", split_bytes).load()
 
 
 def json_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -128,11 +134,11 @@ ENVELOPE = [
 _UUID = r"^[0-9a-fA-F]{8}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{4}-[0-9a-fA-F]{12}$"
 
 
-def metric_events(lines: DataFrame, quarantine: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """Accepted metric events and rejected lines (source, event_id, reason, line_sha256, and byte_offset where known).
+def judged_lines(lines: DataFrame) -> DataFrame:
+    """Lines with their event as ``e``, its two times, and ``reason``, null for a good one.
 
     An event has exactly the eleven envelope fields, a UUID, zoned times, known semantics and status, texts that are not
-    blank, and at least one finite value. Quarantined ids are rejected with their registered reason.
+    blank, and at least one finite value.
     """
     from millrace.functions.ids import instant
 
@@ -158,15 +164,50 @@ def metric_events(lines: DataFrame, quarantine: DataFrame | None = None) -> tupl
         .when(F.coalesce(F.size(values), F.lit(0)) <= 0, "no values")
         .when(limits, "values must be finite numbers")
     )
-    judged = typed.withColumn("reason", reason)
-    if quarantine is not None:
-        q = quarantine.select(F.col("source").alias("_source"), F.col("event_id").alias("_id"), F.col("reason").alias("_why"))
-        judged = judged.join(F.broadcast(q), (F.col("source") == F.col("_source")) & (F.col("e.event_id") == F.col("_id")), "left")
-        judged = judged.withColumn("reason", F.coalesce("_why", "reason"))
-    accepted = judged.filter("reason is null").select(
+    return typed.withColumn("reason", reason)
+
+
+def accepted_events(judged: DataFrame) -> DataFrame:
+    return judged.filter("reason is null").select(
         "e.event_id", F.col("_time").alias("event_time"), F.col("_seen").alias("observed_at"), "e.component", "e.metric_name",
         "e.metric_semantics", "e.status", "e.run_id", "e.values", "e.dimensions", "e.schema_version",
     )
+
+
+def metric_events(lines: DataFrame, quarantine: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Accepted metric events and rejected lines (source, event_id, reason, line_sha256, and byte_offset where known).
+
+    Lines are judged by :func:`judged_lines`; quarantined ids are rejected with their registered reason.
+    """
+    judged = judged_lines(lines)
+    if quarantine is not None:
+        q = quarantine.select(F.col("source").alias("_source"), F.col("event_id").alias("_id"), F.col("reason").alias("_why"))
+        judged = judged.join(q, (F.col("source") == F.col("_source")) & (F.col("e.event_id") == F.col("_id")), "left")
+        judged = judged.withColumn("reason", F.coalesce("_why", "reason"))
     extra = ["byte_offset"] if "byte_offset" in lines.columns else []
     rejected = judged.filter("reason is not null").select("source", *extra, "e.event_id", "reason", "line_sha256")
-    return accepted, rejected
+    return accepted_events(judged), rejected
+
+
+def write_events(events: DataFrame, path: str) -> None:
+    """Appends metric events to a folder of JSON lines, all of them or none.
+
+    ``events`` has the envelope's fields, its times as timestamps. Every line is judged as a reader would judge it before it is
+    written, and the first bad one fails the write; tasks that fail or are abandoned leave no line, since Spark moves the parts
+    of a job into the folder only once all are done.
+    """
+    from millrace.functions.ids import iso_millis
+
+    times = {c: iso_millis(F.col(c)) for c in ("event_time", "observed_at")}
+    line = F.to_json(F.struct(*ENVELOPE), {"ignoreNullFields": "false"})
+    judged = judged_lines(events.withColumns(times).select(line.alias("line")))
+    refused = F.raise_error(F.concat(F.lit("metric event refused: "), F.col("reason"), F.lit(": "), F.col("line")))
+    judged.select(F.when(F.col("reason").isNull(), F.col("line")).otherwise(refused).alias("value")).write.mode("append").text(path)
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    """The events of a folder of JSON lines; none if it is not there yet."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        return accepted_events(judged_lines(spark.createDataFrame([], "line string")))
+    return accepted_events(judged_lines(json_lines(spark, path)))

@@ -47,6 +47,20 @@ def new_files(before: DataFrame, after: DataFrame) -> DataFrame:
     return joined.withColumn("path", kept).filter("_old is null").drop("_old")
 
 
+def commit_log(spark: SparkSession, path: str) -> list[tuple[int, bool, int]]:
+    """(batch_id, compact, committed_ms) of a file sink's log, in order: the names and times of its few files, not their contents."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_spark_metadata")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    out = []
+    for status in fs.listStatus(folder):
+        number, _, kind = status.getPath().getName().partition(".")
+        if number.isdecimal() and kind in ("", "compact"):
+            out.append((int(number), kind == "compact", int(status.getModificationTime())))
+    return sorted(out)
+
+
 def committed_files(spark: SparkSession, path: str) -> DataFrame:
     """Added files by batch from a file sink's commit log. Version lines and deletions are skipped; ``compact`` marks files
     that a compacted log names, which may be of any earlier batch."""
@@ -64,14 +78,37 @@ def committed_files(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def committed_batch_files(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """The files that one batch has added. A compacted log names those of all batches: what the logs before it name is taken off.
+
+    Fails if the batch is not committed, or if it is compacted and the logs back to the last compacted one are not all there any
+    more; :mod:`millrace.streaming.commits` then counts by the offsets of the checkpoint.
+    """
+    logs = {number: compact for number, compact, _ in commit_log(spark, path)}
+    if batch_id not in logs:
+        raise ValueError(f"batch {batch_id} of {path} is not committed")
+    files = committed_files(spark, path)
+    own = files.filter(F.col("batch_id") == batch_id)
+    if not logs[batch_id]:
+        return own
+    before = batch_id - 1
+    while before >= 0 and before in logs and not logs[before]:
+        before -= 1
+    if before >= 0 and before not in logs:
+        raise ValueError(f"the log of batch {before}, which compacted batch {batch_id} follows, is gone")
+    earlier = files.filter((F.col("batch_id") < batch_id) & (F.col("batch_id") >= before))
+    return own.join(earlier.select("path"), "path", "left_anti")
+
+
 def committed_status_counts(spark: SparkSession, path: str, batch_id: int | None = None, status: str = "validation_status") -> DataFrame:
     """Rows by status in the files that a sink has committed, of one batch or of all: what is written, not what was reported.
 
-    Only the paths come to the driver, a batch or a table's files at a time. A file that is listed but gone fails the read.
+    Only the paths come to the driver, of a batch; all batches are what Spark reads of the table. A file that is listed but gone
+    fails the read, and so does a batch that is not committed.
     """
-    files = committed_files(spark, path)
-    files = files if batch_id is None else files.filter((F.col("batch_id") == batch_id) & ~F.col("compact"))
-    paths = [r.path for r in files.select("path").distinct().toLocalIterator()]
+    if batch_id is None:
+        return spark.read.parquet(path).groupBy(status).agg(F.count(F.lit(1)).alias("rows"))
+    paths = [r.path for r in committed_batch_files(spark, path, batch_id).select("path").distinct().toLocalIterator()]
     if not paths:
         return spark.createDataFrame([], f"{status} string, rows long")
     return parquet_files(spark, path, paths).groupBy(status).agg(F.count(F.lit(1)).alias("rows"))

@@ -1,11 +1,16 @@
+import json
+import os
+import random
+import shutil
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import PySparkException
 
 from millrace.operators import alerts, metrics
-from millrace.plans.pipeline import monitoring_pass
-from millrace.plans.publish import VersionedTables
+from millrace.plans.monitoring import MonitoringStore, StaleState
+from millrace.plans.publish import TornVersion, VersionedTables
+from millrace.sources.files import lines_ending_in, matching
 
 SCHEMA = (
     "event_id string, event_time timestamp, observed_at timestamp, component string, metric_name string, metric_semantics string, "
@@ -105,22 +110,185 @@ def test_escalation_resolves_then_opens(spark):
     assert {r.transition_id for r in again} == {r.transition_id for r in moved}
 
 
-def test_monitoring_pass_survives_a_crash(spark, tmp_path):
-    store = VersionedTables(spark, str(tmp_path / "monitor"))
-    rejected = spark.createDataFrame([], "source string, event_id string, reason string, line_sha256 string")
-    first = frame(spark, event("s", T, "bronze_to_silver_incremental", "run_counts", "delta", {"input_rows": 18, "output_rows": 17}))
-    changed, version = monitoring_pass(spark, first, rejected, store, NOW)
-    assert changed and store.read("transitions").count() == 1
-    assert monitoring_pass(spark, first, rejected, store, NOW) == (False, version)
-    more = frame(spark, event("t", T + 60, "bronze_to_silver_incremental", "run_counts", "delta", {"input_rows": 5, "output_rows": 5}))
+REJECTED = "source string, event_id string, reason string, line_sha256 string"
+MISMATCH = ("bronze_to_silver_incremental", "run_counts", "delta")
+
+
+def same_rows(a, b):
+    return sorted(map(str, a.collect())) == sorted(map(str, b.select(*a.columns).collect()))
+
+
+def test_a_crashed_pass_is_repeated(spark, tmp_path):
+    store = MonitoringStore(spark, str(tmp_path / "monitor"))
+    rejected = spark.createDataFrame([], REJECTED)
+    first = frame(spark, event("s", T, *MISMATCH, {"input_rows": 18, "output_rows": 17}))
+    changed, state = store.collect(first, rejected, NOW)
+    assert changed and state.number == 1 and store.read("transitions").count() == 1
+    assert store.collect(first, rejected, NOW) == (False, state)
+    # the attempt that crashes has an event of another hour, which the one that succeeds lacks
+    more = [event("t", T + 60, *MISMATCH, {"input_rows": 5, "output_rows": 5}), event("u", T + 90_000, *MISMATCH, {"input_rows": 5, "output_rows": 5})]
+    for step in ("windows", "pointer"):
+
+        def crash(at, step=step):
+            if at == step:
+                raise OSError("lost")
+
+        with pytest.raises(OSError):
+            store.collect(frame(spark, *more), rejected, NOW, before=crash)
+        assert store.state() == state and store.read("journal").count() == 1 and store.read("windows").count() == 1
+        assert store.load()["windows"].count() == 1
+    assert store.collect(frame(spark, more[0]), rejected, NOW)[0]
+    assert store.read("journal").count() == 2 and store.read("windows").count() == 1 and store.read("active").count() == 0
+    assert [r.state for r in store.read("transitions").orderBy("state").collect()] == ["OPEN", "RESOLVED"]
+    assert store.load()["windows"].first().event_count == 2
+
+
+def test_late_events_correct_old_windows_and_touch_no_others(spark, tmp_path):
+    store, rejected = MonitoringStore(spark, str(tmp_path / "monitor"), span="yyyyMMddHH"), spark.createDataFrame([], REJECTED)
+    counts = ("producer", "delivery_counts", "delta")
+    hours = [event(f"h{i}", i * 3600 + 20, *counts, {"attempted": i}) for i in range(5)]
+    store.collect(frame(spark, *hours), rejected, NOW)
+    files = {p: p.stat().st_mtime_ns for p in (tmp_path / "monitor" / "windows").rglob("*.parquet")}
+    late = [event("late", 3600 + 30, *counts, {"attempted": 100}), hours[3], event("h2", 2 * 3600 + 20, *counts, {"attempted": 2}, seen=50)]
+    changed, state = store.collect(frame(spark, *late), rejected, NOW)
+    assert changed and state.accepted == 6
+    assert {p: p.stat().st_mtime_ns for p in files} == files
+    added = {p for p in (tmp_path / "monitor" / "windows").rglob("*.parquet")} - set(files)
+    assert {p.parent.parent.name for p in added} == {"span=2026010101"} and {p.parent.name for p in added} == {"pass=2"}
+    journal = frame(spark, *hours, late[0])
+    assert same_rows(metrics.metric_windows(metrics.dedup_events(journal)), store.read("windows"))
+    with pytest.raises(PySparkException, match="conflicting payload"):
+        store.collect(frame(spark, event("h4", 4 * 3600 + 20, *counts, {"attempted": 9})), rejected, NOW)
+    assert store.state() == state
+
+
+def test_passes_in_any_order_give_what_one_pass_gives(spark, tmp_path):
+    r, rejected = random.Random(6), spark.createDataFrame([], REJECTED)
+    made = [event(i, r.randrange(300_000), r.choice("xy"), "m", "delta", {"n": r.randrange(9)}, topic=r.choice(["a", "b"])) for i in range(60)]
+    made += [event(f"d{i}", r.randrange(300_000), "z", "g", "gauge", {"duration_ms": r.randrange(90)}) for i in range(30)]
+    whole = MonitoringStore(spark, str(tmp_path / "whole"))
+    whole.collect(frame(spark, *made), rejected, NOW)
+    r.shuffle(made)
+    store = MonitoringStore(spark, str(tmp_path / "parts"))
+    for i in range(0, 90, 45):
+        store.collect(frame(spark, *made[max(0, i - 20) : i + 45]), rejected, NOW)
+    for name in ("journal", "windows", "active"):
+        assert same_rows(whole.read(name), store.read(name)), name
+
+
+def line(i, at=T, **over):
+    stamp = (datetime(2026, 1, 1, tzinfo=timezone.utc) + timedelta(seconds=at)).strftime("%Y-%m-%dT%H:%M:%S.000Z")
+    return json.dumps({
+        "event_id": f"00000000-0000-4000-8000-{i:012d}", "event_time": stamp, "observed_at": stamp, "component": "shop", "metric_name": "m",
+        "metric_semantics": "delta", "status": "OK", "run_id": "r", "values": {"n": i}, "dimensions": {}, "schema_version": "v1",
+    } | over)
+
+
+@pytest.fixture
+def logs(tmp_path):
+    registry = tmp_path / "registry.json"
+    registry.write_text('{"schema_version": "monitoring-quarantine-v1", "entries": []}')
+    os.makedirs(tmp_path / "logs")
+    (tmp_path / "logs" / "a.jsonl").write_text("\n".join([line(1), line(2), "broken", line(3)[:40]]))
+    return tmp_path / "logs" / "a.jsonl", str(tmp_path / "logs" / "*.jsonl"), registry
+
+
+def test_cursors_move_with_the_tables(spark, tmp_path, logs):
+    log, pattern, registry = logs
+    store = MonitoringStore(spark, str(tmp_path / "monitor"))
+    _, state = store.collect_files(pattern, str(registry), NOW, split_bytes=100)
+    assert (state.accepted, state.rejected) == (2, 1)
+    with open(log, "a") as f:
+        f.write(line(3)[40:] + "\n" + line(4) + "\n")
 
     def crash(step):
         if step == "pointer":
             raise OSError("lost")
 
     with pytest.raises(OSError):
-        monitoring_pass(spark, more, rejected, store, NOW, before=crash)
-    assert store.current() == version and store.read("journal").count() == 1
-    assert monitoring_pass(spark, more, rejected, store, NOW)[0]
-    assert store.read("active").count() == 0
-    assert [r.state for r in store.read("transitions").orderBy("state").collect()] == ["OPEN", "RESOLVED"]
+        store.collect_files(pattern, str(registry), NOW, before=crash)
+    assert store.state() == state
+    changed, after = store.collect_files(pattern, str(registry), NOW, split_bytes=64)
+    assert changed and (after.accepted, after.rejected) == (4, 1) and after.snapshot_id != state.snapshot_id
+    # nothing new, and a second file with lines that the first has
+    assert store.collect_files(pattern, str(registry), NOW) == (False, after)
+    log.with_name("b.jsonl").write_text(line(4) + "\n")
+    changed, last = store.collect_files(pattern, str(registry), NOW)
+    assert changed and last.accepted == 4 and len(last.cursors) == 2
+    assert {r.event_id[-1] for r in store.read("journal").collect()} == set("1234")
+
+
+def test_a_state_that_does_not_fit_is_refused(spark, tmp_path, logs):
+    log, pattern, registry = logs
+    store = MonitoringStore(spark, str(tmp_path / "monitor"))
+    text = log.read_text()
+    log.write_text(text + "\n")
+    _, state = store.collect_files(pattern, str(registry), NOW)
+
+    def refused(match):
+        with pytest.raises(StaleState, match=match):
+            store.collect_files(pattern, str(registry), NOW)
+        assert store.state() == state
+
+    log.write_text(text[:50])
+    refused("truncated")
+    log.write_text("x" + text[1:] + "\n" + line(9) + "\n")
+    refused("replaced")
+    os.rename(log, log.with_name("gone"))
+    refused("gone")
+    log.write_text(text + "\n")
+    said = registry.read_text()
+    registry.write_text(said + " ")
+    refused("registry")
+    registry.write_text(said)
+    assert store.collect_files(pattern, str(registry), NOW) == (False, state)
+    shutil.rmtree(tmp_path / "monitor" / "journal")
+    refused("journal is behind")
+
+
+def test_a_torn_version_is_refused(spark, tmp_path):
+    store = VersionedTables(spark, str(tmp_path / "versions"))
+    with pytest.raises(TornVersion, match="nothing"), store.snapshot():
+        pass
+    store.publish({"a": spark.range(5), "b": spark.range(3)}, version="one", content=True)
+    with store.snapshot(content=True) as found:
+        assert found["a"].count() == 5 and set(found) == {"a", "b"}
+    with pytest.raises(TornVersion, match="replaced"), store.snapshot():
+        store.publish({"a": spark.range(6), "b": spark.range(3)}, version="two")
+    with pytest.raises(TornVersion, match="rows"), store.snapshot():
+        spark.range(7).write.mode("append").parquet(str(tmp_path / "versions" / "two" / "a"))
+    store.publish({"a": spark.range(5), "b": spark.range(3)}, version="three", content=True)
+    spark.range(10, 15).write.mode("overwrite").parquet(str(tmp_path / "versions" / "three" / "a"))
+    with store.snapshot() as found:  # as many rows: only the content tells
+        assert found["b"].count() == 3
+    with pytest.raises(TornVersion, match="other ones"), store.snapshot(content=True):
+        pass
+    shutil.rmtree(tmp_path / "versions" / "three" / "b")
+    with pytest.raises(TornVersion, match="cannot be read"), store.snapshot():
+        pass
+
+
+def test_windows_of_another_pass_are_refused(spark, tmp_path):
+    store, rejected = MonitoringStore(spark, str(tmp_path / "monitor")), spark.createDataFrame([], REJECTED)
+    store.collect(frame(spark, event("a", T, "x", "m", "delta", {"n": 1})), rejected, NOW)
+    assert store.load()["windows"].count() == 1
+    windows = next((tmp_path / "monitor" / "windows").glob("span=*/pass=1"))
+    spark.read.parquet(str(windows)).limit(0).write.mode("overwrite").parquet(str(windows))
+    with pytest.raises(TornVersion, match="do not match"):
+        store.load()
+
+
+def test_ranges_give_each_line_once(tmp_path):
+    r = random.Random(4)
+    text = b"".join(bytes(r.choice(b"ab\r ") for _ in range(r.randrange(30))) + b"\n" for _ in range(80)) + b"x" * 200_000 + b"\n\ntail"
+    path = tmp_path / "log"
+    path.write_bytes(text)
+    want, at = [], 0
+    for part in text.split(b"\n")[:-1]:
+        want.append((at, part + b"\n"))
+        at += len(part) + 1
+    for cuts in ([0, len(text)], list(range(0, 900, 7)) + [len(text)], [0, 5, 6, 7, 1000, 150_000, len(text) - 2, len(text)]):
+        for name in (str(path), f"file://{path}"):
+            got = [x for a, b in zip(cuts, cuts[1:], strict=False) for x in lines_ending_in(name, a, b, block=50)]
+            assert got == want
+    assert matching(f"file://{tmp_path}/l*") == {f"file://{tmp_path}/log": len(text)} and matching(str(tmp_path / "no" / "*")) == {}
