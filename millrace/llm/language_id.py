@@ -8,7 +8,7 @@ shortest code for the whole text wins; code lengths are whole numbers of 1/256 b
 order.
 
 The counts come from a bounded sample of whole labelled texts; Spark sums and prunes them. What is broadcast are the counts,
-a few megabytes; each worker makes its tables of them once. All trees share one set of contexts: for each position the
+some 25 bytes each; each worker makes its tables of them once, in bounded memory. All trees share one set of contexts: for each position the
 longest shared context is found by stepping backwards, and each language's code length there is one lookup.
 """
 
@@ -39,85 +39,160 @@ class ContextTrees:
     """Counts of bytes in shared contexts.
 
     ``names``: the contexts, each its length and its bytes, in order; number 0 is the empty one. ``counts``: by language, the
-    numbers of the contexts, the bytes seen there and how often.
+    numbers of the contexts, the bytes seen there and how often. ``table_bytes``: how much memory a worker gives to tables with a
+    place for every byte in every context. The shortest contexts have such places as far as that reaches; the counts of longer
+    ones are looked up one by one. Code lengths are the same in either way.
     """
 
     languages: list[str]
     order: int
     names: np.ndarray
     counts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-    _made: tuple | None = field(default=None, repr=False)
+    table_bytes: int = 256 << 20
+    _made: _Tables | None = field(default=None, repr=False)
 
     def __getstate__(self):
         return self.__dict__ | {"_made": None}
 
-    def tables(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-        """symbol: of each byte, the last two numbers are any byte never learned and the start of a text. child: of context
-        c and symbol s, the context with s before c, or -1. codes: by language, code lengths by context and symbol."""
+    def tables(self) -> _Tables:
         if self._made is None:
-            learned = np.unique(np.concatenate([byte[at == 0] for at, byte, _ in self.counts]))
-            symbol = np.full(256, len(learned), np.int16)
-            symbol[learned] = np.arange(len(learned))
-            symbols = len(learned) + 2
-            depth, body = self.names >> 40, self.names & ((1 << 40) - 1)
-            farthest = body >> np.maximum(8 * (depth - 1), 0)
-            shorter = np.maximum(depth - 1, 0) << 40 | body & (1 << np.maximum(8 * (depth - 1), 0)) - 1
-            above = np.searchsorted(self.names, shorter)
-            child = np.full((len(self.names), symbols), -1, np.int32)
-            deep = np.flatnonzero(depth > 0)
-            child[above[deep], symbol[farthest[deep]]] = deep
-            levels = np.searchsorted(depth, np.arange(self.order + 2))
-            codes = [self._codes(levels, above, symbol, symbols, *own) for own in self.counts]
-            self._made = symbol, child, codes
+            self._made = _Tables(self)
         return self._made
 
-    def _codes(self, levels, above, symbol, symbols, at, byte, n) -> np.ndarray:
-        """Code lengths of one language, from short contexts to long ones."""
-        bits = np.full((len(self.names), symbols), np.log2(256.0))
-        for lo, hi in zip(levels[:-1].tolist(), levels[1:].tolist(), strict=True):
-            mine = (at >= lo) & (at < hi)
-            counts = np.zeros((hi - lo, symbols))
-            counts[at[mine] - lo, symbol[byte[mine]]] = n[mine]
-            kinds, seen = np.count_nonzero(counts, axis=1)[:, None], counts.sum(1)[:, None]
-            shorter = bits[above[lo:hi]] if lo else bits[lo:hi]
-            escaped = np.log2((seen + kinds) / np.maximum(kinds, 1), where=kinds > 0, out=np.zeros_like(seen)) + shorter
-            bits[lo:hi] = np.where(counts > 0, np.log2((seen + kinds) / np.maximum(counts, 1), where=kinds > 0, out=np.zeros_like(counts)), escaped)
-        assert bits.max() < 65_535 / UNIT
-        return np.round(bits * UNIT).astype(np.uint16).reshape(-1)
-
     def lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Code lengths of texts, one row a text and one column a language, in 1/UNIT bits."""
         out = np.zeros((len(offsets) - 1, len(self.languages)), np.int64)
         if not self.languages:
             return out
-        symbol, child, codes = self.tables()
-        symbols, flat = child.shape[1], child.reshape(-1)
-        starts, ends = offsets[:-1], offsets[1:]
+        made = self.tables()
         for lo in range(0, len(data), SPAN_BYTES):
             hi = min(lo + SPAN_BYTES, len(data))
             base = max(0, lo - self.order)
-            s = symbol[data[base:hi]]
-            best = np.zeros(hi - lo, np.int32)
-            at = best
-            for back in range(1, self.order + 1):
-                before = np.full(hi - lo, symbols - 1, s.dtype)
-                known = s[max(0, lo - base - back) : max(0, len(s) - back)]
-                before[len(before) - len(known) :] = known
-                for j in range(back):  # positions with less text before them than this
-                    early = starts + j
-                    early = early[(early < ends) & (early >= lo) & (early < hi)]
-                    before[early - lo] = symbols - 1
-                at = np.where(at >= 0, flat[at * np.int32(symbols) + before], at)
-                best = np.where(at >= 0, at, best)
-            index = best * np.int32(symbols) + s[lo - base :]
-            edges = np.clip(offsets, lo, hi) - lo
+            s, edges = made.symbol[data[base:hi]], np.clip(offsets, lo, hi) - lo
+            chain = made.chain(s, lo - base, hi - lo, offsets[:-1] - lo, offsets[1:] - lo)
             sums = np.zeros(hi - lo + 1, np.int64)
-            for k, code in enumerate(codes):
-                np.cumsum(code[index], out=sums[1:])
+            for k in range(len(self.languages)):
+                np.cumsum(made.code(k, chain, s[lo - base :]), out=sums[1:])
                 out[:, k] += sums[edges[1:]] - sums[edges[:-1]]
         return out
 
 
+class _Tables:
+    """What a worker makes of :class:`ContextTrees`.
+
+    ``symbol``: of each byte, the last two numbers are any byte never learned and the start of a text. ``child``: of context c
+    and symbol s, the context with s before c, or -1. ``codes``: by language, code lengths by context and symbol. These two have
+    the contexts of up to ``depth`` bytes; longer ones are found by their (context, symbol) among ``links`` and ``deep``.
+    """
+
+    def __init__(self, trees: ContextTrees):
+        learned = np.unique(np.concatenate([byte[at == 0] for at, byte, _ in trees.counts]))
+        self.symbol = np.full(256, len(learned), np.int16)
+        self.symbol[learned] = np.arange(len(learned))
+        self.symbols, self.order = len(learned) + 2, trees.order
+        depth, body = trees.names >> 40, trees.names & ((1 << 40) - 1)
+        farthest = body >> np.maximum(8 * (depth - 1), 0)
+        shorter = np.maximum(depth - 1, 0) << 40 | body & (1 << np.maximum(8 * (depth - 1), 0)) - 1
+        above = np.searchsorted(trees.names, shorter)
+        ends = np.searchsorted(depth, np.arange(trees.order + 2))  # where the contexts of each length begin
+        row_bytes = (len(trees.languages) * 2 + 4 + 24) * self.symbols  # codes, children, and what making codes takes
+        self.depth = max((d for d in range(trees.order + 1) if int(ends[d + 1]) * row_bytes <= trees.table_bytes), default=0)
+        dense = int(ends[self.depth + 1])
+        self.child = np.full((dense, self.symbols), -1, np.int32)
+        shallow = np.flatnonzero((depth > 0) & (np.arange(len(depth)) < dense))
+        self.child[above[shallow], self.symbol[farthest[shallow]]] = shallow
+        far = np.arange(dense, len(depth))
+        links = above[far].astype(np.int64) * self.symbols + self.symbol[farthest[far]]
+        order = np.argsort(links, kind="stable")
+        self.links, self.linked = links[order], far[order].astype(np.int32)
+        self.codes, self.exact, self.deep = [], [], []
+        for at, byte, n in trees.counts:
+            bits = self._bits(ends, above, dense, at, byte, n)
+            assert bits.max() < 65_535 / UNIT
+            self.codes.append(np.round(bits * UNIT).astype(np.uint16).reshape(-1))
+            # where longer contexts go on, they add to lengths that are not rounded yet
+            self.exact.append(bits.reshape(-1) if len(far) else None)
+            self.deep.append(self._looked_up(dense, len(depth), at, byte, n) if len(far) else None)
+
+    def _bits(self, ends, above, dense, at, byte, n) -> np.ndarray:
+        """Code lengths of one language, from short contexts to long ones."""
+        bits = np.full((dense, self.symbols), np.log2(256.0))
+        for lo, hi in zip(ends[: self.depth + 1].tolist(), ends[1 : self.depth + 2].tolist(), strict=True):
+            mine = (at >= lo) & (at < hi)
+            counts = np.zeros((hi - lo, self.symbols))
+            counts[at[mine] - lo, self.symbol[byte[mine]]] = n[mine]
+            kinds, seen = np.count_nonzero(counts, axis=1)[:, None], counts.sum(1)[:, None]
+            shorter = bits[above[lo:hi]] if lo else bits[lo:hi]
+            escaped = np.log2((seen + kinds) / np.maximum(kinds, 1), where=kinds > 0, out=np.zeros_like(seen)) + shorter
+            bits[lo:hi] = np.where(counts > 0, np.log2((seen + kinds) / np.maximum(counts, 1), where=kinds > 0, out=np.zeros_like(counts)), escaped)
+        return bits
+
+    def _looked_up(self, dense, contexts, at, byte, n) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of one language's long contexts: (context, symbol) in order, their code lengths, and the escapes by context."""
+        kinds, seen = np.bincount(at, minlength=contexts), np.bincount(at, n, minlength=contexts)
+        escapes = np.log2((seen + kinds) / np.maximum(kinds, 1), where=kinds > 0, out=np.zeros(contexts))
+        mine = at >= dense
+        keys = at[mine].astype(np.int64) * self.symbols + self.symbol[byte[mine]]
+        order = np.argsort(keys)
+        lengths = np.log2((seen + kinds)[at[mine]] / n[mine])
+        return keys[order], lengths[order], escapes
+
+    def chain(self, s, skip, size, starts, ends) -> list[np.ndarray]:
+        """The longest context at each position, and before it the shorter ones that are not in the dense tables, -1 for none.
+
+        The first is the longest one of the dense tables; each further list has the contexts that are one byte longer.
+        """
+        best = at = np.zeros(size, np.int32)
+        out = []
+        for back in range(1, self.order + 1):
+            before = np.full(size, self.symbols - 1, s.dtype)
+            known = s[max(0, skip - back) : max(0, len(s) - back)]
+            before[len(before) - len(known) :] = known
+            for j in range(back):  # positions with less text before them than this
+                early = starts + j
+                early = early[(early < ends) & (early >= 0) & (early < size)]
+                before[early] = self.symbols - 1
+            if back <= self.depth:
+                at = np.where(at >= 0, self.child.reshape(-1)[at * np.int32(self.symbols) + before], at)
+                best = np.where(at >= 0, at, best)
+            else:
+                at = self._longer(at, before)
+                out.append(at)
+        return [best, *out]
+
+    def _longer(self, at, before) -> np.ndarray:
+        found = np.full(len(at), -1, np.int32)
+        live = np.flatnonzero(at >= 0)
+        if len(live) and len(self.links):
+            want = at[live].astype(np.int64) * self.symbols + before[live]
+            place = np.minimum(np.searchsorted(self.links, want), len(self.links) - 1)
+            hit = self.links[place] == want
+            found[live[hit]] = self.linked[place[hit]]
+        return found
+
+    def code(self, language: int, chain: list[np.ndarray], s) -> np.ndarray:
+        """Code lengths of the bytes in one language."""
+        index = chain[0] * np.int32(self.symbols) + s
+        codes = self.codes[language][index]
+        if not any((more >= 0).any() for more in chain[1:]):
+            return codes
+        live = np.flatnonzero(chain[1] >= 0)
+        keys, lengths, escapes = self.deep[language]
+        bits = self.exact[language][index[live]]
+        for more in chain[1:]:
+            own = np.flatnonzero(more[live] >= 0)
+            context = more[live[own]]
+            want = context.astype(np.int64) * self.symbols + s[live[own]]
+            place = np.minimum(np.searchsorted(keys, want), max(len(keys) - 1, 0))
+            hit = keys[place] == want if len(keys) else np.zeros(len(want), bool)
+            longer = escapes[context] + bits[own]
+            longer[hit] = lengths[place[hit]]
+            bits[own] = longer
+        codes = codes.copy()
+        codes[live] = np.round(bits * UNIT).astype(np.uint16)
+        return codes
+
+
 def _count(order: int):
     """Counts of (context, byte) by language: the context length and its bytes packed in one number."""
 
@@ -156,9 +231,9 @@ def learn(sample: DataFrame, order: int = 4, least: int = 8, table_bytes: int =
     """Context trees from a bounded sample (_lang, _text), with contexts of up to ``order`` bytes, 5 at most.
 
     A context is kept, for all languages, if some language has seen it ``least`` times; the empty one always is. So a
-    language with few texts has the contexts that its own counts carry, whatever the others have. ``table_bytes`` bounds what
-    a worker makes of the trees: where it would take more, ``least`` is doubled until it does not. Null and empty texts,
-    texts of any length and repeated ones count as they are; null languages are left out; no texts give no languages.
+    language with few texts has the contexts that its own counts carry, whatever the others have. ``table_bytes`` bounds the
+    tables that a worker makes, not what is learned: see ``ContextTrees``. Null and empty texts, texts of any length and repeated
+    ones count as they are; null languages are left out; no texts give no languages.
     """
     if not 0 <= order <= 5:
         raise ValueError("order is 0 to 5")
@@ -167,15 +242,9 @@ def learn(sample: DataFrame, order: int = 4, least: int = 8, table_bytes: int =
     counted = counted.withColumn("name", F.shiftright("key", 8)).cache()
     try:
         seen = counted.groupBy("_lang", "name").agg(F.sum("n").alias("n")).groupBy("name").agg(F.max("n").alias("most"))
-        shape = counted.agg(F.count_distinct("_lang"), F.count_distinct(F.when(F.col("key") < 256, F.col("key")))).first()
-        row_bytes = (shape[0] * 2 + 4 + 24) * (shape[1] + 2)  # codes, children, and what making codes takes
-        doublings = F.floor(F.log2(F.greatest(F.col("most") / F.lit(least), F.lit(0.5))))
-        found = dict(seen.groupBy(doublings.alias("d")).count().collect())  # a row per power of two
-        times = 0
-        while sum(n for d, n in found.items() if d >= times) * row_bytes > table_bytes:
-            times += 1
-        kept = seen.filter((F.col("most") >= least * 2**times) | (F.col("name") == 0)).select("name")
-        table = counted.join(kept, "name", "left_semi").select("_lang", "key", "n").toArrow()  # bounded by table_bytes
+        kept = seen.filter((F.col("most") >= least) | (F.col("name") == 0)).select("name")
+        # bounded by the sample: a row for ``least`` bytes of it at most in a context that only one language has
+        table = counted.join(kept, "name", "left_semi").select("_lang", "key", "n").toArrow()
     finally:
         counted.unpersist()
     languages = sorted(pc.unique(table.column("_lang")).to_pylist())
@@ -187,7 +256,7 @@ def learn(sample: DataFrame, order: int = 4, least: int = 8, table_bytes: int =
     names = np.unique(name)
     at = np.searchsorted(names, name).astype(np.int32)
     counts = [(at[lang == k], byte[lang == k], n[lang == k]) for k in range(len(languages))]
-    return ContextTrees(languages, order, names, counts)
+    return ContextTrees(languages, order, names, counts, table_bytes)
 
 
 def held_out(id_col: Column) -> Column:
@@ -196,19 +265,22 @@ def held_out(id_col: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, rows: int, longest: int = 1 << 20) -> DataFrame:
-    """(_lang, _text): up to ``rows`` whole labelled texts a language, by the hash of their ids, none of the held-out fold.
+    """(_lang, _text): up to ``rows`` whole labelled texts a language, by the hash of id and text, none of the held-out fold.
 
     These two bound what is learned from: texts of over ``longest`` bytes and null texts teach nothing, and neither do
-    rows with a null language or id. Repeated ids tie in any order. An empty table gives no rows.
+    rows with a null language or id. Rows that repeat an id are told apart by their texts; rows that repeat both teach once. An empty
+    table gives no rows.
     """
     usable = docs.filter(F.col(lang_col).isNotNull() & (F.octet_length(text_col) <= longest) & ~held_out(F.col(id_col)))
     usable = usable.select(F.col(lang_col).alias("_lang"), F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    sizes = usable.groupBy("_lang").agg(F.count(F.lit(1)).alias("_all"))
-    luck = F.xxhash64("_id", F.lit("ppm"))
-    # the first filter leaves about twice the rows that are wanted, the second exactly those
-    thinned = usable.join(F.broadcast(sizes), "_lang").filter(F.pmod(luck, F.col("_all")) < 2 * rows)
-    first = Window.partitionBy("_lang").orderBy(luck, "_id")
-    return thinned.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= rows).select("_lang", "_text")
+    luck = F.xxhash64("_id", "_text", F.lit("ppm"))
+    usable = usable.withColumn("_luck", luck)
+    sizes = usable.groupBy("_lang").agg(F.approx_count_distinct("_luck").alias("_all"))
+    # about twice the rows that are wanted, in proportion to what differs; then each once, then exactly those wanted
+    thinned = usable.join(sizes, "_lang").filter(F.pmod(F.col("_luck"), F.col("_all")) < 2 * rows)
+    once = thinned.groupBy("_lang", "_luck").agg(F.min(F.struct("_id", "_text")).alias("_row"))
+    first = Window.partitionBy("_lang").orderBy("_luck")
+    return once.withColumn("_rank", F.row_number().over(first)).filter(F.col("_rank") <= rows).select("_lang", F.col("_row._text").alias("_text"))
 
 
 def identify_language(

@@ -3,8 +3,9 @@
 Two views of a document: its text content (statistics of words and characters, and its words and word pairs, hashed) and its
 page metadata (source, language, length and line layout). A logistic classifier per view learns from the labels; in each
 round, either one labels the documents without a label that it is surest of, in the proportion of the classes, for the other
-to learn from. The views are then calibrated on labels that neither has learned from, and their calibrated log-odds are
-weighed into one score for every document.
+to learn from. The labels are dealt into three folds: one is learned from, a second judges whether a view keeps what it was
+taught in a round, and the third, which neither has any part in, calibrates the views and weighs their log-odds into one
+score for every document.
 
 Features of all documents are made in one pass over the texts and kept as a table. Every round scores all documents without a
 label on it, and finds the surest of all of them; the driver fits two small models to a bounded number of labelled rows.
@@ -101,7 +102,7 @@ def content_features(column: pa.Array) -> np.ndarray:
     threes = np.maximum(words - 2, 0)
     average = mean(length)
     out[:, _N_WORDS:] = np.stack([
-        np.log1p(words), average, np.sqrt(mean((length - average[owner]) ** 2)), kinds / some, most / some, mean(length <= 3),
+        np.log1p(words), np.log1p(average), np.log1p(np.sqrt(mean((length - average[owner]) ** 2))), kinds / some, most / some, mean(length <= 3),
         np.where(threes > 0, _distinct(w, 3)[0] / np.maximum(threes, 1), 1.0),
         np.bincount(owner, again, minlength=n) / np.maximum(words - 1, 1), mean(letters == 0), mean(symbols > 0),
     ], 1)
@@ -143,7 +144,10 @@ class Logistic:
     scale: np.ndarray = field(default=None, repr=False)
     weights: np.ndarray = field(default=None, repr=False)
 
-    def fit(self, x: np.ndarray, y: np.ndarray) -> Logistic:
+    def fit(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None) -> Logistic:
+        weight = np.ones(len(y)) if weight is None else weight
+        if not np.isfinite(x).all():
+            raise ValueError("a feature is not finite")
         self.mean, self.scale = x.mean(0), np.maximum(x.std(0), 1e-6)
         z = self._ready(x)
         w = np.zeros(z.shape[1])
@@ -151,8 +155,8 @@ class Logistic:
         penalty[-1] = 1e-6
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-            slope = z.T @ (p - y) + penalty * w
-            curve = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(penalty)
+            slope = z.T @ (weight * (p - y)) + penalty * w
+            curve = (z * (weight * (p * (1 - p) + 1e-9))[:, None]).T @ z + np.diag(penalty)
             step = np.linalg.solve(curve, slope)
             w = w - step
             if np.abs(step).max() < 1e-8:
@@ -169,13 +173,19 @@ class Logistic:
 
 @dataclass
 class CoTrained:
+    """``calibrated``: by view, what its log-odds are worth. ``kept``: pseudo-labels that the content and the metadata view have
+    learned from."""
+
     content: Logistic
     metadata: Logistic
+    calibrated: tuple[Logistic, Logistic]
     combined: Logistic
+    kept: tuple[int, int] = (0, 0)
 
     def scores(self, content: np.ndarray, metadata: np.ndarray) -> np.ndarray:
         """Probability of good quality: combined, by content, by metadata."""
-        views = np.stack([self.content.log_odds(content), self.metadata.log_odds(metadata)], 1)
+        raw = self.content.log_odds(content), self.metadata.log_odds(metadata)
+        views = np.stack([c.log_odds(x[:, None]) for c, x in zip(self.calibrated, raw, strict=True)], 1)
         return 1 / (1 + np.exp(-np.stack([self.combined.log_odds(views), views[:, 0], views[:, 1]], 1)))
 
 
@@ -183,6 +193,10 @@ class CoTrained:
 EXCHANGE = 200
 #: Probability that a view must give a class before it labels a text with it for the other one.
 SURE = 0.95
+#: What a pseudo-label weighs against a label, and all of them against all labels, at most.
+PSEUDO_WEIGHT = 0.25
+#: Ridge of either view's regression.
+RIDGES = (10.0, 1.0)
 #: Groups that the surest of all tasks are cut down in before the last cut.
 _SHARDS = 64
 _FEATURES = "_key long, content binary, metadata binary"
@@ -191,7 +205,7 @@ _FEATURES = "_key long, content binary, metadata binary"
 def quality_features(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", lang_col: str = "lang",
 ) -> DataFrame:
-    """One row per row of ``docs``: _id, _key (a hash of the text), and the features of both views as packed 16-bit floats.
+    """One row per row of ``docs``: _id, _key (a hash of the text), and the features of both views as packed 32-bit floats.
 
     Null texts have the features of empty ones, null sources and languages none. Columns other than those named are ignored,
     whatever their names; an empty table gives no rows.
@@ -207,7 +221,7 @@ def quality_features(
             column = tk.text_array(piece.column("_text"))
             source, lang = (piece.column(c).to_pylist() for c in ("_source", "_lang"))
             views = content_features(column), metadata_features(column, source, lang)
-            packed = [pa.array([row.tobytes() for row in v.astype("<f2")], pa.binary()) for v in views]
+            packed = [pa.array([row.tobytes() for row in v.astype("<f4")], pa.binary()) for v in views]
             names = ["_id", "_key", "content", "metadata"]
             yield pa.RecordBatch.from_arrays([piece.column("_id"), piece.column("_key"), *packed], names=names)
 
@@ -220,7 +234,7 @@ def quality_features(
 def unpacked(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     rows = len(column)
     data = b"".join(column.to_pylist())
-    return np.frombuffer(data, "<f2").reshape(rows, -1).astype(float) if rows else np.zeros((0, 0))
+    return np.frombuffer(data, "<f4").reshape(rows, -1).astype(float) if rows else np.zeros((0, 0))
 
 
 def surest(
@@ -278,6 +292,31 @@ def surest(
     return table
 
 
+def log_losses(model: Logistic, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Losses of a view on labels once its log-odds are calibrated on them: how well it tells classes, not how sure it is."""
+    odds = model.log_odds(x)[:, None]
+    calibrated = Logistic().fit(odds, y).log_odds(odds) if len(y) else odds[:, 0]
+    return np.logaddexp(0, (1 - 2 * y) * calibrated)
+
+
+def pseudo_weights(labels: int, total: int) -> np.ndarray:
+    """Weights of labels, 1 each, and of the pseudo-labels after them: less each, and at most that share of the labels together."""
+    weight = np.ones(total)
+    weight[labels:] = PSEUDO_WEIGHT * min(1.0, labels / max(1, total - labels))
+    return weight
+
+
+def not_worse(before: np.ndarray, after: np.ndarray) -> bool:
+    """Whether losses on the same labels have not risen by more than the standard error of their difference."""
+    gap = after - before
+    return not len(gap) or float(gap.mean()) <= float(gap.std()) / np.sqrt(len(gap))
+
+
+def not_contradicted(model: Logistic, x: np.ndarray, said: np.ndarray) -> np.ndarray:
+    """Pseudo-labels but for those of whose opposite the learning view is as sure as the other one is of them."""
+    return (2 * said - 1) * model.log_odds(x) > -np.log(SURE / (1 - SURE))
+
+
 def train_on_features(
     features: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality", label_rows: int = 8_000,
     exchange: int = EXCHANGE, rounds: int = 5,
@@ -291,38 +330,44 @@ def train_on_features(
     known = features.join(chosen, "_id").groupBy("_id").agg(F.min(row).alias("_row"))
     table = known.select(luck.alias("_luck"), "_row.*").toArrow().sort_by([("_luck", "ascending"), ("_key", "ascending")])
     y = table.column("_label").to_numpy()
-    if len(y) < 8 or len(set(y.tolist())) < 2 or len(set(y[3::4].tolist())) < 2:
+    fold = np.arange(len(y)) % 4
+    learn, guard, rest = fold < 2, fold == 2, fold == 3
+    if len(y) < 8 or len(set(y[learn].tolist())) < 2 or len(set(y[rest].tolist())) < 2:
         return None
     free = features.join(chosen.select("_id"), "_id", "left_anti")
-    held = np.arange(len(y)) % 4 == 3
     own = [unpacked(table.column(c)) for c in ("content", "metadata")]
-    learned = [[(x[~held], y[~held])] for x in own]
-    ridges = (10.0, 1.0)
+    learned = [[(x[learn], y[learn])] for x in own]
 
     def fitted(v: int) -> Logistic:
-        return Logistic(ridges[v]).fit(*(np.concatenate(part) for part in zip(*learned[v], strict=True)))
-
-    def loss(v: int, model: Logistic) -> float:
-        return float(np.logaddexp(0, (1 - 2 * y[held]) * model.log_odds(own[v][held])).mean())
+        x, said = (np.concatenate(part) for part in zip(*learned[v], strict=True))
+        return Logistic(RIDGES[v]).fit(x, said, pseudo_weights(int(learn.sum()), len(said)))
 
-    good = int(round(exchange * y[~held].mean()))
+    good = int(round(exchange * y[learn].mean()))
     models, taken = [fitted(0), fitted(1)], np.unique(table.column("_key").to_numpy())
-    losses = [loss(v, models[v]) for v in (0, 1)]
+    losses = [log_losses(models[v], own[v][guard], y[guard]) for v in (0, 1)]
     for _ in range(rounds):
         found = surest(free, models, good, exchange - good, taken)
         if not found.num_rows:
             break
         view, said_good = found.column("view").to_numpy(), found.column("side").to_numpy().astype(float)
+        before = list(models)
         for v, c in enumerate(("content", "metadata")):
-            learned[v].append((unpacked(found.column(c))[view != v], said_good[view != v]))
-            model = fitted(v)
-            if loss(v, model) <= losses[v]:
-                models[v], losses[v] = model, loss(v, model)
-            else:  # wrong labels of a weaker view are not learned
-                learned[v].pop()
+            x, said = unpacked(found.column(c))[view != v], said_good[view != v]
+            if len(said):
+                new = not_contradicted(before[v], x, said)
+                learned[v].append((x[new], said[new]))
+                model = fitted(v)
+                after = log_losses(model, own[v][guard], y[guard])
+                if not_worse(losses[v], after):
+                    models[v], losses[v] = model, after
+                else:  # wrong labels of a weaker view are not learned
+                    learned[v].pop()
         taken = np.union1d(taken, found.column("_key").to_numpy())
-    odds = np.stack([models[v].log_odds(own[v]) for v in (0, 1)], 1)
-    return CoTrained(models[0], models[1], Logistic().fit(odds[held], y[held]))
+    raw = [models[v].log_odds(own[v][rest])[:, None] for v in (0, 1)]
+    calibrated = tuple(Logistic().fit(x, y[rest]) for x in raw)
+    odds = np.hstack([c.log_odds(x)[:, None] for c, x in zip(calibrated, raw, strict=True)])
+    kept = tuple(sum(len(y) for _, y in part[1:]) for part in learned)
+    return CoTrained(models[0], models[1], calibrated, Logistic().fit(odds, y[rest]), kept)
 
 
 def train_quality(
@@ -331,9 +376,10 @@ def train_quality(
 ) -> CoTrained | None:
     """Co-trains on about ``label_rows`` labelled documents, chosen by the hash of their ids, and all the others.
 
-    Every fourth label is kept for calibration. In each round, either view labels the ``exchange`` distinct texts that it is
-    surest of among all documents whose labels were not chosen, at a probability of ``SURE`` or more; a view keeps what it was
-    taught in a round if its log loss on the calibration labels does not rise. Ids whose labels are null or disagree count as
+    Half of the labels are learned from, a quarter guards the rounds and a quarter calibrates. In each round, either view labels
+    the ``exchange`` distinct texts that it is surest of among all documents whose labels were not chosen, at a probability of
+    ``SURE`` or more; these weigh ``PSEUDO_WEIGHT`` of a label, and no more than that share of all labels together. A view does not learn labels of whose opposite it is as sure itself, and keeps what it was taught in a round
+    if its calibrated log loss on the guard's labels does not rise by more than its standard error. Ids whose labels are null or disagree count as
     unlabelled. Null ids match no label; of rows that repeat a labelled id, the one with the smallest text hash teaches. Null
     texts have no content, null sources and languages no feature. None if there are fewer than 8 labels or only one class, as
     for empty tables. Columns other than those named are ignored, whatever their names. A very long text is held whole, at some

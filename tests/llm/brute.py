@@ -154,3 +154,68 @@ def targets(sizes, weights=(5, 2, 1), total=1.5, most=2.0):
             left -= out[s]
         free -= full
     return out
+
+
+def cotrain(luck, key, views, labels, q, exchange, rounds):
+    """Two views that teach each other, on dictionaries by id; the regression is the library's."""
+    import numpy as np
+
+    ids = sorted(labels, key=lambda i: (luck[i], key[i]))
+    learn, guard, rest = ([i for n, i in enumerate(ids) if n % 4 in part] for part in ((0, 1), (2,), (3,)))
+    names = list(views)
+    taught = {v: [(views[v][i], labels[i]) for i in learn] for v in names}
+    n_learned = len(learn)
+
+    def fit(v):
+        more = len(taught[v]) - n_learned
+        weight = [1.0] * n_learned + [q.PSEUDO_WEIGHT * min(1.0, n_learned / more)] * more if more else [1.0] * n_learned
+        x, y = np.array([x for x, _ in taught[v]]), np.array([float(y) for _, y in taught[v]])
+        return q.Logistic(q.RIDGES[names.index(v)]).fit(x, y, np.array(weight))
+
+    def odds(model, v, i):
+        return float(model.log_odds(views[v][i][None])[0])
+
+    def loss(model, v):
+        o, y = np.array([[odds(model, v, i)] for i in guard]), np.array([float(labels[i]) for i in guard])
+        shown = q.Logistic().fit(o, y).log_odds(o)
+        return np.array([math.log1p(math.exp(-z if yes else z)) for z, yes in zip(shown.tolist(), y.tolist(), strict=True)])
+
+    models = {v: fit(v) for v in names}
+    losses = {v: loss(models[v], v) for v in names}
+    good = int(round(exchange * sum(labels[i] for i in learn) / n_learned))
+    gone = {key[i] for i in ids}
+    least = math.log(q.SURE / (1 - q.SURE))
+    for _ in range(rounds):
+        said = {v: [] for v in names}
+        for v in names:
+            for side, wanted in ((1, good), (0, exchange - good)):
+                best = {}
+                for i in luck:
+                    if i not in labels and key[i] not in gone:
+                        rank = -odds(models[v], v, i) if side else odds(models[v], v, i)
+                        if rank <= -least and (key[i] not in best or rank < best[key[i]][0]):
+                            best[key[i]] = (rank, i)
+                said[v] += [(i, side) for k, (rank, i) in sorted(best.items(), key=lambda kv: (kv[1][0], kv[0]))[:wanted]]
+        if not any(said.values()):
+            break
+        old = dict(models)
+        for v in names:
+            other = next(x for x in names if x != v)
+            sure = [(i, s) for i, s in said[other] if (odds(old[v], v, i) if s else -odds(old[v], v, i)) > -least]
+            if not said[other]:
+                continue
+            before = list(taught[v])
+            taught[v] = before + [(views[v][i], s) for i, s in sure]
+            model = fit(v)
+            gap = loss(model, v) - losses[v]
+            if gap.mean() <= gap.std() / math.sqrt(len(gap)):
+                models[v], losses[v] = model, loss(model, v)
+            else:
+                taught[v] = before
+        gone |= {key[i] for part in said.values() for i, _ in part}
+    said = np.array([float(labels[i]) for i in rest])
+    worth = {v: q.Logistic().fit(np.array([[odds(models[v], v, i)] for i in rest]), said) for v in names}
+    both = {i: np.array([float(worth[v].log_odds(np.array([[odds(models[v], v, i)]]))[0]) for v in names]) for i in luck}
+    last = q.Logistic().fit(np.array([both[i] for i in rest]), said)
+    scores = {i: 1 / (1 + math.exp(-float(last.log_odds(x[None])[0]))) for i, x in both.items()}
+    return {"scores": scores, "kept": tuple(len(taught[v]) - n_learned for v in names)}

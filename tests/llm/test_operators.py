@@ -318,10 +318,98 @@ def test_language_samples_of_very_short_texts(spark):
         assert trees.languages == ["en"]
 
 
-def test_contexts_are_bounded_by_memory(spark):
-    sample = spark.createDataFrame([("en", "the cat and the dog and the bird " * 20), ("de", "der hund")], "_lang string, _text string")
-    few, all_ = learn(sample, least=1, table_bytes=20_000), learn(sample, least=1)
-    assert 1 < len(few.names) < len(all_.names) and few.languages == all_.languages == ["de", "en"]
+def test_the_memory_of_tables_changes_no_code_length(spark):
+    real = spark.read.parquet(f"{SMALL}/documents.parquet")
+    sample = real.filter("lang is not null and text is not null").select(F.col("lang").alias("_lang"), F.substring("text", 1, 3000).alias("_text"))
+    texts = tk.buffers(pa.array([r.text for r in real.filter("text is not null").limit(60).collect()] + ["", "é", "zz"]))
+    for order, least in ((4, 8), (5, 2)):
+        whole = learn(sample, order=order, least=least, table_bytes=1 << 40)
+        want = whole.lengths(*texts)
+        assert whole.tables().depth == order
+        depths = set()
+        for table_bytes in (0, 100_000, 3_000_000, 20_000_000):
+            trees = learn(sample, order=order, least=least, table_bytes=table_bytes)
+            assert np.array_equal(trees.lengths(*texts), want) and np.array_equal(trees.names, whole.names)
+            depths.add(trees.tables().depth)
+        assert len(depths) > 2 and min(depths) == 0
+
+
+def test_a_language_whose_documents_share_an_id_is_learned(spark):
+    for one in range(12):
+        rows = [(one, f"the cat number {i} sat there", "en") for i in range(300)] + [(i, f"der hund {i}", "de") for i in range(100, 130)]
+        df = spark.createDataFrame([*rows, *[(one, "same", "fr")] * 300], "doc_id long, text string, lang string")
+        got = collections.Counter(r._lang for r in training_sample(df, "doc_id", "text", "lang", 9).collect())
+        if zlib.crc32(str(one).encode()) % 3 != 1:
+            assert got == {"en": 9, "de": 9, "fr": 1}
+        else:
+            assert got == {"de": 9}
+
+
+def test_quality_of_very_long_words(spark):
+    rows = [(i, "x" * 70_000 if i % 10 == 0 else f"word {i} and more words {i % 7}", "s", "en") for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    labels = spark.createDataFrame([(i, int(i % 3 > 0)) for i in range(40)], "doc_id long, quality int")
+    scored = q.score_quality(df, q.train_quality(df, labels)).collect()
+    assert len(scored) == 60 and all(0 <= x <= 1 for r in scored for x in (r.score, r.content_score, r.metadata_score))
+    assert any(r.keep for r in scored)
+    with pytest.raises(ValueError, match="not finite"):
+        q.Logistic().fit(np.array([[1.0], [np.inf]]), np.array([0.0, 1.0]))
+
+
+def cotraining_task(n=900, labelled=200, seed=4):
+    """Documents whose words and sources tell their class, each by itself and not always."""
+    r = random.Random(seed)
+    rows, truth = [], {}
+    for i in range(n):
+        good = r.random() < 0.6
+        own, other = ("g", "b") if good else ("b", "g")
+        words = [f"{own if r.random() < 0.72 else other}{r.randrange(60)}" for _ in range(r.randint(12, 40))]
+        source = f"{own if r.random() < 0.93 else other}s{r.randrange(3)}"
+        truth[i] = int(good)
+        rows.append((i, " ".join(words), source, "en"))
+    return rows, truth, {i: truth[i] for i in range(labelled)}
+
+
+def ranked(scores, truth):
+    """The share of pairs of a good and a bad document that the scores order rightly."""
+    order = sorted(scores, key=scores.get)
+    good = [n for n, i in enumerate(order) if truth[i]]
+    return (sum(good) - len(good) * (len(good) - 1) / 2) / (len(good) * (len(order) - len(good)))
+
+
+def test_cotraining_teaches_both_views(spark):
+    gains, kept = [], []
+    for seed in (0, 1, 2):
+        rows, truth, labels = cotraining_task(labelled=120, seed=seed)
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+        said = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+        right = {}
+        for rounds in (0, 5):
+            model = q.train_quality(df, said, exchange=60, rounds=rounds)
+            right[rounds] = ranked({r.doc_id: r.content_score for r in q.score_quality(df, model).collect() if r.doc_id not in labels}, truth)
+            kept += [model.kept] if rounds else []
+            assert rounds or model.kept == (0, 0)
+        gains.append(right[5] - right[0])
+    # few labels show few words; what sources tell about other documents shows more of them
+    assert sum(gains) > 0 and all(any(k[v] for k in kept) for v in (0, 1))
+
+
+def test_the_whole_of_cotraining_against_brute_force(spark):
+    rows, _, labels = cotraining_task(n=300, labelled=90, seed=8)
+    rows += [(1000 + i, *rows[i + 50][1:]) for i in range(20)]  # copies
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(5)
+    said = spark.createDataFrame([*labels.items(), (5, 1 - labels[5])], "doc_id long, quality int")
+    features = q.quality_features(df)
+    model = q.train_on_features(features, said, exchange=30, rounds=3)
+    table = features.withColumn("luck", F.xxhash64("_id", F.lit("quality"))).toArrow()
+    known = {k: v for k, v in labels.items() if k != 5}
+    want = brute.cotrain(
+        dict(zip(*(table.column(c).to_pylist() for c in ("_id", "luck")), strict=True)), dict(zip(*(table.column(c).to_pylist() for c in ("_id", "_key")), strict=True)),
+        {v: dict(zip(table.column("_id").to_pylist(), q.unpacked(table.column(v)), strict=True)) for v in ("content", "metadata")}, known, q, 30, 3,
+    )
+    got = {r.doc_id: r.score for r in q.score_features(features, model).collect()}
+    assert model.kept == want["kept"] and min(model.kept) > 0
+    assert got.keys() == want["scores"].keys() and all(abs(got[k] - want["scores"][k]) < 1e-6 for k in got)
 
 
 def test_quality(spark, docs):
