@@ -6,7 +6,7 @@ with no violations has a row too; nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -16,7 +16,7 @@ from millrace.operators import checks, contract, current, metrics, normalize, re
 
 KEY = normalize.LINEAGE
 # Columns that the read model's list of newest events must not show.
-FORBIDDEN = ("raw_payload", "payload", "message_key", "reviewText", "reviewerName", "reviewerID")
+FORBIDDEN = ("raw_payload", "reviewerID", "reviewerName", "reviewText", "summary")
 
 
 def counted(found: Mapping[str, DataFrame]) -> DataFrame:
@@ -89,16 +89,36 @@ def silver_gold(silver: DataFrame, staging: DataFrame, fact: DataFrame) -> DataF
     )
 
 
-def read_model(validated: DataFrame, paid: str, minutes: DataFrame, latest: DataFrame, latest_rows: int = 100) -> DataFrame:
-    """The serving tables against what the validated rows say: minutes, sums to a thousandth, and the list of newest rows."""
+def read_model(
+    validated: DataFrame, paid: str, minutes: DataFrame, latest: DataFrame, latest_rows: int = 100, summary: DataFrame | None = None,
+    health: DataFrame | None = None, has_marker: Callable[[int], bool] | None = None,
+) -> DataFrame:
+    """The serving tables against what the validated rows say: minutes, sums to a thousandth, and the list of newest rows.
+
+    ``summary``: the one row of all sums. ``health``: the row of the last batch, which must be OK, have numbers of its batch and rows
+    and, by ``has_marker``, name a batch that is applied for good.
+    """
     expected = metrics.commerce_minutes(validated, paid)
     key, measures = "ingest_minute", [c for c in expected.columns if c != "ingest_minute"]
     loose = {c: 0.001 for c in measures if dict(expected.dtypes)[c] == "double"}
     business = validated.filter(F.col("validation_status").isin(*contract.BUSINESS)).agg(F.count(F.lit(1)).alias("n"))
     shown = latest.agg(F.count(F.lit(1)).alias("shown"))
     forbidden = [(c,) for c in latest.columns if c in FORBIDDEN]
+    more = {}
+    if summary is not None:
+        one = F.lit(1).alias("_one")
+        sums = expected.agg(*[F.sum(m).alias(m) for m in measures]).select(one, "*")
+        more["summary_changed"] = reconcile.mismatches(sums, summary.select(one, *measures), ["_one"], measures, loose)
+    if health is not None:
+        batch, rows = F.col("last_batch_id"), F.col("last_input_rows")
+        wrong = (F.col("status") != "OK") | batch.isNull() | rows.isNull() | (batch < 0) | (rows < 0)
+        more["health_not_ok"] = health.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce(wrong, F.lit(True))).alias("wrong")).filter("n <> 1 or wrong > 0")
+        last = health.agg(F.max("last_batch_id")).first()[0]
+        lost = [(last,)] if has_marker is not None and last is not None and not has_marker(last) else []
+        more["marker_missing"] = minutes.sparkSession.createDataFrame(lost, "batch long")
     return counted(
-        {
+        more
+        | {
             "minutes_missing": reconcile.missing(expected, minutes, [key]),
             "minutes_extra": reconcile.missing(minutes, expected, [key]),
             "minutes_changed": reconcile.mismatches(expected, minutes, [key], measures, loose),

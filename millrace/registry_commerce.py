@@ -83,7 +83,9 @@ def _log(t) -> DataFrame:
         return value.alias(name)
 
     payload = F.to_json(F.struct(*[field(f.name) for f in COMMERCE.fields]), {"ignoreNullFields": "false"})
-    rows = t("events").select(_I, F.col("ts").cast("timestamp").alias("kafka_timestamp"), payload.alias("payload"))
+    events = t("events")
+    events = events.repartition(2 * events.sparkSession.sparkContext.defaultParallelism)
+    rows = events.select(_I, F.col("ts").cast("timestamp").alias("kafka_timestamp"), payload.alias("payload"))
     raw = F.col("payload")
     for i, (changes, _, _) in enumerate(FAULTS):
         if "" in changes:
@@ -233,16 +235,44 @@ def stream_serving_minutes(t):
 
 
 @query(_SQL + """SELECT kafka_partition::INTEGER AS kafka_partition, kafka_offset, status AS validation_status, quantity::INTEGER AS quantity,
-       'Product ' || event_id AS product FROM b ORDER BY ts DESC, kafka_partition DESC, kafka_offset DESC LIMIT 100""")
+       'Product ' || event_id AS product, rating::INTEGER AS overall, 14 AS shown FROM b ORDER BY ts DESC, kafka_partition DESC, kafka_offset DESC LIMIT 100""")
 def stream_serving_latest(t):
     store = _served(t, "serving-latest")
-    return store.latest().select("kafka_partition", "kafka_offset", "validation_status", "quantity", F.col("productName").alias("product"))
+    latest = store.latest()
+    return latest.select(
+        "kafka_partition", "kafka_offset", "validation_status", "quantity", F.col("productName").alias("product"), F.col("overall").cast("int").alias("overall"),
+        F.lit(len(latest.columns)).alias("shown"),
+    )
+
+
+@query(_SQL + f""", m AS ({_MINUTES}), x AS (SELECT max(ts) AS newest FROM v),
+       kept AS (SELECT m.* FROM m, x WHERE strptime(ingest_minute, '%Y%m%d%H%M') >= date_trunc('minute', newest) - INTERVAL 48 HOUR),
+       s AS (SELECT sum(events_total) AS n FROM m)
+       SELECT ingest_minute, events_total, gross_item_value, CAST(s.n AS BIGINT) AS all_events, 2::BIGINT AS last_batch_id, 'OK' AS status FROM kept, s""")
+def serving_expiry(t):
+    """Minutes of the last 48 hours after two folds and a replay of a folded batch; the sums still count every event."""
+    rows, spark = _validated(t), t("events").sparkSession
+    scratch = Scratch(spark, "serving-expiry")
+    rows = scratch.write(rows, "validated")
+    minutes = scratch.write(metrics.commerce_minutes(rows, PAID), "minutes")
+    measures = [c for c in minutes.columns if c != "ingest_minute"]
+    order = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
+    store = ingest.ServingStore(spark, f"{scratch.folder}/serving", "ingest_minute", measures, order, retention=48 * 60)
+    part = F.pmod(F.xxhash64("ingest_minute"), F.lit(3))
+    for batch in (0, 1, 2):
+        store.apply(minutes.filter(part == batch), ingest.sanitised(rows), batch)
+        if batch:
+            store.compact(batch - 1)
+    store.apply(minutes, ingest.sanitised(rows), 0)
+    total, last = store.summary().select(F.col("events_total").alias("all_events")), store.health().select("last_batch_id", "status")
+    return store.minutes().select("ingest_minute", "events_total", "gross_item_value").crossJoin(total).crossJoin(last)
 
 
 # ---- star schema: every eleventh event has a second staged version, which is a conflict
 
 def _staged(t) -> DataFrame:
     silver = normalize.to_silver(contract.route(_validated(t))[0])
+    silver = Scratch(silver.sparkSession, "star-silver").write(silver, "silver")
     again = silver.filter((F.col("kafka_offset") * 8 + F.col("kafka_partition")) % 11 == 0).withColumn("quantity", F.col("quantity") + 1)
     first = normalize.staging_batch(silver, "1")
     return first.unionByName(normalize.staging_batch(again, "2")).unionByName(normalize.staging_batch(silver, "3"))
@@ -331,7 +361,8 @@ def recon_silver_gold(t):
     return reconciliation.silver_gold(silver, staged, fact)
 
 
-@query(_SQL + f""", m AS ({_MINUTES}) SELECT * FROM (VALUES ('minutes_extra', 0), ('latest_length', 0), ('latest_forbidden', 1)) AS x("check", violations)
+@query(_SQL + f""", m AS ({_MINUTES}) SELECT * FROM (VALUES ('minutes_extra', 0), ('latest_length', 0), ('latest_forbidden', 2),
+           ('summary_changed', 1), ('health_not_ok', 0), ('marker_missing', 1)) AS x("check", violations)
        UNION ALL SELECT 'minutes_missing', count(*) FROM m WHERE ingest_minute[12:12] = '3'
        UNION ALL SELECT 'minutes_changed', count(*) FROM m WHERE ingest_minute[12:12] = '5'""")
 def recon_read_model(t):
@@ -340,8 +371,10 @@ def recon_read_model(t):
     minutes, last = metrics.commerce_minutes(rows, PAID), F.substring("ingest_minute", 12, 1)
     off = F.when(last == "5", 1.0).when(last == "7", 0.0005).otherwise(0.0)
     shown = minutes.filter(last != "3").withColumn("gross_item_value", F.col("gross_item_value") + off)
-    latest = ingest.sanitised(rows).orderBy(F.desc("kafka_timestamp")).limit(100).withColumn("reviewerID", F.lit(""))
-    return reconciliation.read_model(rows, PAID, shown, latest)
+    latest = ingest.sanitised(rows).orderBy(F.desc("kafka_timestamp")).limit(100).withColumns({"reviewerID": F.lit(""), "summary": F.lit("")})
+    sums = shown.agg(*[F.sum(c).alias(c) for c in shown.columns if c != "ingest_minute"])
+    health = rows.agg(F.count(F.lit(1)).alias("last_input_rows")).select(F.lit(7).cast("long").alias("last_batch_id"), "last_input_rows", F.lit("OK").alias("status"))
+    return reconciliation.read_model(rows, PAID, shown, latest, summary=sums, health=health, has_marker=lambda batch: batch < 7)
 
 
 # ---- metric windows and alerts

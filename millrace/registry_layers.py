@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import contextlib
 import uuid
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from millrace.functions import ids
 from millrace.functions.commerce_contract import COMMERCE
 from millrace.operators import checks, current
-from millrace.plans import monitoring
+from millrace.plans import gated_write, monitoring
 from millrace.plans.publish import VersionedTables
 from millrace.plans.staging import Scratch
 from millrace.registry import money, query
 from millrace.sources import byte_log, catalog, files, generator, record_log, tables
-from millrace.streaming import commits, ingest
+from millrace.streaming import alert_state, commits, ingest
 
 # ---- catalog
 
@@ -313,6 +313,75 @@ def monitoring_files(t):
     )
 
 
+# ---- writes that are judged, and what they leave
+
+@query("""SELECT * FROM (VALUES ('rows', 0), ('files', 0), ('schema', 0), ('empty', 0), ('partitions', 0)) AS x("check", violations)
+       UNION ALL SELECT 'negative_balance', count(*) FROM customer WHERE c_acctbal < 0
+       UNION ALL SELECT 'short_name', count(*) FROM customer WHERE length(c_name) < 5
+       UNION ALL SELECT 'duplicates', count(*) FROM (SELECT c_nationkey, c_mktsegment FROM customer GROUP BY 1, 2 HAVING count(*) > 1)""")
+def write_gate(t):
+    """The gate of a partitioned, compressed write: rules counted as the rows pass, the rest read back from the files."""
+    customer = t("customer")
+    rules = {"negative_balance": F.col("c_acctbal") < 0, "short_name": F.length("c_name") < 5}
+    path = Scratch(customer.sparkSession, "gate").folder
+    return gated_write.gated_write(customer, path, rules, ["c_mktsegment"], "zstd", ["c_nationkey", "c_mktsegment"], customer.count())
+
+
+@query("""SELECT strftime(l_shipdate, '%Y') AS ship_year, count(*) AS rows, 0::BIGINT AS ordered_overlaps, true AS unordered_overlap FROM lineitem GROUP BY 1""")
+def physical_order(t):
+    """The fact written in order of part by year of shipping, and once more as it comes: overlapping row groups of both, from footers."""
+    fact = t("lineitem").select("l_partkey", "l_orderkey", "l_linenumber", F.date_format("l_shipdate", "yyyy").alias("ship_year"))
+    spark, folder = fact.sparkSession, Scratch(fact.sparkSession, "order").folder
+    gated_write.ordered_write(fact, f"{folder}/ordered", ["l_partkey", "l_orderkey", "l_linenumber"], ["ship_year"], files=6)
+    fact.repartition(4, "l_orderkey").write.partitionBy("ship_year").parquet(f"{folder}/unordered")
+
+    def years(name: str) -> DataFrame:
+        groups = gated_write.row_groups(spark, f"{folder}/{name}", "l_partkey")
+        year = F.regexp_extract("folder", "ship_year=(.*)$", 1).alias("ship_year")
+        return gated_write.overlaps(groups).select(year, F.col("overlapping").alias(f"{name}_overlaps"))
+
+    rows = gated_write.row_groups(spark, f"{folder}/ordered").groupBy(F.regexp_extract("file", "ship_year=([^/]*)/", 1).alias("ship_year"))
+    joined = rows.agg(F.sum("rows").alias("rows")).join(years("ordered"), "ship_year").join(years("unordered"), "ship_year")
+    return joined.select("ship_year", "rows", "ordered_overlaps", (F.col("unordered_overlaps") > 0).alias("unordered_overlap"))
+
+
+# ---- alerts of a stream
+
+@query("""WITH s AS (SELECT DISTINCT CAST(user_id % 40 AS VARCHAR) AS fingerprint, CASE WHEN value > 75 THEN 'CRITICAL' ELSE 'WARNING' END AS severity,
+           date_trunc('second', ts) AS seen FROM events WHERE event_type = 'error'),
+       l AS (SELECT *, lag(severity) OVER w AS was, lag(seen) OVER w AS prior, lead(seen) OVER w AS later, max(seen) OVER () AS until
+             FROM s WINDOW w AS (PARTITION BY fingerprint ORDER BY seen, severity)),
+       m AS (SELECT *, prior IS NOT NULL AND seen > prior + INTERVAL 12 HOUR AS silent FROM l),
+       x AS (SELECT fingerprint, 'RESOLVED' AS state, was AS severity, CASE WHEN silent THEN prior + INTERVAL 12 HOUR ELSE seen END AS moved
+             FROM m WHERE was IS NOT NULL AND (silent OR was <> severity)
+             UNION ALL SELECT fingerprint, 'OPEN', severity, seen FROM m WHERE was IS NULL OR silent OR was <> severity
+             UNION ALL SELECT fingerprint, 'RESOLVED', severity, seen + INTERVAL 12 HOUR FROM m WHERE later IS NULL AND seen + INTERVAL 12 HOUR <= until)
+       SELECT fingerprint, state, severity, strftime(moved, '%Y-%m-%d %H:%M:%S') AS moved_at FROM x""")
+def stream_alert_state(t):
+    """Error events as signals, in three batches of a stream by time; an alert that is not seen for twelve hours times out."""
+    signals = t("events").filter("event_type = 'error'").select(
+        (F.col("user_id") % 40).cast("string").alias("fingerprint"), F.when(F.col("value") > 75, "CRITICAL").otherwise("WARNING").alias("severity"),
+        F.date_trunc("second", F.col("ts").cast("timestamp")).alias("evaluated_at"),
+    )
+    spark, folder = signals.sparkSession, Scratch(signals.sparkSession, "alerts").folder
+    ends = signals.agg(F.min("evaluated_at"), F.max("evaluated_at")).first()
+    cuts = [ends[0] + (ends[1] - ends[0]) * i / 3 for i in range(4)]
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        for low, high in zip(cuts[:-1], [*cuts[1:-1], None], strict=True):
+            at = F.col("evaluated_at")
+            signals.filter((at >= low) & (F.lit(True) if high is None else at < high)).coalesce(1).write.mode("append").parquet(f"{folder}/signals")
+            stream = alert_state.alert_stream(ingest.file_stream(spark, f"{folder}/signals", 1), timedelta(hours=12), "0 seconds")
+            sink = stream.writeStream.format("parquet").option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True)
+            sink.start(f"{folder}/moves").awaitTermination()
+    finally:
+        spark.conf.set(key, before)
+    moves = spark.read.parquet(f"{folder}/moves")
+    return moves.select("fingerprint", "state", "severity", F.date_format("occurred_at", "yyyy-MM-dd HH:mm:ss").alias("moved_at"))
+
+
 # ---- publishing, orders, times
 
 @query("""SELECT c_custkey, c_name, 'second' AS version FROM customer""")

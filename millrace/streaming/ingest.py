@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from millrace.operators import checks, normalize
 from millrace.operators.contract import Contract, route, validate_json
 from millrace.operators.current import top_n
+from millrace.operators.metrics import MINUTE
 
 CLEAN_COLUMNS = [
     "payload", "raw_payload", "message_key", *normalize.LINEAGE, "kafka_timestamp", "ingested_at", "validation_status",
@@ -131,77 +132,135 @@ def staging_increment(spark: SparkSession, silver_path: str, table_path: str, ch
 
 
 class ServingStore:
-    """The read model: additive minute metrics and the newest rows, kept as one delta per batch.
+    """The read model: additive minute metrics, their sums, the newest rows and the health of the last batch, a delta a batch.
 
-    A delta is written under its batch id and overwritten by a replay, so that no marker is needed and none can expire.
-    Readers sum the deltas. ``compact`` folds closed batches into one table that is named by the last of them; from then on
-    a replay of one of them changes nothing.
+    A delta is written under its batch id and overwritten by a replay, so that no marker is needed and none can expire. Readers
+    sum the deltas. ``compact`` folds closed batches into one table that is named by the last of them; from then on a replay of
+    one of them changes nothing. Minutes more than ``retention`` minutes older than the newest one are not shown; a fold adds
+    them to the sums and leaves them out, so that what is stored stops growing while the sums still count every event.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: str, measures: Sequence[str], latest_order: Sequence[str], latest_rows: int = 100):
+    def __init__(
+        self, spark: SparkSession, path: str, key: str, measures: Sequence[str], latest_order: Sequence[str], latest_rows: int = 100,
+        retention: int | None = None,
+    ):
+        """``key``: the minute as yyyyMMddHHmm. ``retention``: minutes, 48 hours being 2,880; None keeps all."""
         self.spark, self.path, self.key, self.measures = spark, path.rstrip("/"), key, list(measures)
-        self.order, self.rows = [F.desc(c) for c in latest_order], latest_rows
+        self.order, self.rows, self.retention = [F.desc(c) for c in latest_order], latest_rows, retention
 
     def _files(self):
         path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()), path
 
+    def _glob(self, pattern: str) -> list:
+        return self._files()[0].globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}")) or []
+
+    def folds(self) -> list[int]:
+        """The last batches of complete folds, in order."""
+        return sorted(int(s.getPath().getParent().getParent().getName()) for s in self._glob("folds/*/health/_SUCCESS"))
+
     def folded(self) -> int:
         """The last batch of the newest complete fold, -1 before the first."""
-        fs, path = self._files()
-        done = fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/folds/*/latest/_SUCCESS")) or []
-        return max((int(s.getPath().getParent().getParent().getName()) for s in done), default=-1)
-
-    def _read(self, name: str) -> DataFrame:
-        """The newest fold and the deltas after it."""
-        upto, parts = self.folded(), []
-        if upto >= 0:
-            parts.append(self.spark.read.parquet(f"{self.path}/folds/{upto}/{name}"))
-        fs, path = self._files()
-        if upto < 0 or fs.globStatus(self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}/batch=*")):
-            deltas = self.spark.read.parquet(f"{self.path}/{name}")
-            parts.append(deltas.filter(F.col("batch") > upto).drop("batch"))
+        return max(self.folds(), default=-1)
+
+    def _deltas(self, name: str, after: int) -> DataFrame | None:
+        if not self._glob(f"{name}/batch=*"):
+            return None
+        deltas = self.spark.read.parquet(f"{self.path}/{name}")
+        return deltas.filter(F.col("batch") > after)
+
+    def _read(self, name: str, upto: int | None = None) -> DataFrame:
+        """The newest fold and the deltas after it, up to a batch."""
+        fold = self.folded()
+        parts = [self.spark.read.parquet(f"{self.path}/folds/{fold}/{name}")] if fold >= 0 else []
+        deltas = self._deltas(name, fold)
+        if deltas is not None:
+            parts.append((deltas if upto is None else deltas.filter(F.col("batch") <= upto)).drop("batch"))
+        if not parts:
+            raise ValueError(f"no batch has been applied in {self.path}")
         return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
     def compact(self, upto: int) -> None:
-        """Folds all batches up to this one; they must be closed. A crash before the end leaves the fold before in force."""
-        if upto <= self.folded():
+        """Folds all batches up to this one; they must be closed. A crash before the end leaves the fold before in force.
+
+        What the fold before has replaced is deleted, and that fold stays until the next one, for readers that are at it.
+        """
+        before = self.folded()
+        if upto <= before:
             return
+        minutes, fold = self._summed(self._read("minutes", upto)), f"{self.path}/folds/{upto}"
+        shown = self._shown(minutes)
+        shown.write.mode("overwrite").parquet(f"{fold}/minutes")
+        gone = minutes.join(shown.select(self.key), self.key, "left_anti").select(*self.measures)
+        if before >= 0:
+            gone = gone.unionByName(self.spark.read.parquet(f"{self.path}/folds/{before}/expired"))
+        gone.agg(*[F.sum(m).alias(m) for m in self.measures]).write.mode("overwrite").parquet(f"{fold}/expired")
+        top_n(self._read("latest", upto), self.order, self.rows).write.mode("overwrite").parquet(f"{fold}/latest")
+        self._last_health(self._read("health", upto)).write.mode("overwrite").parquet(f"{fold}/health")
         fs, _ = self._files()
-        path, before = self.spark._jvm.org.apache.hadoop.fs.Path, self.folded()
-        for name, cut in (("minutes", self._summed), ("latest", lambda df: top_n(df, self.order, self.rows))):
-            deltas = self.spark.read.parquet(f"{self.path}/{name}").filter((F.col("batch") > before) & (F.col("batch") <= upto)).drop("batch")
-            if before >= 0:
-                deltas = deltas.unionByName(self.spark.read.parquet(f"{self.path}/folds/{before}/{name}"))
-            cut(deltas).write.mode("overwrite").parquet(f"{self.path}/folds/{upto}/{name}")
-        for name in ("minutes", "latest"):
-            for status in fs.listStatus(path(f"{self.path}/{name}")):
-                batch = status.getPath().getName().removeprefix("batch=")
-                if batch.isdigit() and int(batch) <= upto:
+        for name in ("minutes", "latest", "health"):
+            for status in self._glob(f"{name}/batch=*"):
+                if int(status.getPath().getName().removeprefix("batch=")) <= before:
                     fs.delete(status.getPath(), True)
+        for status in self._glob("folds/*"):
+            if int(status.getPath().getName()) < before:
+                fs.delete(status.getPath(), True)
 
     def _summed(self, deltas: DataFrame) -> DataFrame:
         return deltas.groupBy(self.key).agg(*[F.sum(m).alias(m) for m in self.measures])
 
-    def apply(self, minutes: DataFrame, newest: DataFrame, batch_id: int) -> None:
+    def _shown(self, minutes: DataFrame) -> DataFrame:
+        """The minutes that have not expired, by the newest one."""
+        if self.retention is None:
+            return minutes
+        newest = minutes.agg(F.to_timestamp(F.max(self.key), MINUTE).alias("_newest"))
+        age = F.unix_timestamp("_newest") - F.unix_timestamp(F.to_timestamp(self.key, MINUTE))
+        return minutes.crossJoin(newest).filter(age <= self.retention * 60).drop("_newest")
+
+    @staticmethod
+    def _last_health(rows: DataFrame) -> DataFrame:
+        return rows.orderBy(F.desc("last_batch_id")).limit(1)
+
+    def apply(self, minutes: DataFrame, newest: DataFrame, batch_id: int, rows: str | None = None) -> None:
+        """``rows``: the measure that counts a batch's rows. A batch without minutes, and one that is folded, changes nothing."""
         if batch_id <= self.folded():
             return
         minutes.select(self.key, *self.measures).write.mode("overwrite").parquet(f"{self.path}/minutes/batch={batch_id}")
         top_n(newest, self.order, self.rows).write.mode("overwrite").parquet(f"{self.path}/latest/batch={batch_id}")
+        written = self.spark.read.schema(minutes.select(self.key, *self.measures).schema).parquet(f"{self.path}/minutes/batch={batch_id}")
+        health = written.agg(F.count(F.lit(1)).alias("last_minute_buckets"), F.coalesce(F.sum(rows or self.measures[0]), F.lit(0)).cast("long").alias("last_input_rows"))
+        health.select(
+            F.lit(batch_id).cast("long").alias("last_batch_id"), "last_input_rows", "last_minute_buckets",
+            F.current_timestamp().alias("last_updated_at"), F.lit("OK").alias("status"),
+        ).filter("last_minute_buckets > 0").write.mode("overwrite").parquet(f"{self.path}/health/batch={batch_id}")
 
     def minutes(self) -> DataFrame:
-        return self._summed(self._read("minutes"))
+        """The sums of minutes that have not expired."""
+        return self._shown(self._summed(self._read("minutes")))
 
     def summary(self) -> DataFrame:
-        return self.minutes().agg(*[F.sum(m).alias(m) for m in self.measures])
+        """The sums of all minutes ever applied."""
+        fold, rows = self.folded(), self._read("minutes").select(*self.measures)
+        if fold >= 0:
+            rows = rows.unionByName(self.spark.read.parquet(f"{self.path}/folds/{fold}/expired"))
+        return rows.agg(*[F.sum(m).alias(m) for m in self.measures])
 
     def latest(self) -> DataFrame:
         return top_n(self._read("latest"), self.order, self.rows)
 
+    def health(self) -> DataFrame:
+        """One row of the last batch that had rows: last_batch_id, last_input_rows, last_minute_buckets, last_updated_at, status."""
+        return self._last_health(self._read("health"))
+
+    def has_marker(self, batch_id: int) -> bool:
+        """Whether a batch is applied for good: folded, or with its own delta."""
+        return batch_id <= self.folded() or bool(self._glob(f"health/batch={batch_id}/_SUCCESS"))
+
 
-# The columns that a list of newest events shows; raw payloads, texts and people are not among them.
+# The columns that a list of newest events shows, in this order.
 LATEST_COLUMNS = [
-    *normalize.LINEAGE, "kafka_timestamp", "validation_status", "asin", "productName", "category", "quantity", "totalAmount", "paymentStatus",
+    "kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp", "orderID", "productName", "category", "region", "quantity",
+    "totalAmount", "paymentStatus", "shippingStatus", "overall", "validation_status",
 ]
 
 
