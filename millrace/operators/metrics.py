@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +11,12 @@ from millrace.operators.contract import BUSINESS
 
 MINUTE = "yyyyMMddHHmm"
 
+# The minute metrics, in the contract's order.
+MINUTE_METRICS = [
+    "events_total", "valid_count", "warning_count", "invalid_count", "record_count", "quantity_sum", "gross_item_value",
+    "successful_labeled_value", "rating_sum", "rating_count",
+]
+
 # Gauges of which a window keeps the greatest value.
 MAX_GAUGES = [
     ("kafka_to_bronze_dlq", "last_committed", "committed_at_epoch_ms"),
@@ -40,22 +45,19 @@ def commerce_minutes(validated: DataFrame, paid: str, ts: str = "kafka_timestamp
     def amount(condition: Column, column: str, kind: str) -> Column:
         return F.when(condition, F.col(column)).otherwise(0).cast(kind)
 
-    return measures_by(
-        validated,
-        {"ingest_minute": minute_key(ts)},
-        {
-            "events_total": F.lit(1).cast("long"),
-            "valid_count": flag(status == "VALID"),
-            "warning_count": flag(status == "WARNING"),
-            "invalid_count": flag(status == "INVALID"),
-            "record_count": flag(business),
-            "quantity_sum": amount(business, "quantity", "long"),
-            "gross_item_value": amount(business, "totalAmount", "double"),
-            "successful_labeled_value": amount(business & (F.col("paymentStatus") == paid), "totalAmount", "double"),
-            "rating_sum": amount(rated, "overall", "double"),
-            "rating_count": flag(rated),
-        },
-    )
+    measures = {
+        "events_total": F.lit(1).cast("long"),
+        "valid_count": flag(status == "VALID"),
+        "warning_count": flag(status == "WARNING"),
+        "invalid_count": flag(status == "INVALID"),
+        "record_count": flag(business),
+        "quantity_sum": amount(business, "quantity", "long"),
+        "gross_item_value": amount(business, "totalAmount", "double"),
+        "successful_labeled_value": amount(business & (F.col("paymentStatus") == paid), "totalAmount", "double"),
+        "rating_sum": amount(rated, "overall", "double"),
+        "rating_count": flag(rated),
+    }
+    return measures_by(validated, {"ingest_minute": minute_key(ts)}, {name: measures[name] for name in MINUTE_METRICS})
 
 
 def rollup(metrics: DataFrame, measures: Sequence[str], key: str = "ingest_minute") -> DataFrame:
@@ -83,6 +85,25 @@ def dedup_events(events: DataFrame, id_col: str = "event_id", ignored: Sequence[
     return grouped.withColumn("_row", checked).select(*[F.col(c) if c == id_col else F.col(f"_row.{c}").alias(c) for c in events.columns])
 
 
+#: Powers of ten from which on sums are kept apart, with 18 digits below each.
+_TIERS = range(-27, 27, 9)
+
+
+def steady_sum(value: Column) -> Column:
+    """A sum of doubles that does not depend on the order of partial sums.
+
+    Numbers of like size, from 1e-27 up to 1e27, are summed as decimals, of which each holds 10**11 numbers; the few sums are then
+    added from the smallest size up. Zeros add nothing, and what is smaller or larger is summed as doubles.
+    """
+    size, out, inside = F.abs(value), F.lit(0.0), F.lit(False)
+    for tier in _TIERS:
+        own = (size >= float(f"1e{tier}")) & (size < float(f"1e{tier + 9}"))
+        inside = inside | own
+        scaled = F.when(own, value * float(f"1e{-tier}")).cast("decimal(38,18)")
+        out = out + F.coalesce(F.sum(scaled).cast("double"), F.lit(0.0)) * float(f"1e{tier}")
+    return out + F.coalesce(F.sum(F.when(~inside, value)), F.lit(0.0))
+
+
 def metric_windows(events: DataFrame, minutes: int = 5) -> DataFrame:
     """Metric rows by window, component, metric and topic.
 
@@ -90,69 +111,70 @@ def metric_windows(events: DataFrame, minutes: int = 5) -> DataFrame:
     greatest. A group that mixes semantics or value names is an error. ``duration_ms`` statistics have a p95 from 20
     values on. Columns: window_start, window_end, component, metric_name, topic, metric_semantics, values, statistics,
     status, status_counts, event_count.
+
+    An event is a row for its status and one for each value; one aggregate makes a row for each status and name of a group, a
+    second one, over those few rows, the group.
     """
     by = ["window_start", "window_end", "component", "metric_name", "topic"]
     window = F.window("event_time", f"{minutes} minutes")
+    own = F.struct(F.lit(None).cast("string").alias("name"), F.col("status").alias("status"), F.lit(None).cast("double").alias("value"))
+    of_value = lambda e: F.struct(e["key"].alias("name"), F.lit(None).cast("string").alias("status"), e["value"].alias("value"))
+    parts = F.concat(F.array(own), F.coalesce(F.transform(F.map_entries("values"), of_value), F.array().cast("array<struct<name:string,status:string,value:double>>")))
     e = events.select(
         window.start.alias("window_start"), window.end.alias("window_end"), "component", "metric_name",
-        F.col("dimensions")["topic"].alias("topic"), "metric_semantics", "status", "values",
-        F.struct("event_time", "observed_at", "event_id").alias("_order"),
-        F.array_join(F.array_sort(F.map_keys("values")), ",").alias("_names"),
-    )
-    duration = F.col("values")["duration_ms"]
-    heads = e.groupBy(*by).agg(
-        F.min("metric_semantics").alias("metric_semantics"),
+        F.col("dimensions")["topic"].alias("topic"), "metric_semantics", F.struct("event_time", "observed_at", "event_id").alias("_order"),
+        F.array_join(F.array_sort(F.map_keys("values")), ",").alias("_names"), F.explode(parts).alias("_part"),
+    ).select("*", "_part.*")
+    duration = F.when(F.col("name") == "duration_ms", F.col("value"))
+    each = e.groupBy(*by, "name", "status").agg(
+        F.min("metric_semantics").alias("_kind"),
         F.max("metric_semantics").alias("_other"),
         F.min("_names").alias("_names"),
         F.max("_names").alias("_other_names"),
-        F.max_by("status", "_order").alias("_status"),
-        F.count(F.lit(1)).alias("event_count"),
-        F.count(duration).alias("_durations"),
-        F.avg(duration).alias("_avg"),
-        F.max(duration).alias("_max"),
-        F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY values['duration_ms'])").alias("_p95"),
-    )
-    named = e.select(*by, "metric_semantics", "_order", F.explode("values").alias("name", "value"))
-    greatest = F.struct("component", "metric_name", "name").isin(
-        *[F.struct(*[F.lit(x).alias(n) for n, x in zip(("component", "metric_name", "name"), g, strict=True)]) for g in MAX_GAUGES]
-    )
-    each = named.groupBy(*by, "name").agg(
-        F.min("metric_semantics").alias("_kind"),
-        # decimals, so that the order of partial sums does not show
-        F.sum(F.col("value").cast("decimal(38,9)")).cast("double").alias("_sum"),
+        F.count(F.lit(1)).alias("_n"),
+        F.max("_order").alias("_latest"),
+        steady_sum(F.col("value")).alias("_sum"),
         F.max_by("value", "_order").alias("_last"),
         F.max("value").alias("_top"),
+        F.struct(
+            F.count(duration).alias("n"), F.avg(duration).alias("avg"), F.max(duration).alias("max"),
+            F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY CASE WHEN name = 'duration_ms' THEN value END)").alias("p95"),
+        ).alias("_duration"),
+    )
+    greatest = F.struct("component", "metric_name", "name").isin(
+        *[F.struct(*[F.lit(x).alias(n) for n, x in zip(("component", "metric_name", "name"), g, strict=True)]) for g in MAX_GAUGES]
     )
-    value = F.when(F.col("_kind") == "delta", F.col("_sum")).when((F.col("_kind") == "gauge") & greatest, F.col("_top"))
-    each = each.withColumn("_value", value.otherwise(F.col("_last"))).groupBy(*by)
-    values = each.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "_value")))).alias("values"))
-    status = e.groupBy(*by, "status").agg(F.count(F.lit(1)).alias("_n")).groupBy(*by)
-    status = status.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("status", "_n")))).alias("status_counts"))
-
-    def beside(left: DataFrame, right: DataFrame, mark: str) -> DataFrame:
-        """The columns of both, joined on the group, whose topic may be null."""
-        renamed = right.withColumnsRenamed({c: f"{mark}{c}" for c in by})
-        same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{mark}{c}")) for c in by])
-        return left.join(renamed, same, "left").drop(*[f"{mark}{c}" for c in by])
-
-    joined = beside(beside(heads, values, "_v_"), status, "_s_")
+    value = F.when(F.col("_kind") == "delta", F.col("_sum")).when((F.col("_kind") == "gauge") & greatest, F.col("_top")).otherwise(F.col("_last"))
+    is_value = F.col("name").isNotNull()
+
+    def as_map(condition: Column, key: str, held: Column) -> Column:
+        # a row a name or status of the group, so the lists are as short as an event
+        return F.map_from_entries(F.array_sort(F.collect_list(F.when(condition, F.struct(F.col(key).alias("key"), held.alias("value"))))))
+
+    one = each.groupBy(*by).agg(
+        F.min("_kind").alias("metric_semantics"), F.max("_other").alias("_other"), F.min("_names").alias("_names"), F.max("_other_names").alias("_other_names"),
+        F.sum(F.when(~is_value, F.col("_n"))).alias("event_count"), as_map(is_value, "name", value).alias("values"),
+        as_map(~is_value, "status", F.col("_n")).alias("status_counts"), F.max_by("status", F.when(~is_value, F.col("_latest"))).alias("_status"),
+        F.max(F.when(F.col("name") == "duration_ms", F.col("_duration"))).alias("_duration"),
+    )
     mixed = (F.col("metric_semantics") != F.col("_other")) | (F.col("_names") != F.col("_other_names"))
     unknown = ~F.col("metric_semantics").isin("delta", "gauge", "cumulative")
     name = F.concat_ws(".", "component", "metric_name")
     checked = F.when(mixed, F.raise_error(F.concat(F.lit("inconsistent semantics/values for "), name))).when(
         unknown, F.raise_error(F.concat(F.lit("unsupported metric_semantics="), F.col("metric_semantics")))
     ).otherwise(F.col("metric_semantics"))
+    n = F.coalesce(F.col("_duration.n"), F.lit(0))
     statistics = F.when(
-        F.col("_durations") > 0,
+        n > 0,
         F.map_filter(
             F.create_map(
-                F.lit("duration_ms_avg"), F.col("_avg"), F.lit("duration_ms_max"), F.col("_max"),
-                F.lit("duration_ms_p95"), F.when(F.col("_durations") >= 20, F.col("_p95")),
+                F.lit("duration_ms_avg"), F.col("_duration.avg"), F.lit("duration_ms_max"), F.col("_duration.max"),
+                F.lit("duration_ms_p95"), F.when(n >= 20, F.col("_duration.p95")),
             ),
             lambda _, v: v.isNotNull(),
         ),
     ).otherwise(F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>")))
-    return joined.select(
+    return one.select(
         *by, checked.alias("metric_semantics"), "values", statistics.alias("statistics"), F.col("_status").alias("status"),
         "status_counts", "event_count",
     )

@@ -415,12 +415,19 @@ def metric_windows(t):
        r AS (SELECT sum(100)::DOUBLE AS rows, sum(event_id % 60)::DOUBLE AS invalid FROM last),
        d AS (SELECT min(v) AS least FROM (SELECT round(value * 1000) + 20000 AS v FROM events WHERE event_id % 2 = 0
              ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC LIMIT 3)),
+       p AS (SELECT * FROM events WHERE event_id % 11 = 0 ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC LIMIT 1),
+       c AS (SELECT * FROM events WHERE event_id % 13 = 0 ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC LIMIT 1),
+       q AS (SELECT * FROM events WHERE event_id % 17 = 0 ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC LIMIT 1),
        s AS (SELECT 'bronze_invalid_rate' AS alert_name, invalid / rows AS x, 0.25 AS low, 0.40 AS high FROM r
-             UNION ALL SELECT 'bronze_batch_duration', least, 25000, 75000 FROM d)
+             UNION ALL SELECT 'bronze_batch_duration', least, 25000, 75000 FROM d
+             UNION ALL SELECT 'bronze_freshness', round(1709251200 - epoch(p.ts), 3), 75, 300 FROM p, c WHERE c.ts - INTERVAL 1 DAY < p.ts
+             UNION ALL SELECT 'producer_delivery_gap', CAST(event_id % 3 AS DOUBLE), 0, 0 FROM p
+             UNION ALL SELECT 'bronze_silver_row_mismatch', CAST(event_id % 2 AS DOUBLE), 0, 0 FROM q)
        SELECT alert_name, CASE WHEN x > high THEN 'CRITICAL' ELSE 'WARNING' END AS severity, x AS observed_value,
            CAST(CASE WHEN x > high THEN high ELSE low END AS DOUBLE) AS threshold FROM s WHERE x > low""")
 def alert_signals(t):
-    """Quality counts of every event as a batch of 100 rows, durations of the even ones; an odd batch's duration has no counts."""
+    """All five rules. Quality counts of every event as a batch of 100 rows, durations of the even ones, where an odd batch's duration
+    has no counts; deliveries, commits a day late and run counts of some of the events."""
     base, name = _metric_events(t).drop("component", "metric_name", "values", "dimensions"), F.lit(alerts.INGEST).alias("component")
     number = F.col("event_id").cast("long")
     where = F.create_map(F.lit("batch_id"), F.col("event_id")).alias("dimensions")
@@ -433,8 +440,17 @@ def alert_signals(t):
     slow = base.join(worth, "event_id").select(
         *base.columns, name, F.lit("batch_duration").alias("metric_name"), F.create_map(F.lit("duration_ms"), "_ms").alias("values"), known
     )
-    found = alerts.evaluate(quality.unionByName(slow), datetime(2024, 3, 1, tzinfo=timezone.utc))
-    return found.select("alert_name", "severity", "observed_value", "threshold")
+    def more(component: str, metric: str, every: int, **values) -> DataFrame:
+        named = F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v.cast("double"))])
+        labels = [F.lit(component).alias("component"), F.lit(metric).alias("metric_name")]
+        return base.filter(number % every == 0).select("*", *labels, named.alias("values"), where)
+
+    sent = more("producer", "delivery_counts", 11, attempted=F.lit(10), acknowledged=10 - number % 3)
+    late = more(alerts.INGEST, "last_committed", 13, committed_at_epoch_ms=F.unix_millis("event_time") - 86_400_000)
+    runs = more(alerts.SILVER, "run_counts", 17, input_rows=F.lit(10), output_rows=10 - number % 2)
+    everything = quality.unionByName(slow).unionByName(sent).unionByName(late).unionByName(runs)
+    found = alerts.evaluate(everything, datetime(2024, 3, 1, tzinfo=timezone.utc))
+    return found.select("alert_name", "severity", F.round("observed_value", 3).alias("observed_value"), "threshold")
 
 
 # ---- log offsets

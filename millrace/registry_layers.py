@@ -50,23 +50,40 @@ def catalog_scan(t):
     return joined.withColumn("price", F.col("price").cast("string"))
 
 
-@query("""SELECT * FROM (VALUES
+def _filled(spark, database: str) -> DataFrame:
+    """(table_name, rows, partitions): what the tables of a database hold."""
+    counts = []
+    for name, made in TABLES.items():
+        by = F.count_distinct(*made.partition) if made.partition else F.lit(0).cast("long")
+        counts.append(spark.table(f"{database}.{name}").agg(F.count(F.lit(1)).alias("rows"), by.alias("partitions")).select(F.lit(name).alias("table_name"), "*"))
+    return counts[0].unionByName(counts[1])
+
+
+@query("""SELECT table_name, columns, partition_columns, sort_keys, column_list, rows, partitions FROM (VALUES
        ('order_fact', 4::BIGINT, 1::BIGINT, 'o_custkey,o_orderkey', 'o_custkey:bigint,o_orderkey:bigint,order_month:string,price:decimal(18,2)'),
        ('customer_dim', 3, 0, 'c_custkey', 'c_custkey:bigint,c_mktsegment:string,c_name:string'))
-       AS x(table_name, columns, partition_columns, sort_keys, column_list)""")
+       AS x(table_name, columns, partition_columns, sort_keys, column_list)
+       JOIN (SELECT 'order_fact' AS table_name, count(*) AS rows, count(DISTINCT strftime(o_orderdate, '%Y%m')) AS partitions FROM orders
+             UNION ALL SELECT 'customer_dim', count(*), 0 FROM customer) USING (table_name)""")
 def catalog_metadata(t):
-    return catalog.table_summary(catalog.metadata(t("orders").sparkSession, _catalog(t)))
+    spark, database = t("orders").sparkSession, _catalog(t)
+    return catalog.table_summary(catalog.metadata(spark, database)).join(_filled(spark, database), "table_name")
 
 
-@query("""SELECT * FROM (VALUES ('order_fact', 'price', 'type decimal(18,2), expected decimal(18,4)'), ('order_fact', 'o_custkey', 'unexpected'),
-       ('order_fact', 'order_month', 'partition column or not'), ('customer_dim', 'c_phone', 'missing')) AS x(table_name, column_name, problem)""")
+@query("""SELECT table_name, column_name, problem, rows FROM (VALUES ('order_fact', 'price', 'type decimal(18,2), expected decimal(18,4)'),
+       ('order_fact', 'o_custkey', 'unexpected'), ('order_fact', 'order_month', 'partition column or not'), ('customer_dim', 'c_phone', 'missing'))
+       AS x(table_name, column_name, problem)
+       JOIN (SELECT 'order_fact' AS table_name, count(*) AS rows FROM orders UNION ALL SELECT 'customer_dim', count(*) FROM customer) USING (table_name)""")
 def catalog_contract(t):
+    """What differs from a contract, with the rows of the table that it concerns."""
     expected = [
         ("order_fact", "o_orderkey", "bigint", False), ("order_fact", "price", "decimal(18,4)", False), ("order_fact", "order_month", "string", False),
         ("customer_dim", "c_custkey", "bigint", False), ("customer_dim", "c_name", "string", False),
         ("customer_dim", "c_mktsegment", "string", False), ("customer_dim", "c_phone", "string", False),
     ]
-    return catalog.definition_differences(catalog.metadata(t("orders").sparkSession, _catalog(t)), expected)
+    spark, database = t("orders").sparkSession, _catalog(t)
+    found = catalog.definition_differences(catalog.metadata(spark, database), expected)
+    return found.join(_filled(spark, database).drop("partitions"), "table_name")
 
 
 @query("""SELECT c_mktsegment, count(*) AS rows, 'a;b' AS mark FROM customer WHERE c_acctbal > 0 GROUP BY 1""")

@@ -1,4 +1,5 @@
 import json
+import math
 import os
 import random
 import shutil
@@ -6,6 +7,7 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from millrace.operators import alerts, metrics
 from millrace.plans.monitoring import MonitoringStore, StaleState
@@ -62,6 +64,19 @@ def test_p95_from_twenty(spark):
     assert metrics.metric_windows(durations(1).limit(0)).count() == 0
 
 
+def test_sums_of_any_size_do_not_depend_on_order(spark):
+    r = random.Random(2)
+    values = [r.uniform(-1, 1) * 10.0 ** r.randrange(-24, 24) for _ in range(300)] + [0.0, 1e-12, 1e-12, 1e-12]
+    got = set()
+    for parts in (1, 3, 8):
+        r.shuffle(values)
+        got.add(spark.createDataFrame([(v,) for v in values], "v double").repartition(parts).agg(metrics.steady_sum(F.col("v"))).first()[0])
+    assert len(got) == 1 and abs(got.pop() - math.fsum(values)) <= 1e-15 * max(map(abs, values))
+    one = lambda *v: spark.createDataFrame([(x,) for x in v], "v double").agg(metrics.steady_sum(F.col("v"))).first()[0]
+    assert math.isclose(one(1e-12, 1e-12, 1e-12), 3e-12, rel_tol=1e-15) and one(1e30, 1e30) == 2e30 and one(0.1, 0.2) == math.fsum([0.1, 0.2])
+    assert one(0.0) == 0.0
+
+
 def test_conflict_and_drift_fail(spark):
     a, b = event("a", T, "x", "m", "delta", {"n": 1}), event("a", T, "x", "m", "delta", {"n": 2})
     with pytest.raises(PySparkException, match="conflicting payload"):
