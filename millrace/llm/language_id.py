@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.llm import textkernel as tk
+from millrace.plans.staging import Scratch, if_small
 
 #: Code lengths are in 1/UNIT bits. With five contexts of at most 2**40 bytes each, a code is under 256 bits.
 UNIT = 256
@@ -276,6 +277,8 @@ def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     luck = F.xxhash64("_id", "_text", F.lit("ppm"))
     usable = usable.withColumn("_luck", luck)
     sizes = usable.groupBy("_lang").agg(F.approx_count_distinct("_luck").alias("_all"))
+    # a row a language; the texts stay where they are
+    sizes = if_small(Scratch(docs.sparkSession, "language-id").write(sizes, "sizes"))
     # about twice the rows that are wanted, in proportion to what differs; then each once, then exactly those wanted
     thinned = usable.join(sizes, "_lang").filter(F.pmod(F.col("_luck"), F.col("_all")) < 2 * rows)
     once = thinned.groupBy("_lang", "_luck").agg(F.min(F.struct("_id", "_text")).alias("_row"))
