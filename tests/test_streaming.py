@@ -231,3 +231,38 @@ def test_a_crash_before_the_pointer_moves_leaves_the_old_version(spark, tmp_path
     assert store.current() == "one" and store.read("t").count() == 3
     store.publish({"t": spark.range(5)}, version="two")
     assert store.current() == "two" and store.read("t").count() == 5
+
+
+def test_minutes_expire_and_folds_are_replaced(spark, tmp_path):
+    store = ingest.ServingStore(spark, str(tmp_path / "store"), "minute", ["n"], ["at"], latest_rows=2, retention=60)
+    minute = lambda m: f"2026010{1 + m // 1440}{m % 1440 // 60:02d}{m % 60:02d}"
+
+    def apply(batch, *minutes):
+        rows = spark.createDataFrame([(minute(m), 1, m) for m in minutes], "minute string, n long, at int")
+        store.apply(rows.groupBy("minute").agg(F.sum("n").alias("n")), rows, batch)
+
+    def state():
+        health = store.health().first()
+        return {r.minute: r.n for r in store.minutes().collect()}, store.summary().first().n, health.last_batch_id, health.last_input_rows, health.last_minute_buckets
+
+    apply(0, 0, 1, 1, 50)
+    assert state() == ({minute(0): 1, minute(1): 2, minute(50): 1}, 4, 0, 4, 3) and store.has_marker(0) and not store.has_marker(1)
+    apply(1, 61)
+    shown = {minute(1): 2, minute(50): 1, minute(61): 1}
+    assert state() == (shown, 5, 1, 1, 1)
+    store.compact(0)
+    apply(2)  # a batch without rows leaves the health as it is
+    assert state() == (shown, 5, 1, 1, 1)
+    store.compact(1)
+    assert state() == (shown, 5, 1, 1, 1) and store.folds() == [0, 1] and store.has_marker(1)
+    apply(1, 61, 61)  # replays of folded batches, one of which has expired in part
+    apply(0, 0)
+    assert state() == (shown, 5, 1, 1, 1)
+    apply(3, 1500)
+    apply(4, 0)  # far too late for its minute, not for the sums
+    assert state() == ({minute(1500): 1}, 7, 4, 1, 1)
+    store.compact(4)
+    assert state() == ({minute(1500): 1}, 7, 4, 1, 1) and store.folds() == [1, 4]
+    assert spark.read.parquet(str(tmp_path / "store" / "folds" / "4" / "minutes")).count() == 1
+    assert sorted(p.name for p in (tmp_path / "store" / "minutes").glob("batch=*")) == ["batch=2", "batch=3", "batch=4"]
+    assert store.latest().count() == 2
