@@ -54,7 +54,7 @@ def _other_day(get) -> Column:
     return F.coalesce(written != F.timestamp_seconds(get("unixReviewTime")).cast("date"), get("reviewTime").isNotNull())
 
 
-# The rules' codes, patterns, ranges and the order of the fields.
+# The field rules' codes, patterns and ranges.
 FIELD_RULES = [
     pattern("E101_REVIEWER_ID_PATTERN", "reviewerID", r"^[A-Z0-9]{14}$"),
     pattern("E102_ASIN_PATTERN", "asin", r"^B0[A-Z0-9]{8}$"),
@@ -87,6 +87,7 @@ FIELD_RULES = [
     not_one_of("E129_SHIPPING_STATUS_ENUM", "shippingStatus", [DELIVERED, MOVING, RETURNED]),
     array_size_not("E130_HELPFUL_SHAPE", "helpful", 2),
 ]
+# The cross-field rules' codes and conditions.
 CROSS_RULES = [
     when("E201_TOTAL_AMOUNT_MISMATCH", lambda get: F.abs(get("totalAmount") - get("unitPrice") * get("quantity")) > 0.001),
     when(
@@ -98,6 +99,7 @@ CROSS_RULES = [
     child_not_of_parent("E205_REGION_CITY_MISMATCH", "region", "city", CITIES),
     when("E206_REVIEW_TIME_MISMATCH", _other_day),
 ]
+# The warnings' codes and conditions.
 WARNING_RULES = [
     child_not_of_parent("W101_UNUSUAL_BRAND_CATEGORY", "category", "brand", USUAL_BRANDS),
     when("W102_PAYMENT_SHIPPING_INCONSISTENT", _unsettled),
@@ -111,6 +113,7 @@ STRICTER_RULES = [
     when("P104_HELPFUL_RANGE", lambda get: F.exists(get("helpful"), lambda v: ~v.between(0, 500))),
 ]
 
+# The order of the fields.
 _ORDER = [
     "reviewerID", "asin", "reviewerName", "helpful", "reviewText", "overall", "summary", "unixReviewTime", "reviewTime",
     "day_diff", "helpful_yes", "total_vote", "productName", "category", "sub_category", "brand", "unitPrice", "orderID",

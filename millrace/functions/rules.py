@@ -62,7 +62,7 @@ def any_of(conditions: Sequence[Column]) -> Column:
 
 
 def codes(rules: Sequence[Rule], get: Get, gate: Column | None = None, strict: bool = False) -> Column:
-    """Array of the codes of broken rules; empty where ``gate`` is not true.
+    """Array of the codes of broken rules, a code that several rules share once; empty where ``gate`` is not true.
 
     The gate stands once before the whole array, not in each rule: layers that build on each other stay small however often
     the optimizer copies them.
@@ -74,7 +74,8 @@ def codes(rules: Sequence[Rule], get: Get, gate: Column | None = None, strict: b
         found.append(F.when(F.coalesce(broken, F.lit(True)) if strict else broken, F.lit(rule.code)))
     if not found:
         return none
-    listed = F.array_compact(F.array(*found)).cast("array<string>")
+    # not array_compact, whose lambda takes the projection out of code generation
+    listed = F.array_except(F.array(*found), F.array(F.lit(None).cast("string"))).cast("array<string>")
     return listed if gate is None else F.when(gate, listed).otherwise(none)
 
 

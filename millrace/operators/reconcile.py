@@ -70,11 +70,17 @@ def reconcile(
 
 
 def orphans(fact: DataFrame, references: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """Fact rows with a key that its dimension lacks; ``missing`` lists which. Null keys are no orphans."""
+    """Fact rows with a key that its dimension lacks; ``missing`` lists which. Null keys are no orphans.
+
+    Rows with a null key are spread over all tasks by a hash of the row instead of meeting in one.
+    """
+    row = F.xxhash64(*[c for c, kind in fact.dtypes if "map<" not in kind and "variant" not in kind])  # those have no hash
     out = fact
     for key, (dim, column) in references.items():
         known = dim.select(F.col(column).alias(f"_{key}")).distinct()
-        out = out.join(known, F.col(key) == F.col(f"_{key}"), "left")
+        alike = F.xxhash64(F.col(key).try_cast(dim.schema[column].dataType))
+        spread = F.when(F.col(key).isNull(), row).otherwise(alike) == F.xxhash64(f"_{key}")
+        out = out.join(known, (F.col(key) == F.col(f"_{key}")) & spread, "left")
     lost = {k: F.col(k).isNotNull() & F.col(f"_{k}").isNull() for k in references}
     which = F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in lost.items()]))
     return out.filter(any_of(list(lost.values()))).select(*fact.columns, which.alias("missing"))

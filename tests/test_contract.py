@@ -123,3 +123,25 @@ def test_minute_metrics(spark):
         "quantity_sum": 3, "gross_item_value": 6_000_000.0, "successful_labeled_value": 5_000_000.0, "rating_sum": 7.0, "rating_count": 2,
     }
     assert got["202609241531"]["rating_count"] == 0
+
+
+def test_expected_schemas_take_the_short_way_and_no_others(spark, valid):
+    """The short way says the same as the long one, whatever the names are; forged names do not pass."""
+    from pyspark.sql import functions as F
+
+    def sound(contract, *payloads):
+        df = spark.createDataFrame([(i, json.dumps(p, ensure_ascii=False)) for i, p in enumerate(payloads)], "id int, raw string")
+        schema = F.schema_of_variant(F.try_parse_json("raw"))
+        return [r[0] for r in df.orderBy("id").select(schema.rlike(c.sound_schema(contract))).collect()]
+
+    assert sound(COMMERCE, valid, valid | {"reviewerName": None}, valid | {"overall": 4.5}, dict(reversed(valid.items()))) == [True] * 4
+    assert sound(COMMERCE, valid | {"asin": None}, valid | {"quantity": 1.5}, valid | {"x": 1}, {"asin": "B"}, [valid]) == [False] * 5
+    odd = c.Contract("v", (c.Field("a b", "string"), c.Field("đ", "int", "integer"), c.Field("Z", "string", nullable=True)))
+    payloads = [
+        {"a b": "x", "đ": 1, "Z": None}, {"a b": None, "đ": 1, "Z": "z"}, {"a b": "x", "đ": "1", "Z": "z"}, {"a b": "x", "đ": 2**40, "Z": "z"},
+        {"a b": "x", "Z": "z"}, {"Z: STRING, a b": "x", "đ": 1}, {"a b": "x", "đ": 1, "Z": "z", "y": 0},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(p, ensure_ascii=False)) for i, p in enumerate(payloads)], "id int, raw_payload string")
+    found = {strict: [errors(r) for r in c.validate_json(df, odd, strict=strict).orderBy("id").collect()] for strict in (False, True)}
+    assert found[False] == [[], ["E006"], ["E005"], [], ["E003"], ["E003", "E004"], ["E004"]]
+    assert found[True] == [[], ["E006"], ["E005"], ["E005"], ["E003"], ["E003", "E004"], ["E004"]]
