@@ -132,18 +132,18 @@ def mapping_of(kind: T.StructType, mappings=MAPPINGS) -> Mapping:
     raise ValueError(f"no layout has the paths {sorted(there)}")
 
 
-def turns_of_table(records: DataFrame, id_col: str | None = None, mappings=MAPPINGS) -> DataFrame:
+def turns_of_table(records: DataFrame, id_col: str | None = None, mappings=MAPPINGS, rename: bool = True) -> DataFrame:
     """Canonical turns (conv_id, turn, role, text) of a table in any known layout, as its mapping declares them.
 
     The mapping is found by the fingerprint of the table's nested field paths. Where a record is one turn, its own columns say which
-    conversation and place it has; otherwise a record is a conversation, named by ``id_col``. Roles get their canonical names. A
-    null optional text and a null array element are no turn; a null or empty array gives no turns; other nulls stay null. Repeated
+    conversation and place it has; otherwise a record is a conversation, named by ``id_col``. Roles get their canonical names, or
+    with ``rename`` false keep the table's. A null optional text and a null array element are no turn; a null or empty array gives no turns; other nulls stay null. Repeated
     rows stay repeated, an empty table gives no turns, and columns that the mapping does not name are ignored.
     """
     m = mapping_of(records.schema, mappings)
 
     def canonical(role: Column) -> Column:
-        names = F.create_map(*[F.lit(x) for pair in m.roles.items() for x in pair]) if m.roles else None
+        names = F.create_map(*[F.lit(x) for pair in m.roles.items() for x in pair]) if m.roles and rename else None
         return role if names is None else F.coalesce(names[role], role)
 
     if m.one:

@@ -550,6 +550,12 @@ def test_layouts_become_turns(spark):
         turns = chat.turns_of_table(df, "id" if "id" in df.columns else None)
         assert [(r.role, r.text) for r in turns.orderBy("turn").collect()] == want and turns.columns == ["conv_id", "turn", "role", "text"]
         assert {r.conv_id for r in turns.collect()} == {"c"} and chat.turns_of_table(df.limit(0), "id").count() == 0
+        said = chat.turns_of_table(df, "id" if "id" in df.columns else None, rename=False)
+        written = {"user": {"user", "human"}, "assistant": {"assistant", "gpt"}, "system": {"system"}}
+        assert all(r.role in written[w] for r, (w, _) in zip(said.orderBy("turn").collect(), want, strict=True))
+    kept = chat.turns_of_table(spark.createDataFrame([(1, 0, "model", "t")], "conv_id int, turn int, role string, text string"), rename=False)
+    (row,) = chat.conversation_digests(chat.format_turns(kept)).collect()
+    assert row.turns_sha256 == brute.sha("model\nt\n") and row.loss_chars == 0
     with pytest.raises(ValueError, match="no layout"):
         chat.turns_of_table(spark.createDataFrame([(1, "x")], "id int, body string"), "id")
     records = [
