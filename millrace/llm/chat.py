@@ -137,8 +137,8 @@ def turns_of_table(records: DataFrame, id_col: str | None = None, mappings=MAPPI
 
     The mapping is found by the fingerprint of the table's nested field paths. Where a record is one turn, its own columns say which
     conversation and place it has; otherwise a record is a conversation, named by ``id_col``. Roles get their canonical names, or
-    with ``rename`` false keep the table's. A null optional text and a null array element are no turn; a null or empty array gives no turns; other nulls stay null. Repeated
-    rows stay repeated, an empty table gives no turns, and columns that the mapping does not name are ignored.
+    with ``rename`` false keep the table's. A null optional text and a null array element are no turn; a null or empty array gives
+    no turns; other nulls stay null. Repeated rows stay repeated, an empty table gives no turns, and columns that the mapping does not name are ignored.
     """
     m = mapping_of(records.schema, mappings)
 
