@@ -148,7 +148,10 @@ def _judged(df: DataFrame, contract: Contract, get, eligible: Column, structure:
         }
     )
     status = status_of(F.col("validation_errors"), F.col("validation_warnings"))
-    return df.withColumn("validation_status", status).drop("_field")
+    # a generator's output: filters on the status stay above it, else each would take a copy of the whole validation below itself
+    found = F.struct("validation_errors", "validation_warnings", status.alias("validation_status"))
+    once = df.withColumn("_found", F.explode(F.array(found))).drop("_field", "validation_errors", "validation_warnings", "validation_status")
+    return once.select("*", "_found.*").drop("_found")
 
 
 def route(validated: DataFrame) -> tuple[DataFrame, DataFrame]:
