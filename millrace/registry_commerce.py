@@ -71,6 +71,10 @@ _SQL = f"""
 """
 
 
+#: Batches that the streams take the log in, each of as many files as there are cores.
+BATCHES = 3
+
+
 def _log(t) -> DataFrame:
     """The events as rows of a partitioned log, with their payloads; written, so that plans start from text as in a real log."""
     k = F.col(_I) % _N
@@ -84,7 +88,7 @@ def _log(t) -> DataFrame:
 
     payload = F.to_json(F.struct(*[field(f.name) for f in COMMERCE.fields]), {"ignoreNullFields": "false"})
     events = t("events")
-    events = events.repartition(2 * events.sparkSession.sparkContext.defaultParallelism)
+    events = events.repartition(BATCHES * events.sparkSession.sparkContext.defaultParallelism)
     rows = events.select(_I, F.col("ts").cast("timestamp").alias("kafka_timestamp"), payload.alias("payload"))
     raw = F.col("payload")
     for i, (changes, _, _) in enumerate(FAULTS):
@@ -159,12 +163,16 @@ def commerce_silver(t):
 _ONCE = {"availableNow": True}
 
 
+def _log_stream(rows: DataFrame) -> DataFrame:
+    """The files of a log as a stream."""
+    spark = rows.sparkSession
+    return ingest.file_stream(spark, rows._millrace_path, spark.sparkContext.defaultParallelism)
+
+
 def _landed(t, label: str) -> tuple[Scratch, DataFrame]:
-    """The log as a folder of files, and the layers that two streaming queries have made of it."""
+    """The log, and the layers that two streaming queries have made of its files."""
     rows = _log(t)
-    scratch = Scratch(rows.sparkSession, label)
-    rows.repartition(3, "kafka_partition").write.parquet(f"{scratch.folder}/log")
-    stream = ingest.file_stream(rows.sparkSession, f"{scratch.folder}/log", 1).drop(_I)
+    scratch, stream = Scratch(rows.sparkSession, label), _log_stream(rows).drop(_I)
     for _ in range(2):  # the second run resumes from the checkpoints and finds nothing new
         both = ingest.start_ingest(stream, COMMERCE, f"{scratch.folder}/bronze", f"{scratch.folder}/dlq", f"{scratch.folder}/checkpoints", _ONCE)
         for q in both:
@@ -217,11 +225,10 @@ def stream_staging(t):
 def _served(t, label: str) -> ingest.ServingStore:
     rows = _log(t)
     scratch = Scratch(rows.sparkSession, label)
-    rows.repartition(3, "kafka_partition").write.parquet(f"{scratch.folder}/log")
-    stream = contract.validate_json(ingest.file_stream(rows.sparkSession, f"{scratch.folder}/log", 1), COMMERCE)
-    measures = [c for c in metrics.commerce_minutes(_validated(t), PAID).columns if c != "ingest_minute"]
+    # a batch is kept while both tables are made of it, so it has their columns only
+    stream = contract.validate_json(_log_stream(rows), COMMERCE).select(*ingest.LATEST_COLUMNS)
     order = ["kafka_timestamp", "kafka_partition", "kafka_offset"]
-    store = ingest.ServingStore(rows.sparkSession, f"{scratch.folder}/serving", "ingest_minute", measures, order)
+    store = ingest.ServingStore(rows.sparkSession, f"{scratch.folder}/serving", "ingest_minute", metrics.MINUTE_METRICS, order)
     minutes = lambda batch: metrics.commerce_minutes(batch, PAID)
     ingest.start_serving(stream, store, minutes, ingest.sanitised, f"{scratch.folder}/checkpoints/serving", _ONCE).awaitTermination()
     return store

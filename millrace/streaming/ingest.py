@@ -43,9 +43,12 @@ def parquet_sink(
 
 def start_ingest(
     source: DataFrame, contract: Contract, clean_path: str, dlq_path: str, checkpoints: str, trigger: dict | None = None,
-    files: int | None = 1,
+    files: int | None = None,
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """Two independent queries over one source plan; default trigger 25 seconds."""
+    """Two independent queries over one source plan; default trigger 25 seconds.
+
+    ``files`` also bounds the tasks that validate a batch, so only sources of small batches should set it.
+    """
     trigger = trigger or {"processingTime": "25 seconds"}
     clean, dead = layers(source, contract)
     by = ["contract_version", "ingest_date"]
@@ -75,16 +78,15 @@ def file_stream(spark: SparkSession, path: str, files_per_trigger: int = 10) ->
 
 
 def silver_increment(
-    spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, partitions: int = 2, files_per_trigger: int = 10
+    spark: SparkSession, bronze_path: str, silver_path: str, checkpoint: str, partitions: int | None = None, files_per_trigger: int = 10
 ) -> StreamingQuery:
     """Bronze files that are new since the last run become silver; ends when it has caught up.
 
-    Lineage is not deduplicated across batches: the state would grow for ever, and reconciliation finds repeats.
+    Tasks write what they have read, since one date may be all of a batch; ``partitions``: at most this many files a batch. Lineage is not deduplicated across batches: the state would grow for ever, and reconciliation finds repeats.
     """
     silver = normalize.to_silver(file_stream(spark, bronze_path, files_per_trigger), deduplicate=False)
-    silver = silver.repartition(partitions, "ingest_date")
     by = ["silver_schema_version", "ingest_date"]
-    query = parquet_sink(silver, "silver", silver_path, checkpoint, by, {"availableNow": True})
+    query = parquet_sink(silver, "silver", silver_path, checkpoint, by, {"availableNow": True}, partitions)
     query.awaitTermination()
     return query
 

@@ -1,8 +1,17 @@
 """Work that must not meet in one task, nor be done once more for each filter above it."""
 
+from conftest import SMALL
+from pyspark.sql import functions as F
+
+from millrace import registry_commerce as commerce
 from millrace.functions.commerce_contract import COMMERCE
 from millrace.functions.rules import outside
 from millrace.operators import contract
+from millrace.streaming import ingest
+
+
+def table(spark):
+    return lambda name: spark.read.parquet(f"{SMALL}/{name}.parquet")
 
 
 def plan_of(df) -> str:
@@ -17,3 +26,16 @@ def test_filters_on_a_status_do_not_copy_the_validation(spark):
         assert plan_of(layer).count("from_json") == parsed
     checked = contract.validate_table(spark.createDataFrame([(1,)], "k int"), contract.Contract("k", (contract.Field("k", "int", "integer"),), (outside("E101_K", "k", 10, 90),)))
     assert plan_of(contract.inconsistent(checked)).count("E101_K") == plan_of(checked).count("E101_K")
+
+
+def test_all_tasks_of_a_batch_write(spark, tmp_path):
+    rows, at = commerce._log(table(spark)), str(tmp_path)
+    for q in ingest.start_ingest(commerce._log_stream(rows), COMMERCE, f"{at}/bronze", f"{at}/dlq", f"{at}/cp", {"availableNow": True}):
+        q.awaitTermination()
+        assert not q.exception()
+        assert len([p for p in q.recentProgress if p["numInputRows"]]) == commerce.BATCHES
+    ingest.silver_increment(spark, f"{at}/bronze", f"{at}/silver", f"{at}/cp/silver")
+    for name in ("bronze", "dlq", "silver"):
+        written = spark.read.parquet(f"{at}/{name}")
+        files = written.groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"))
+        assert files.count() > commerce.BATCHES and files.agg(F.max("n")).first()[0] < written.count() / 2
