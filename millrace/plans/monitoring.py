@@ -27,6 +27,8 @@ from millrace.sources import byte_log, tables
 
 STATE = "monitoring-collector-state-v1"
 _SNAPSHOTS = uuid.uuid5(uuid.NAMESPACE_URL, "millrace/monitoring-snapshot")
+#: Rows of one file of a partition, about.
+FILE_ROWS = 100_000
 _INDEX = "span string, pass int, windows long"
 _STATE = "schema_version string, snapshot_id string, registry_sha256 string, accepted_events long, rejected_events long, cursors map<string,string>, pass int"
 
@@ -203,8 +205,13 @@ class MonitoringStore:
 
 
 def _add(rows: DataFrame, path: str, by: list[str]) -> None:
-    """Puts partitions in; those of the same names are replaced, no others are touched."""
-    rows.repartition(*by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    """Puts partitions in; those of the same names are replaced, no others are touched.
+
+    ``rows`` are those of a written table. A partition of many rows is the work of as many tasks, by a hash of its rows.
+    """
+    most = rows.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
+    alike = F.xxhash64(*[c for c, kind in rows.dtypes if "map<" not in kind])  # those have no hash
+    rows.repartition(*by, F.pmod(alike, F.lit(-(-most // FILE_ROWS) or 1))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def _unknown(new: DataFrame, journal: DataFrame) -> DataFrame:

@@ -223,6 +223,9 @@ LINE_FAULTS = [
 ]
 _REASONS = "VALUES " + ", ".join(f"({k}, {'NULL' if r is None else repr(r)})" for k, (_, _, r) in enumerate(LINE_FAULTS))
 
+#: Ids of one document of the registry.
+REGISTRY_IDS = 20_000
+
 
 def _lines(t) -> DataFrame:
     """Events as lines of a metric log, with one fault each by :data:`LINE_FAULTS`."""
@@ -249,10 +252,11 @@ def _routed(t) -> tuple[DataFrame, DataFrame]:
     scratch = Scratch(lines.sparkSession, "metric-log")
     lines = scratch.write(lines, "lines")
     bad = lines.filter(F.col("_number") % len(LINE_FAULTS) == len(LINE_FAULTS) - 1)
-    known = bad.agg(F.map_from_entries(F.collect_list(F.struct(F.col("_number").cast("string"), F.get_json_object("line", "$.event_id")))).alias("event_ids"))
+    # a document for so many ids, since each is parsed whole
+    known = bad.groupBy(F.expr(f"_number div {REGISTRY_IDS * len(LINE_FAULTS)}").alias("part")).agg(F.map_from_entries(F.collect_list(F.struct(F.col("_number").cast("string"), F.get_json_object("line", "$.event_id")))).alias("event_ids"))
     entry = F.struct(F.lit(_SOURCE).alias("source"), F.lit(LINE_FAULTS[-1][2]).alias("reason"), "event_ids")
     registry = F.to_json(F.struct(F.lit("monitoring-quarantine-v1").alias("schema_version"), F.array(entry).alias("entries")))
-    known.select(registry.alias("value")).write.text(f"{scratch.folder}/registry")
+    known.select("part", registry.alias("value")).write.partitionBy("part").text(f"{scratch.folder}/registry")
     return byte_log.metric_events(lines.drop("_number"), tables.quarantine_registry(lines.sparkSession, f"{scratch.folder}/registry"))
 
 

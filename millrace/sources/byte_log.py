@@ -11,6 +11,7 @@ import hashlib
 import json
 from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -18,9 +19,14 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from millrace.sources.files import head, lines_ending_in, matching
 
 SCHEMA = "source string, byte_offset long, line string, line_sha256 string"
+_NAMES = ["source", "byte_offset", "line", "line_sha256"]
 PREFIX_BYTES = 4096
 #: Bytes of one input partition; a longer record makes a longer one.
 SPLIT_BYTES = 8 << 20
+#: Partitions from which on smaller ones grow, up to SPLIT_BYTES: a task a few lines would cost more than its lines.
+MANY_RANGES = 256
+#: Lines of one Arrow batch, and bytes from which on it is given out before it has them.
+_BATCH_LINES, _BATCH_BYTES = 8192, 4 << 20
 
 
 class _Range(InputPartition):
@@ -39,24 +45,38 @@ def cursors(pattern: str) -> dict[str, str]:
 
 
 def ranges(start: Mapping[str, str], end: Mapping[str, str], split: int | None = None) -> list[_Range]:
-    """The ranges of bytes between two sets of cursors. Fails if a file has gone, shrunk or got another head."""
+    """The ranges of bytes between two sets of cursors. Fails if a file has gone, shrunk or got another head.
+
+    Ranges have ``split`` bytes; of less than SPLIT_BYTES, only while there are no more than MANY_RANGES of them.
+    """
     for path, was in start.items():
         size, length, digest = was.split(":")
         if path not in end or int(end[path].split(":")[0]) < int(size):
             raise ValueError(f"log truncated or gone: {path}")
         if hashlib.sha256(head(path, int(length))).hexdigest() != digest:
             raise ValueError(f"log replaced: {path}")
-    out = []
-    for path, now in end.items():
-        low, high = int(start.get(path, "0").split(":")[0]), int(now.split(":")[0])
-        out += [_Range(path, at, min(at + (split or SPLIT_BYTES), high)) for at in range(low, high, split or SPLIT_BYTES)]
-    return out
+    spans = [(path, int(start.get(path, "0").split(":")[0]), int(now.split(":")[0])) for path, now in end.items()]
+    split = split or SPLIT_BYTES
+    split = max(split, min(SPLIT_BYTES, sum(high - low for _, low, high in spans) // MANY_RANGES))
+    return [_Range(path, at, min(at + split, high)) for path, low, high in spans for at in range(low, high, split)]
+
+
+def _read(part: _Range) -> Iterator[pa.RecordBatch]:
+    name, kinds = part.path.rsplit("/", 1)[-1], [pa.string(), pa.int64(), pa.string(), pa.string()]
+    rows: list[tuple] = []
+    size = 0
 
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=_NAMES)
 
-def _read(part: _Range) -> Iterator[tuple]:
-    name = part.path.rsplit("/", 1)[-1]
     for at, line in lines_ending_in(part.path, part.low, part.high):
-        yield name, at, line.rstrip(b"\r\n").decode("utf-8", "replace"), hashlib.sha256(line).hexdigest()
+        rows.append((name, at, line.rstrip(b"\r\n").decode("utf-8", "replace"), hashlib.sha256(line).hexdigest()))
+        size += len(line)
+        if len(rows) == _BATCH_LINES or size >= _BATCH_BYTES:
+            yield batch()
+            rows, size = [], 0
+    if rows:
+        yield batch()
 
 
 class _StreamReader(DataSourceStreamReader):
@@ -72,7 +92,7 @@ class _StreamReader(DataSourceStreamReader):
     def partitions(self, start: dict, end: dict) -> list[_Range]:
         return ranges(start, end, self.split)
 
-    def read(self, part: _Range) -> Iterator[tuple]:
+    def read(self, part: _Range) -> Iterator[pa.RecordBatch]:
         return _read(part)
 
 
@@ -83,7 +103,7 @@ class _BatchReader(DataSourceReader):
     def partitions(self) -> list[_Range]:
         return self.parts
 
-    def read(self, part: _Range | None) -> Iterator[tuple]:
+    def read(self, part: _Range | None) -> Iterator[pa.RecordBatch]:
         return _read(part) if part else iter(())
 
 

@@ -4,9 +4,12 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from millrace import registry_commerce as commerce
+from millrace import registry_layers as layers
 from millrace.functions.commerce_contract import COMMERCE
 from millrace.functions.rules import outside
 from millrace.operators import contract
+from millrace.plans import monitoring
+from millrace.sources import byte_log
 from millrace.streaming import ingest
 
 
@@ -39,3 +42,34 @@ def test_all_tasks_of_a_batch_write(spark, tmp_path):
         written = spark.read.parquet(f"{at}/{name}")
         files = written.groupBy(F.input_file_name().alias("f")).agg(F.count(F.lit(1)).alias("n"))
         assert files.count() > commerce.BATCHES and files.agg(F.max("n")).first()[0] < written.count() / 2
+
+
+def test_ranges_of_a_large_log_grow():
+    assert len(byte_log.ranges({}, {"a": "640:0:"}, 64)) == 10
+    assert len(byte_log.ranges({}, {"a": f"{1 << 30}:0:"}, 64 << 10)) <= byte_log.MANY_RANGES
+    assert len(byte_log.ranges({}, {"a": f"{1 << 40}:0:"}, 64 << 10)) == (1 << 40) // byte_log.SPLIT_BYTES
+
+
+def test_a_partition_of_many_rows_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(monitoring, "FILE_ROWS", 100, raising=False)
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        monitoring._add(spark.range(10_000).withColumns({"pass": F.lit(1), "m": F.create_map(F.lit("a"), F.lit(1))}), str(tmp_path / "t"), ["pass"])
+    finally:
+        spark.conf.set(key, before)
+    written = spark.read.parquet(str(tmp_path / "t"))
+    assert written.select("id").distinct().count() == written.count() == 10_000
+    assert written.select(F.input_file_name()).distinct().count() > 1
+
+
+def test_the_registry_of_failures_is_many_documents(spark, monkeypatch):
+    seen, real = [], layers.tables.quarantine_registry
+    monkeypatch.setattr(layers, "REGISTRY_IDS", 20, raising=False)
+    monkeypatch.setattr(layers.tables, "quarantine_registry", lambda s, path: seen.append(path) or real(s, path))
+    accepted, rejected = layers._routed(table(spark))
+    events, faults = spark.read.parquet(f"{SMALL}/events.parquet"), len(layers.LINE_FAULTS)
+    assert spark.read.text(seen[0]).count() > 1
+    assert rejected.filter("reason = 'known failure'").count() == events.filter(F.col("event_id") % faults == faults - 1).count()
+    assert accepted.count() == events.filter(F.col("event_id") % faults == 0).count()
