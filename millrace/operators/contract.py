@@ -170,10 +170,10 @@ def rule_counts(validated: DataFrame, codes_column: str = "validation_errors") -
     return counts.orderBy(F.desc("rows"), "code")
 
 
-def inconsistent(validated: DataFrame) -> DataFrame:
-    """Rows whose status does not follow from their codes (P10)."""
+def contradicts() -> Column:
+    """Whether a row's status does not follow from its codes (P10)."""
     errors, warnings, status = F.size("validation_errors"), F.size("validation_warnings"), F.col("validation_status")
-    return validated.filter(
+    return (
         ((status == "VALID") & ((errors > 0) | (warnings > 0)))
         | ((status == "WARNING") & ((errors > 0) | (warnings == 0)))
         | ((status == "INVALID") & (errors == 0))
@@ -182,6 +182,11 @@ def inconsistent(validated: DataFrame) -> DataFrame:
     )
 
 
+def inconsistent(validated: DataFrame) -> DataFrame:
+    """Rows whose status does not follow from their codes (P10)."""
+    return validated.filter(contradicts())
+
+
 def invalid_sample(validated: DataFrame, order: Sequence[str], rows: int = 20) -> DataFrame:
     """The first invalid rows in an order: a report, so it has a limit (O4)."""
     return validated.filter("validation_status = 'INVALID'").orderBy(*order).limit(rows)

@@ -3,6 +3,7 @@
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from millrace import registry
 from millrace import registry_commerce as commerce
 from millrace import registry_layers as layers
 from millrace.functions.commerce_contract import COMMERCE
@@ -73,3 +74,9 @@ def test_the_registry_of_failures_is_many_documents(spark, monkeypatch):
     assert spark.read.text(seen[0]).count() > 1
     assert rejected.filter("reason = 'known failure'").count() == events.filter(F.col("event_id") % faults == faults - 1).count()
     assert accepted.count() == events.filter(F.col("event_id") % faults == 0).count()
+
+
+def test_rows_are_validated_once(spark):
+    silver = registry.queries()["commerce_silver"](spark, SMALL)
+    assert "from_json" not in plan_of(silver)  # it reads the bronze that was written
+    assert plan_of(registry.queries()["quality_invariants"](spark, SMALL)).count("FileScan parquet") == 2
