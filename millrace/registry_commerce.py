@@ -155,6 +155,7 @@ def _shown(silver: DataFrame) -> DataFrame:
 @query(_SQL + _SILVER)
 def commerce_silver(t):
     bronze = contract.route(_validated(t))[0]
+    bronze = Scratch(bronze.sparkSession, "commerce-bronze").write(bronze, "bronze")  # read twice, validated once
     return _shown(normalize.to_silver(bronze.unionByName(bronze)))
 
 
