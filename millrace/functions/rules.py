@@ -74,8 +74,11 @@ def codes(rules: Sequence[Rule], get: Get, gate: Column | None = None, strict: b
         found.append(F.when(F.coalesce(broken, F.lit(True)) if strict else broken, F.lit(rule.code)))
     if not found:
         return none
-    # not array_compact, whose lambda takes the projection out of code generation
-    listed = F.array_except(F.array(*found), F.array(F.lit(None).cast("string"))).cast("array<string>")
+    # array_compact is a lambda, which keeps the rules out of whole-stage code: all of them in one method are too much for the JVM to
+    # compile, whereas a projection of their own is cut into small methods
+    listed = F.array_compact(F.array(*found)).cast("array<string>")
+    if len({rule.code for rule in rules}) < len(rules):
+        listed = F.array_distinct(listed)
     return listed if gate is None else F.when(gate, listed).otherwise(none)
 
 

@@ -1,5 +1,8 @@
 """Work that must not meet in one task, nor be done once more for each filter above it."""
 
+import json
+import re
+
 from conftest import SMALL
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from millrace.functions.rules import outside
 from millrace.operators import contract
 from millrace.plans import monitoring
 from millrace.sources import byte_log
+from millrace.sources.generator import commerce_events
 from millrace.streaming import ingest
 
 
@@ -80,3 +84,35 @@ def test_rows_are_validated_once(spark):
     silver = registry.queries()["commerce_silver"](spark, SMALL)
     assert "from_json" not in plan_of(silver)  # it reads the bronze that was written
     assert plan_of(registry.queries()["quality_invariants"](spark, SMALL)).count("FileScan parquet") == 2
+
+
+def test_rules_are_compiled_by_the_jvm(spark):
+    """The JVM interprets methods of over 8,000 bytes of code however often they run."""
+    rows = contract.validate_json(spark.createDataFrame([("{}",)], "raw_payload string"), COMMERCE)
+    for shown in (rows, contract.route(rows)[0], contract.inconsistent(rows)):
+        text = spark._jvm.PythonSQLUtils.explainString(shown._jdf.queryExecution(), "codegen")
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+        assert sizes and max(sizes) < 8000
+
+
+def test_plain_texts_are_not_parsed_into_variants(spark):
+    """A text that the pattern takes is sound by its variant too, and odd ones go the longer way."""
+    valid = json.loads(commerce_events(spark, 1, null_share=0).first().raw_payload)
+    text = json.dumps(valid, ensure_ascii=False)
+    plain = [
+        text, json.dumps(valid, ensure_ascii=False, indent=1), f"\n {text}\t", json.dumps(valid | {"reviewerName": None}), json.dumps(valid | {"overall": -4, "unitPrice": 1.5e7}),
+        text.replace('"quantity": ', '"quantity":-'), json.dumps(valid | {"helpful": [-1]}), json.dumps(valid | {"totalAmount": 2}).replace('"totalAmount": 2', '"totalAmount": 2.5E+3'),
+    ]
+    odd = [
+        json.dumps(dict(reversed(valid.items()))), json.dumps(valid | {"summary": 'a "b"'}), text.replace('"Summary', '"Sum\nmary'), text + "x", text[:-1], f"[{text}]", text.replace("{", '{"x": 1, '),
+        text[:-1] + ', "asin": "B"}', json.dumps(valid | {"asin": None}), json.dumps(valid | {"helpful": []}), json.dumps(valid | {"helpful": [1, None]}), json.dumps(valid | {"day_diff": 4.0}),
+        json.dumps(valid | {"quantity": "2"}), json.dumps(valid | {"quantity": 10**18}), text.replace('"day_diff": ', '"day_diff": 0'), text.replace('"overall": ', '"overall": .'), "\v" + text,
+        json.dumps(valid | {"overall": float("nan")}), json.dumps(valid | {"helpful": [1] * 65}), None,
+    ]
+    # escapes of letters beyond ASCII are escapes too
+    plain = [p if "\\u" not in p else json.dumps(json.loads(p), ensure_ascii=False) for p in plain]
+    df = spark.createDataFrame([(i, p) for i, p in enumerate([*plain, *odd])], "id int, raw string").orderBy("id")
+    schema = F.schema_of_variant(F.try_parse_json("raw")).rlike(contract.sound_schema(COMMERCE))
+    got = [tuple(r) for r in df.select(F.col("raw").rlike(contract.plain_object(COMMERCE)), F.coalesce(schema, F.lit(False))).collect()]
+    assert [bool(p) for p, _ in got] == [True] * len(plain) + [False] * len(odd)
+    assert all(sound for taken, sound in got if taken)
