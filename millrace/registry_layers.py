@@ -146,7 +146,9 @@ def generated_events(t):
     again = generator.as_log(generator.commerce_events(spark, rows))
     fields = F.size(F.json_object_keys("raw_payload"))
     holed = F.col("raw_payload").rlike(r":null[,}]")
-    same = made.select("raw_payload").exceptAll(again.select("raw_payload")).isEmpty()
+    # by digests, so that no task holds the texts of its share of both logs
+    digest = F.unhex(F.sha2("raw_payload", 256)).alias("digest")
+    same = made.select(digest).exceptAll(again.select(digest)).isEmpty()
     place = F.struct("kafka_topic", "kafka_partition", "kafka_offset")
     return made.agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(fields == len(COMMERCE.fields)).alias("objects"), F.count_distinct(place).alias("places"),

@@ -7,9 +7,16 @@ from pyspark.sql import functions as F
 
 from millrace.functions import commerce_contract as c
 
+#: Events that one task makes.
+TASK_ROWS = 250_000
 
-def commerce_events(spark: SparkSession, rows: int, seed: int = 42, null_share: float = 0.15, partitions: int = 8) -> DataFrame:
-    """(event_no, raw_payload): valid events, of which a share has null in one of asin, quantity and city."""
+
+def commerce_events(spark: SparkSession, rows: int, seed: int = 42, null_share: float = 0.15, partitions: int | None = None) -> DataFrame:
+    """(event_no, raw_payload): valid events, of which a share has null in one of asin, quantity and city.
+
+    Without ``partitions`` their number grows with the rows: at least 8, and none of more than :data:`TASK_ROWS`.
+    """
+    partitions = partitions or max(8, -(-rows // TASK_ROWS))
     i = F.col("id")
 
     def number(name: str, below: int) -> Column:

@@ -5,6 +5,7 @@ import re
 
 from conftest import SMALL
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from millrace import registry
 from millrace import registry_commerce as commerce
@@ -13,8 +14,8 @@ from millrace.functions.commerce_contract import COMMERCE
 from millrace.functions.rules import outside
 from millrace.operators import contract
 from millrace.plans import monitoring
-from millrace.sources import byte_log
-from millrace.sources.generator import commerce_events
+from millrace.sources import byte_log, generator
+from millrace.sources.generator import as_log, commerce_events
 from millrace.streaming import ingest
 
 
@@ -116,3 +117,26 @@ def test_plain_texts_are_not_parsed_into_variants(spark):
     got = [tuple(r) for r in df.select(F.col("raw").rlike(contract.plain_object(COMMERCE)), F.coalesce(schema, F.lit(False))).collect()]
     assert [bool(p) for p, _ in got] == [True] * len(plain) + [False] * len(odd)
     assert all(sound for taken, sound in got if taken)
+
+
+def test_generated_events_are_of_more_tasks_the_more_they_are(spark):
+    assert commerce_events(spark, 0).count() == 0 and commerce_events(spark, 1000).rdd.getNumPartitions() == 8
+    assert commerce_events(spark, 36_000_000).rdd.getNumPartitions() == 36_000_000 // generator.TASK_ROWS
+    assert commerce_events(spark, 100, partitions=3).rdd.getNumPartitions() == 3
+    few, many = (as_log(commerce_events(spark, 100, partitions=n)) for n in (1, 7))
+    assert few.exceptAll(many).isEmpty() and many.count() == 100
+
+
+def test_generated_logs_are_compared_by_digests(spark, monkeypatch):
+    """No aggregate has the texts of two logs as its keys; logs that differ are told apart."""
+    compared, real = [], DataFrame.exceptAll
+    monkeypatch.setattr(DataFrame, "exceptAll", lambda a, b: compared.append((a, b)) or real(a, b))
+    (row,) = layers.generated_events(table(spark)).collect()
+    ((a, b),) = compared
+    assert row.repeatable and a.schema == b.schema and [f.dataType.typeName() for f in a.schema] == ["binary"]
+    assert a.select(F.max(F.octet_length(a.columns[0]))).first()[0] == 32
+    logs, made = iter((42, 42, 43)), generator.commerce_events
+    next(logs)
+    monkeypatch.setattr(generator, "commerce_events", lambda s, rows: made(s, rows, next(logs)))
+    (row,) = layers.generated_events(table(spark)).collect()
+    assert not row.repeatable and row["rows"] == row.objects
